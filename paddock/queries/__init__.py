@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ()
+_MODULES = ("columns", "keyed", "texts", "relational")
 
 
 def load() -> None:
