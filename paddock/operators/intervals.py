@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.operators.hot import GROUP_ROWS
+from paddock.operators.hot import GROUP_ROWS, hot_keys
 from paddock.operators.scan import latest, running, running_count, running_sum
 
 
@@ -82,11 +82,12 @@ def closed_sessions(df: DataFrame, key: str, time: str, tie: str, closes: Column
     marked = df.select(key, time, tie, closes.cast("int").alias("_close"))
     # Both facts about the row before travel in one value.
     marked = marked.withColumn("_here", F.struct(F.col(time).alias("t"), F.col("_close").alias("c")))
-    seen = running(marked, [key], [time, tie], {"_prev": latest("_here", before=True)}, group_rows, bound=df)
+    hot = hot_keys(df.select(key), [key], group_rows)
+    seen = running(marked, [key], [time, tie], {"_prev": latest("_here", before=True)}, hot=hot)
     pause = F.unix_micros(F.col(time)) - F.unix_micros(F.col("_prev")["t"])
     starts = F.col("_prev").isNull() | (F.col("_prev")["c"] == 1) | (pause > gap_seconds * 1_000_000)
     seen = seen.select(key, time, tie, "_close", F.coalesce(starts, F.lit(True)).cast("int").alias("_start"))
-    numbered = running(seen, [key], [time, tie], {"session": running_sum("_start")}, group_rows, bound=df)
+    numbered = running(seen, [key], [time, tie], {"session": running_sum("_start")}, hot=hot)
     grouped = numbered.groupBy(key, "session").agg(
         F.min(time).alias("start"), F.max(time).alias("_last"), F.max("_close").alias("_closed"),
         F.count(F.lit(1)).alias("n_events"))

@@ -71,17 +71,20 @@ def latest(column: str, before: bool = False) -> Measure:
 
 
 def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Measure],
-            group_rows: int | None = None, bound: DataFrame | None = None) -> DataFrame:
+            group_rows: int | None = None, bound: DataFrame | None = None,
+            hot: DataFrame | None | str = "detect") -> DataFrame:
     """``df`` plus one scanned column per measure, per key and in ``order``.
 
-    ``order`` should end in a unique column. Without keys the scan runs over the
+    ``order`` should end in a unique column. ``hot`` takes the result of an
+    earlier ``hot_keys`` call, so a chain of scans looks for hot keys once. Without keys the scan runs over the
     whole frame, which is one group and treated as hot beyond its limit.
     """
     limit = group_rows or (GROUP_ROWS if keys else KEYLESS_ROWS)
     if not keys:
         rows = (df if bound is None else bound).count()
         return _plain(df, keys, order, measures) if rows <= limit else _by_runs(df, keys, order, measures)
-    hot = hot_keys(df, keys, limit, bound)
+    if isinstance(hot, str):
+        hot = hot_keys(df, keys, limit, bound)
     if hot is None:
         return _plain(df, keys, order, measures)
     rest, crowded = split_hot(df, keys, hot)

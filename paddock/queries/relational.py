@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paddock.operators import intervals, rows, scan
-from paddock.operators.hot import null_safe_join
+from paddock.operators.hot import hot_keys, null_safe_join
 from paddock.queries.registry import query
 
 # The five market segments of the customer table.
@@ -266,12 +266,13 @@ def _neighbours(t, group_rows):
     here = F.struct(F.col("o_totalprice").alias("p"), F.col("o_orderdate").alias("d"))
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", here.alias("here"))
     up, down = ["o_orderdate", "o_orderkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
+    hot = hot_keys(orders, ["o_custkey"], group_rows)
     forth = scan.running(orders, ["o_custkey"], up, {
-        "before": scan.latest("here", before=True), "n": scan.running_count()}, group_rows, bound=t.orders)
-    both = scan.running(forth, ["o_custkey"], down, {"after": scan.latest("here", before=True)}, group_rows, bound=t.orders)
+        "before": scan.latest("here", before=True), "n": scan.running_count()}, hot=hot)
+    both = scan.running(forth, ["o_custkey"], down, {"after": scan.latest("here", before=True)}, hot=hot)
     # The second value is known from the second row on.
     both = both.withColumn("here_2", F.when(F.col("n") == 2, F.col("o_totalprice")))
-    out = scan.running(both, ["o_custkey"], up, {"second": scan.latest("here_2")}, group_rows, bound=t.orders)
+    out = scan.running(both, ["o_custkey"], up, {"second": scan.latest("here_2")}, hot=hot)
     return out.select(
         "o_orderkey", F.col("before.p").alias("previous"), F.col("after.p").alias("following"), "second",
         F.datediff("o_orderdate", F.col("before.d")).cast("long").alias("days_since"))
@@ -297,8 +298,9 @@ def _(t):
     """Three-row moving mean from the running count and two steps back."""
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     order = ["o_orderdate", "o_orderkey"]
-    one = scan.running(orders, ["o_custkey"], order, {"p1": scan.latest("o_totalprice", before=True)}, bound=t.orders)
-    two = scan.running(one, ["o_custkey"], order, {"p2": scan.latest("p1", before=True)}, bound=t.orders)
+    hot = hot_keys(orders, ["o_custkey"])
+    one = scan.running(orders, ["o_custkey"], order, {"p1": scan.latest("o_totalprice", before=True)}, hot=hot)
+    two = scan.running(one, ["o_custkey"], order, {"p2": scan.latest("p1", before=True)}, hot=hot)
     values = F.array_compact(F.array("o_totalprice", "p1", "p2"))
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
     return two.select("o_orderkey", F.round(total / F.size(values), 4).alias("moving_mean"))

@@ -1,7 +1,7 @@
-"""Relational store: append in foreign-key order and read back.
+"""Relational store: append in foreign-key order and read in parallel ranges.
 
-Tests and demos use the embedded Derby engine that ships with Spark, which lives
-in the process and opens no port. Connection settings are always arguments.
+Address, driver class and credentials are always arguments, never literals. No
+query is registered for these calls: they need a database server.
 """
 
 from __future__ import annotations
@@ -10,13 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paddock.contracts import LOAD_ORDER
 
-EMBEDDED_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-
-
-def embedded_url(name: str) -> str:
-    return f"jdbc:derby:memory:{name};create=true"
-
-
 def append_tables(tables: dict[str, DataFrame], url: str, properties: dict[str, str],
                   prefix: str = "") -> list[str]:
     """Append the tables, parents before children; returns the order used."""
