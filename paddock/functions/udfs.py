@@ -50,11 +50,16 @@ def mean_of(values: pd.Series) -> float:
     return float(values.mean())
 
 
+@F.pandas_udf("long")
+def size_of(values: pd.Series) -> int:
+    return int(values.count())
+
+
 def mean_in_pieces(df: DataFrame, keys: list[str], value: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Mean per key with the pandas aggregate seeing at most ``piece_rows`` rows at once."""
     piece = F.expr(f"monotonically_increasing_id() div {int(piece_rows)}")
     pieces = df.select(*keys, value, piece.alias("_piece")).groupBy(*keys, "_piece").agg(
-        mean_of(value).alias("_mean"), F.count(value).alias("_n"))
+        mean_of(value).alias("_mean"), size_of(value).alias("_n"))
     return pieces.groupBy(*keys).agg((F.sum(F.col("_mean") * F.col("_n")) / F.sum("_n")).alias("mean"))
 
 

@@ -30,41 +30,41 @@ def page_rank(edges: DataFrame, rounds: int, vertices: DataFrame | None = None,
     with them every vertex keeps at least the base rank.
     """
     links = checkpoint(_weighted(edges)) if rounds > every else _weighted(edges)
-    nodes = links.select(F.col("src").alias("id")).distinct() if vertices is None else vertices.select("id")
+    keep = vertices is not None
+    nodes = vertices.select("id") if keep else links.select(F.col("src").alias("id")).distinct()
     ranks = nodes.withColumn("rank", F.lit(1.0))
     for done in range(1, rounds + 1):
-        ranks = _round(links, ranks, None if vertices is None else nodes)
+        ranks = _round(links, ranks, keep)
         if done % every == 0 and done < rounds:
             ranks = checkpoint(ranks)
-    return ranks
+    return ranks.select("id", "rank")
 
 
-def _round(links, ranks, nodes):
-    sent = links.join(ranks, links["src"] == ranks["id"]).groupBy(F.col("dst")).agg(
-        F.sum(F.col("rank") * F.col("share")).alias("got"))
-    got = sent.select(F.col("dst").alias("id"), "got")
-    if nodes is not None:
-        got = nodes.join(got, "id", "left")
-    return got.select("id", (BASE + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank"))
+def _round(links, ranks, keep):
+    """One round; with ``keep`` all ids stay and bring their old rank along."""
+    sent = links.join(ranks, links["src"] == ranks["id"]).select(
+        F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part"), F.lit(None).cast("double").alias("old"))
+    if keep:
+        sent = sent.unionByName(ranks.select("id", F.lit(0.0).alias("part"), F.col("rank").alias("old")))
+    return sent.groupBy("id").agg((BASE + DAMPING * F.sum("part")).alias("rank"), F.max("old").alias("old"))
 
 
-def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max_rounds: int = 100,
+def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max_rounds: int = 200,
                     every: int = 4) -> DataFrame:
     """(id, rank) once no rank moves by more than ``tolerance`` in a round.
 
     The movement is looked at after every block of rounds.
     """
-    links, nodes = checkpoint(_weighted(edges)), checkpoint(vertices.select("id").distinct())
-    ranks = nodes.withColumn("rank", F.lit(1.0))
+    links = checkpoint(_weighted(edges))
+    ranks = vertices.select("id").distinct().withColumn("rank", F.lit(1.0))
     for _ in range(0, max_rounds, every):
         for _ in range(every):
-            before, ranks = ranks, _round(links, ranks, nodes)
-        last = checkpoint(ranks.join(before.withColumnRenamed("rank", "old"), "id"))
-        ranks = last.select("id", "rank")
-        moved = last.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
+            ranks = _round(links, ranks, keep=True)
+        ranks = checkpoint(ranks)
+        moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
         if moved is None or moved <= tolerance:
-            break
-    return ranks
+            return ranks.select("id", "rank")
+    raise RuntimeError(f"ranks still move by {moved} after {max_rounds} rounds")
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def closed_sessions(df: DataFrame, key: str, time: str, tie: str, closes: Column
     hot = hot_keys(df.select(key), [key], group_rows)
     seen = running(marked, [key], [time, tie], {"_prev": latest("_here", before=True)}, hot=hot)
     pause = F.unix_micros(F.col(time)) - F.unix_micros(F.col("_prev")["t"])
-    starts = F.col("_prev").isNull() | (F.col("_prev")["c"] == 1) | (pause > gap_seconds * 1_000_000)
+    starts = F.col("_prev").isNull() | (F.col("_prev")["c"] == 1) | (pause >= gap_seconds * 1_000_000)
     seen = seen.select(key, time, tie, "_close", F.coalesce(starts, F.lit(True)).cast("int").alias("_start"))
     numbered = running(seen, [key], [time, tie], {"session": running_sum("_start")}, hot=hot)
     grouped = numbered.groupBy(key, "session").agg(

@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("columns", "keyed", "texts", "relational", "graphs", "events", "functions", "files")
+_MODULES = ("columns", "keyed", "texts", "relational", "graphs", "events", "functions", "files", "streams")
 
 
 def load() -> None:

@@ -55,7 +55,7 @@ def _(t):
 
 _CLOSED = """
     WITH p AS (SELECT *, lag(ts) OVER w AS pt, lag(event_type) OVER w AS pe FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
-    s AS (SELECT *, CASE WHEN pt IS NULL OR pe = 'signup' OR ts > pt + INTERVAL 6 HOURS THEN 1 ELSE 0 END AS new FROM p),
+    s AS (SELECT *, CASE WHEN pt IS NULL OR pe = 'signup' OR ts >= pt + INTERVAL 6 HOURS THEN 1 ELSE 0 END AS new FROM p),
     n AS (SELECT *, CAST(sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS session FROM s),
     g AS (SELECT user_id, session, min(ts) AS start, max(ts) AS last, max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS closed,
           count(*) AS n_events FROM n GROUP BY 1, 2)

@@ -96,7 +96,7 @@ def _(t):
 
 @query("s11_bulk_load", """
     SELECT 'good' AS state, p_partkey, p_size, NULL::VARCHAR AS line FROM part WHERE p_partkey % 10 <> 3
-    UNION ALL SELECT 'bad', NULL, NULL, p_partkey || ',' || p_brand || ',many' FROM part WHERE p_partkey % 10 = 3""")
+    UNION ALL SELECT 'bad', p_partkey, NULL, p_partkey || ',' || p_brand || ',many' FROM part WHERE p_partkey % 10 = 3""")
 def _(t):
     """Delimited text under a contract; lines that break it are kept apart as text."""
     size = F.when(F.col("p_partkey") % 10 == 3, F.lit("many")).otherwise(F.col("p_size").cast("string"))
@@ -105,7 +105,7 @@ def _(t):
     good, bad = files.load_checked(t.spark, path, T.StructType.fromDDL("p_partkey bigint, p_brand string, p_size int"))
     return union_by_name([
         good.select(F.lit("good").alias("state"), "p_partkey", "p_size"),
-        bad.select(F.lit("bad").alias("state"), F.col(files.BAD).alias("line"))])
+        bad.select(F.lit("bad").alias("state"), "p_partkey", F.col(files.BAD).alias("line"))])
 
 
 @query("e38_file_options", """

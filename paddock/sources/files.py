@@ -34,12 +34,21 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_checked(spark: SparkSession, path: str, schema: T.StructType, separator: str = ",",
-                 header: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Good rows under the contract, and the raw text of the rows that break it."""
+                 header: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Good rows under the contract, and the others with their raw text in ``_bad``.
+
+    Lines are parsed as a whole by ``from_csv``: a CSV scan would parse the
+    columns a query reads only, and a line could be good for one query and bad
+    for the next. ``header`` is the header line, if the files have one.
+    """
+    lines = spark.read.text(path)
+    if header is not None:
+        lines = lines.where(F.col("value") != header)
     full = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    rows = spark.read.schema(full).csv(
-        path, sep=separator, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD)
-    return rows.where(F.col(BAD).isNull()).drop(BAD), rows.where(F.col(BAD).isNotNull()).select(BAD)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+    options = {"sep": separator, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    rows = lines.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    return rows.where(F.col(BAD).isNull()).drop(BAD), rows.where(F.col(BAD).isNotNull())
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
