@@ -110,9 +110,13 @@ def _by_runs(df, keys, order, measures):
         *df.columns, *[m.combine(F.col(n), F.col(f"_c_{n}")).alias(n) for n, m in measures.items()])
 
 
-def dense_ids(df: DataFrame, order: list, name: str = "id", rows_limit: int = KEYLESS_ROWS) -> DataFrame:
-    """Ids 1..n in the order of a unique key, without one task sorting it all."""
-    return running(df, [], order, {name: running_count()}, rows_limit)
+def dense_ids(df: DataFrame, order: list, name: str = "id", rows_limit: int = KEYLESS_ROWS,
+              bound: DataFrame | None = None) -> DataFrame:
+    """Ids 1..n in the order of a unique key, without one task sorting it all.
+
+    ``bound`` is a frame that is cheaper to count and has at least as many rows.
+    """
+    return running(df, [], order, {name: running_count()}, rows_limit, bound)
 
 
 def ranked(df: DataFrame, keys: list[str], order: str, tie: str, tiles: int = 4,

@@ -20,6 +20,8 @@ SERIES_CODES = {
     "Gander RV &amp; Outdoors Truck Series": "cw", "Xfinity Series": "xf", "Nationwide Series": "xf",
     "Busch Series": "xf", "Cup Series": "sc", "Sprint Cup Series": "sc",
 }
+# The order in which the series are put together; the first row of a driver wins.
+SERIES_ORDER = ("cw", "xf", "sc")
 
 
 def build_stats(payloads: DataFrame) -> DataFrame:
@@ -75,14 +77,15 @@ def enrich_gender(stats: DataFrame, female_names: DataFrame) -> DataFrame:
 
 def personal_info(stats: DataFrame) -> DataFrame:
     """One row per driver, ids in the order of the natural key."""
-    people = rows.first_per_key(stats, ["driver_id"], ["series"])
+    place = F.array_position(F.array(*[F.lit(x) for x in SERIES_ORDER]), F.col("series"))
+    people = rows.first_per_key(stats, ["driver_id"], [place, "series"])
     wanted = [f.name for f in contracts.schema_of("personal_info") if f.name != "id"]
-    return contracts.conform(dense_ids(people.select(*wanted), ["driver_id"]), "personal_info")
+    return contracts.conform(dense_ids(people.select(*wanted), ["driver_id"], bound=stats), "personal_info")
 
 
 def race_info(standings: DataFrame) -> DataFrame:
     races = standings.select("series", F.col("season").try_cast("int").alias("season")).distinct()
-    return contracts.conform(dense_ids(races, ["season", "series"]), "race_info")
+    return contracts.conform(dense_ids(races, ["season", "series"], bound=standings), "race_info")
 
 
 def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | None) -> DataFrame:
@@ -96,7 +99,7 @@ def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | N
         natural = ["driver_id", "series", "season"]
         source = source.withColumn("season", F.col("season").try_cast("int"))
     facts = source.select(*natural, *measures).distinct()
-    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], key)
+    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], key, bound=source)
     if races is not None:
         numbered = joins.surrogate(numbered, races, ["series", "season"], "id", "race_id")
     driver = people.select(F.col("driver_id").alias("_natural"), F.col("id").alias("_driver"))
@@ -110,29 +113,40 @@ def social_media(stats: DataFrame, people: DataFrame) -> DataFrame:
     return _fact(rows.unique_or_complete(handles, ["driver_id"]), "social_media", people, None)
 
 
-def normalise(stats: DataFrame, standings: DataFrame) -> dict[str, DataFrame]:
-    """The eight tables; missing values are decoded first, keys become surrogates."""
+def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(contracts.LOAD_ORDER),
+              people: DataFrame | None = None, races: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The named tables; missing values are decoded first, keys become surrogates.
+
+    ``people`` and ``races`` are the two parent tables if they are built already.
+    """
     stats = C.decode_missing(stats.withColumnRenamed("id", "driver_id"))
     standings = C.decode_missing(standings.withColumnRenamed("id", "driver_id"))
-    people, races = personal_info(stats), race_info(standings)
-    return {
-        "personal_info": people,
-        "race_info": races,
-        "social_media": social_media(stats, people),
-        "seasonal_achievement": _fact(standings, "seasonal_achievement", people, races),
-        "detailed_performance": _fact(standings, "detailed_performance", people, races),
-        "earnings": _fact(standings, "earnings", people, races),
-        "debut_info": _fact(stats, "debut_info", people, None),
-        "status_info": _fact(standings, "status_info", people, None),
+    facts = {"seasonal_achievement", "detailed_performance", "earnings"}
+    if people is None and set(names) != {"race_info"}:
+        people = personal_info(stats)
+    if races is None and facts.union(["race_info"]).intersection(names):
+        races = race_info(standings)
+    build = {
+        "personal_info": lambda: people,
+        "race_info": lambda: races,
+        "social_media": lambda: social_media(stats, people),
+        "debut_info": lambda: _fact(stats, "debut_info", people, None),
+        "status_info": lambda: _fact(standings, "status_info", people, None),
     }
-
-
-def store(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Write the tables in load order, facts by race; returns the path of each."""
-    paths = {}
-    for name in contracts.LOAD_ORDER:
-        if name in tables:
-            paths[name] = files.write_parquet(tables[name], f"{folder}/{name}.parquet")
+    return {n: build[n]() if n in build else _fact(standings, n, people, races) for n in names}
+
+
+def store(stats: DataFrame, standings: DataFrame, folder: str) -> dict[str, str]:
+    """Build and write all tables; children look their keys up in the written parents."""
+    spark = stats.sparkSession
+    paths = {n: f"{folder}/{n}.parquet" for n in contracts.LOAD_ORDER}
+    parents = ["personal_info", "race_info"]
+    for name, df in normalise(stats, standings, parents).items():
+        files.write_parquet(df, paths[name])
+    people, races = (spark.read.schema(contracts.schema_of(n)).parquet(paths[n]) for n in parents)
+    children = [n for n in contracts.LOAD_ORDER if n not in parents]
+    for name, df in normalise(stats, standings, children, people, races).items():
+        files.write_parquet(df, paths[name])
     return paths
 
 
