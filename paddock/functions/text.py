@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # Suffix of a disambiguated page title, and the row patterns of a
 # debut list (two spellings of the name cell, year cell may be empty).
 PAGE_SUFFIX = "_(racing_driver)"
-DEBUT_ROW = r'<td>[^\n]*href="[^\n]*>([^\n<]*)</a>\n</td>\n<td>(\d{4})?\n</td>'
+DEBUT_ROW = r'">([^<>\n]*)</a>(?:</span></span></span>)?\n</td>\n<td>(\d{4})?\n</td>'
 YEAR_CELL = r"</td>\n<td>(\d{4})\n</td>"
 FEMALE_ROW = r'<th>[^\n]*">([^\n<]*)</a>(?:<sup class="reference"|\n</th>)'
 

@@ -109,7 +109,8 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     """(id, triangles) for every vertex.
 
     Edges point from the lower to the higher degree, so no vertex has more than
-    sqrt(2 * edges) outgoing edges and a hub does not form all pairs around it.
+    sqrt(2 * edges) outgoing edges, hubs included, and its list of targets is
+    short. Every edge compares the lists of its two ends.
     """
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
     links = checkpoint(edges.where("src <> dst").select(low.alias("a"), high.alias("b")).distinct())
@@ -117,13 +118,18 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     degree = checkpoint(ends.groupBy("id").agg(F.count(F.lit(1)).alias("d")))
     ranked = links.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a").join(
         degree.select(F.col("id").alias("b"), F.col("d").alias("db")), "b")
-    x, y = F.struct(F.col("da").alias("d"), F.col("a").alias("v")), F.struct(F.col("db").alias("d"), F.col("b").alias("v"))
-    out = checkpoint(ranked.select(F.least(x, y).alias("s"), F.greatest(x, y).alias("t")))
-    second = out.select("s", F.col("t").alias("u"))
-    wedges = out.join(second, "s").where(F.col("t") < F.col("u")).select("s", "t", "u")
-    closing = out.select(F.col("s").alias("t"), F.col("t").alias("u"))
-    triangles = wedges.join(closing, ["t", "u"]).select(F.explode(F.array("s.v", "t.v", "u.v")).alias("id"))
-    counts = triangles.groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+    forward = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
+    out = ranked.select(F.when(forward, F.col("a")).otherwise(F.col("b")).alias("s"),
+                        F.when(forward, F.col("b")).otherwise(F.col("a")).alias("t"))
+    lists = checkpoint(out.groupBy("s").agg(F.collect_list("t").alias("targets")))
+    pairs = lists.select("s", F.explode("targets").alias("t"), "targets")
+    second = lists.select(F.col("s").alias("t"), F.col("targets").alias("others"))
+    common = pairs.join(second, "t").select("s", "t", F.array_intersect("targets", "others").alias("thirds")).where(F.size("thirds") > 0)
+    one = F.lit(1).cast("int")
+    parts = F.concat(F.array(F.struct(F.col("s").alias("id"), F.size("thirds").alias("n")),
+                             F.struct(F.col("t").alias("id"), F.size("thirds").alias("n"))),
+                     F.transform("thirds", lambda u: F.struct(u.alias("id"), one.alias("n"))))
+    counts = common.select(F.explode(parts).alias("p")).groupBy(F.col("p.id").alias("id")).agg(F.sum("p.n").alias("triangles"))
     nodes = degree.select("id") if vertices is None else vertices.select("id")
     return nodes.join(counts, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles"))
 
@@ -144,12 +150,12 @@ def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
 
 
 def aggregate_neighbours(edges: DataFrame, vertices: DataFrame, value: str) -> DataFrame:
-    """(id, n, mean) of the value over the sources whose value exceeds the target's."""
+    """(id, n, total, mean) of the value over the sources whose value exceeds the target's."""
     sources = vertices.select(F.col("id").alias("src"), F.col(value).alias("from_value"))
     targets = vertices.select(F.col("id").alias("dst"), F.col(value).alias("to_value"))
     sent = edges.join(sources, "src").join(targets, "dst").where(F.col("from_value") > F.col("to_value"))
     return sent.groupBy(F.col("dst").alias("id")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("from_value").alias("mean"))
+        F.count(F.lit(1)).alias("n"), F.sum("from_value").alias("total"), F.avg("from_value").alias("mean"))
 
 
 def subgraph(edges: DataFrame, kept: DataFrame) -> DataFrame:

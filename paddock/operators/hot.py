@@ -40,6 +40,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{k}" for k in keys])
 
 
+def small_rows(df: DataFrame, limit: int) -> list:
+    """All rows of a frame that must be small; an error, not a cut, if it is not."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} rows where few were expected")
+    return rows
+
+
 def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS,
              bound: DataFrame | None = None) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, or None when there are none.

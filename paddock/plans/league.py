@@ -10,23 +10,13 @@ from paddock.functions import columns as C
 from paddock.functions import text as X
 from paddock.operators import joins, rows
 from paddock.operators.scan import dense_ids
+from paddock.plans import values as V
 from paddock.sources import files
 
-# Payload fields that are not kept, the names of the series in text,
-# and the code each one has.
-DROPPED_FIELDS = ["status", "residence", "track_type_splits", "track_splits", "race_splits", "children", "hobbies", "college"]
-SERIES_CODES = {
-    "Camping World Truck Series": "cw", "Craftsman Truck Series": "cw", "Gander Outdoors Truck Series": "cw",
-    "Gander RV &amp; Outdoors Truck Series": "cw", "Xfinity Series": "xf", "Nationwide Series": "xf",
-    "Busch Series": "xf", "Cup Series": "sc", "Sprint Cup Series": "sc",
-}
-# The order in which the series are put together; the first row of a driver wins.
-SERIES_ORDER = ("cw", "xf", "sc")
-
 
 def build_stats(payloads: DataFrame) -> DataFrame:
     """One row per (id, series), from the newest season that has the driver."""
-    kept = C.drop_listed(payloads, DROPPED_FIELDS)
+    kept = C.drop_listed(payloads, V.DROPPED_FIELDS)
     newest = rows.first_per_key(kept, ["id", "series"], [F.col("season").desc(), "pos"])
     return newest.drop("season", "pos")
 
@@ -55,6 +45,18 @@ def enrich_debut(stats: DataFrame, debut: DataFrame, debut_others: DataFrame, ra
     return joins.apply_overrides(filled, overrides, "full_name", "rookie_year", second_key="series")
 
 
+def debut_list(pages: DataFrame) -> DataFrame:
+    """(pos, full_name, rookie_year, series) from list pages ``(html)``, series by position."""
+    rows_found = F.posexplode(X.find_all(F.col("html"), X.DEBUT_ROW, (1, 2))).alias("pos", "m")
+    listed = pages.select(rows_found).select("pos", F.col("m.g1").alias("full_name"), F.col("m.g2").try_cast("int").alias("rookie_year"))
+    return listed.withColumn("series", C.by_position(F.col("pos"), V.DEBUT_RANGES))
+
+
+def female_names(pages: DataFrame) -> DataFrame:
+    """(full_name) from list pages ``(html)``."""
+    return pages.select(F.explode(X.merged_matches(F.col("html"), X.FEMALE_ROW, (1,))).alias("full_name"))
+
+
 def page_races(names: DataFrame, pages: DataFrame, aliases: DataFrame, league: str) -> DataFrame:
     """(full_name, series, rookie_year) from the page of every name.
 
@@ -63,7 +65,7 @@ def page_races(names: DataFrame, pages: DataFrame, aliases: DataFrame, league: s
     found = pages.select("page_key", X.first_races(F.col("html"), league).alias("races")).where(F.size("races") > 0)
     chosen = X.resolve_pages(names, found, aliases).join(found, "page_key")
     races = chosen.select("full_name", F.explode("races").alias("r"))
-    return races.select("full_name", C.map_values(F.col("r.series"), SERIES_CODES).alias("series"),
+    return races.select("full_name", C.map_values(F.col("r.series"), V.SERIES_CODES).alias("series"),
                         F.col("r.year").try_cast("int").alias("rookie_year"))
 
 
@@ -75,20 +77,21 @@ def enrich_gender(stats: DataFrame, female_names: DataFrame) -> DataFrame:
     return joined.withColumn("gender", F.coalesce("gender", label)).select(*stats.columns)
 
 
-def personal_info(stats: DataFrame) -> DataFrame:
+def personal_info(stats: DataFrame, bound: DataFrame | None = None) -> DataFrame:
     """One row per driver, ids in the order of the natural key."""
-    place = F.array_position(F.array(*[F.lit(x) for x in SERIES_ORDER]), F.col("series"))
+    place = F.array_position(F.array(*[F.lit(x) for x in V.SERIES_ORDER]), F.col("series"))
     people = rows.first_per_key(stats, ["driver_id"], [place, "series"])
     wanted = [f.name for f in contracts.schema_of("personal_info") if f.name != "id"]
-    return contracts.conform(dense_ids(people.select(*wanted), ["driver_id"], bound=stats), "personal_info")
+    return contracts.conform(dense_ids(people.select(*wanted), ["driver_id"], bound=bound), "personal_info")
 
 
-def race_info(standings: DataFrame) -> DataFrame:
+def race_info(standings: DataFrame, bound: DataFrame | None = None) -> DataFrame:
     races = standings.select("series", F.col("season").try_cast("int").alias("season")).distinct()
-    return contracts.conform(dense_ids(races, ["season", "series"], bound=standings), "race_info")
+    return contracts.conform(dense_ids(races, ["season", "series"], bound=bound), "race_info")
 
 
-def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | None) -> DataFrame:
+def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | None,
+          bound: DataFrame | None) -> DataFrame:
     """Distinct fact rows with surrogate keys and ids in the order of the row."""
     schema = contracts.schema_of(table)
     key = contracts.PRIMARY_KEYS[table]
@@ -99,7 +102,7 @@ def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | N
         natural = ["driver_id", "series", "season"]
         source = source.withColumn("season", F.col("season").try_cast("int"))
     facts = source.select(*natural, *measures).distinct()
-    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], key, bound=source)
+    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], key, bound=bound)
     if races is not None:
         numbered = joins.surrogate(numbered, races, ["series", "season"], "id", "race_id")
     driver = people.select(F.col("driver_id").alias("_natural"), F.col("id").alias("_driver"))
@@ -108,32 +111,34 @@ def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | N
     return contracts.conform(linked, table)
 
 
-def social_media(stats: DataFrame, people: DataFrame) -> DataFrame:
+def social_media(stats: DataFrame, people: DataFrame, bound: DataFrame | None = None) -> DataFrame:
     handles = stats.select("driver_id", C.strip_pattern(F.col("twitter"), "@").alias("twitter")).distinct()
-    return _fact(rows.unique_or_complete(handles, ["driver_id"]), "social_media", people, None)
+    return _fact(rows.unique_or_complete(handles, ["driver_id"]), "social_media", people, None, bound)
 
 
 def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(contracts.LOAD_ORDER),
-              people: DataFrame | None = None, races: DataFrame | None = None) -> dict[str, DataFrame]:
+              people: DataFrame | None = None, races: DataFrame | None = None,
+              bound: DataFrame | None = None) -> dict[str, DataFrame]:
     """The named tables; missing values are decoded first, keys become surrogates.
 
     ``people`` and ``races`` are the two parent tables if they are built already.
+    ``bound`` is a frame with at least as many rows that is cheap to count.
     """
     stats = C.decode_missing(stats.withColumnRenamed("id", "driver_id"))
     standings = C.decode_missing(standings.withColumnRenamed("id", "driver_id"))
     facts = {"seasonal_achievement", "detailed_performance", "earnings"}
     if people is None and set(names) != {"race_info"}:
-        people = personal_info(stats)
+        people = personal_info(stats, bound)
     if races is None and facts.union(["race_info"]).intersection(names):
-        races = race_info(standings)
+        races = race_info(standings, bound)
     build = {
         "personal_info": lambda: people,
         "race_info": lambda: races,
-        "social_media": lambda: social_media(stats, people),
-        "debut_info": lambda: _fact(stats, "debut_info", people, None),
-        "status_info": lambda: _fact(standings, "status_info", people, None),
+        "social_media": lambda: social_media(stats, people, bound),
+        "debut_info": lambda: _fact(stats, "debut_info", people, None, bound),
+        "status_info": lambda: _fact(standings, "status_info", people, None, bound),
     }
-    return {n: build[n]() if n in build else _fact(standings, n, people, races) for n in names}
+    return {n: build[n]() if n in build else _fact(standings, n, people, races, bound) for n in names}
 
 
 def store(stats: DataFrame, standings: DataFrame, folder: str) -> dict[str, str]:

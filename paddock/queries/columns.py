@@ -90,7 +90,10 @@ def _(t):
     return t.lineitem.select(*C.columns_except_time(t.lineitem))
 
 
-@query("p14_schema_rows")
+@query("p14_schema_rows", """
+    SELECT count(*) AS n_rows, v.position, v."column", v.type FROM orders, (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
+      (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string'))
+      v(position, "column", type) GROUP BY ALL""")
 def _(t):
     """Position, name, type of every column next to the row count of the table."""
     described = F.explode(F.array(*[

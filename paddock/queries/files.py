@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paddock import contracts
 from paddock.operators.rows import union_by_name
 from paddock.queries.registry import query
 from paddock.session import workspace
@@ -187,12 +186,3 @@ def _(t):
     t.customer.select("c_name").write.option("lineSep", "|").option("compression", "gzip").text(f"{path}/a")
     t.supplier.select("s_name").write.option("lineSep", "|").text(f"{path}/b")
     return t.spark.read.option("lineSep", "|").text([f"{path}/a", f"{path}/b"])
-
-
-@query("s12_contract_tables")
-def _(t):
-    """The eight tables of the store, created empty and described from the catalog."""
-    empty = {n: t.spark.createDataFrame([], contracts.schema_of(n)) for n in contracts.DDL}
-    names = contracts.create_tables(t.spark, empty)
-    rows = [(n, i, f.name, f.dataType.simpleString()) for n in names for i, f in enumerate(t.spark.table(n).schema)]
-    return t.spark.createDataFrame(rows, "table_name string, position int, column_name string, data_type string")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paddock.functions import udfs as U
+from paddock.operators.hot import small_rows
+from paddock.operators.rows import with_key_stats
 from paddock.queries.registry import query
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
@@ -21,7 +24,7 @@ _LINE_COLS = _LINE.split(", ")
 def _(t):
     """A small summary goes to pandas and comes back as a frame; the rows stay in Spark."""
     means = t.customer.groupBy("c_mktsegment").agg(F.avg("c_acctbal").alias("mean"))
-    summary = means.limit(1000).toPandas()
+    summary = pd.DataFrame(small_rows(means, 1000), columns=means.columns)
     back = t.spark.createDataFrame(summary, "c_mktsegment string, mean double")
     return t.customer.join(back, "c_mktsegment").select("c_custkey", F.round(F.col("c_acctbal") - F.col("mean"), 6).alias("over_mean"))
 
@@ -56,28 +59,38 @@ def _(t):
 
 
 def _yearly(t):
-    """Totals per customer and year: as many rows per customer as there are years."""
-    return t.orders.groupBy(F.col("o_custkey").alias("custkey"), F.year("o_orderdate").alias("year")).agg(
+    """Totals per nation and year: a nation has as many rows as there are years."""
+    joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy(F.col("c_nationkey").alias("nation"), F.year("o_orderdate").alias("year")).agg(
         F.sum("o_totalprice").alias("total"))
 
 
 _YEARLY = """
-    WITH y AS (SELECT o_custkey AS custkey, CAST(year(o_orderdate) AS INTEGER) AS year, sum(o_totalprice) AS total FROM orders GROUP BY 1, 2)"""
+    WITH y AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, sum(o_totalprice) AS total
+               FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)"""
 
 
 @query("e30_aggregate_over_window", _YEARLY + """
-    SELECT custkey, year, round(avg(total) OVER (PARTITION BY custkey), 4) AS mean FROM y""")
+    SELECT nation, year, round(avg(total) OVER (PARTITION BY nation), 2) AS mean FROM y""")
 def _(t):
-    mean = U.mean_of("total").over(W.partitionBy("custkey"))
-    return _yearly(t).select("custkey", "year", F.round(mean, 4).alias("mean"))
+    mean = U.mean_of("total").over(W.partitionBy("nation"))
+    return _yearly(t).select("nation", "year", F.round(mean, 2).alias("mean"))
 
 
 @query("e31_grouped_map", _YEARLY + """
-    SELECT custkey, year, round(total - avg(total) OVER (PARTITION BY custkey), 4) + 0.0 AS total FROM y""")
+    SELECT nation, year, round(total - avg(total) OVER (PARTITION BY nation), 2) + 0.0 AS total FROM y""")
 def _(t):
-    centred = _yearly(t).groupBy("custkey").applyInPandas(
-        U.subtract_group_mean("custkey", "total"), "custkey long, year int, total double")
-    return centred.select("custkey", "year", (F.round("total", 4) + F.lit(0.0)).alias("total"))
+    centred = _yearly(t).groupBy("nation").applyInPandas(
+        U.subtract_group_mean("nation", "total"), "nation int, year int, total double")
+    return centred.select("nation", "year", (F.round("total", 2) + F.lit(0.0)).alias("total"))
+
+
+@query("e31_native_form", """
+    SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 4) + 0.0 AS value FROM events""")
+def _(t):
+    """The same on raw rows, where a group may be any size: mean per group, joined back."""
+    centred = with_key_stats(t.events, ["event_type"], mean=F.avg("value"))
+    return centred.select("event_id", (F.round(F.col("value") - F.col("mean"), 4) + F.lit(0.0)).alias("value"))
 
 
 @query("e32_map_in_pandas", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")

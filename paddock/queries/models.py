@@ -14,6 +14,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
 from paddock.ml import features, models
+from paddock.operators.hot import small_rows
 from paddock.plans import league
 from paddock.queries import league as store
 from paddock.queries.registry import query
@@ -341,9 +342,10 @@ def _(t):
     """One step of k-means: the mean of every label is a centre, each vector takes the nearest."""
     means = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(
         F.avg(F.col("x").cast("double")).alias("m"))
-    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c")).orderBy("label").limit(1000).collect()
+    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c")).orderBy("label")
     # The centres are few (one per label) and travel with the plan.
-    listed = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.array(*[F.lit(e["m"]) for e in r["c"]]).alias("c")) for r in centres])
+    listed = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.array(*[F.lit(e["m"]) for e in r["c"]]).alias("c"))
+                       for r in small_rows(centres, 1000)])
 
     def distance(centre):
         parts = F.zip_with(F.col("embedding"), centre, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
