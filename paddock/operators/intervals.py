@@ -33,19 +33,17 @@ def count_within(points: DataFrame, marks: DataFrame, keys: list[str], time: str
     The count is the difference of two running counts: marks up to the upper end
     minus marks before the lower end. Nothing is joined pairwise.
     """
-    row = F.struct(*points.columns)
     lower = F.col(time) - F.expr(f"INTERVAL {before}")
     upper = F.col(time) + F.expr(f"INTERVAL {after}")
-    probes = points.select(*keys, F.col(tie), row.alias("_row"), F.explode(F.array(
-        F.struct(lower.alias("_at"), F.lit(0).alias("_side")),
-        F.struct(upper.alias("_at"), F.lit(2).alias("_side")))).alias("e"))
-    probes = probes.select(*keys, tie, "_row", "e._at", "e._side", F.lit(None).cast("int").alias("_mark"))
-    hits = marks.select(*keys, F.col(tie), F.lit(None).cast(points.select(row).schema[0].dataType).alias("_row"),
-                        F.col(time).alias("_at"), F.lit(1).alias("_side"), F.lit(1).alias("_mark"))
-    scanned = running(probes.unionByName(hits), keys, ["_at", "_side", tie], {"_n": running_count("_mark")}, group_rows)
+    ends = F.array(F.struct(lower.alias("at"), F.lit(0).alias("side")), F.struct(upper.alias("at"), F.lit(2).alias("side")))
+    probes = points.select("*", F.explode(ends).alias("e")).select(
+        *points.columns, F.col("e.at").alias("_at"), F.col("e.side").alias("_side"))
+    hits = marks.select(*keys, tie, F.col(time).alias("_at"), F.lit(1).alias("_side"), F.lit(1).alias("_mark"))
+    both = probes.unionByName(hits, allowMissingColumns=True)
+    scanned = running(both, keys, ["_at", "_side", tie], {"_n": running_count("_mark")}, group_rows)
     signed = F.when(F.col("_side") == 2, F.col("_n")).otherwise(-F.col("_n"))
-    counted = scanned.where(F.col("_side") != 1).groupBy("_row").agg(F.sum(signed).alias(name))
-    return counted.select("_row.*", name)
+    # The keys are among the grouping columns, so the scan's partitioning is used again.
+    return scanned.where(F.col("_side") != 1).groupBy(*points.columns).agg(F.sum(signed).alias(name))
 
 
 def count_below(points: DataFrame, marks: DataFrame, point: Column, mark: Column, key: str, name: str,
