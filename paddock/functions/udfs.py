@@ -2,7 +2,7 @@
 
 These are the Python forms the engine offers for logic the built-in functions do
 not have. Groups handed to pandas are bounded: rows are cut into pieces or
-aggregated first.
+aggregated first. Types are objects, since text types would need a session at import.
 """
 
 from __future__ import annotations
@@ -13,44 +13,45 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PIECE_ROWS = 50_000
 
 
-@F.pandas_udf("first string, rest string")
+@F.pandas_udf(T.StructType().add("first", T.StringType()).add("rest", T.StringType()))
 def split_name(names: pd.Series) -> pd.DataFrame:
     """Series to frame: text before and after the first '#'."""
     parts = names.str.partition("#")
     return pd.DataFrame({"first": parts[0], "rest": parts[2]})
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def discounted(price: pd.Series, discount: pd.Series) -> pd.Series:
     """Series to series."""
     return price * (1 - discount)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def plus_one(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Iterator of series, for functions with an expensive start."""
     for batch in batches:
         yield batch + 1
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def product_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Iterator of several series."""
     for a, b in batches:
         yield a * b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def mean_of(values: pd.Series) -> float:
     """Series to scalar, usable as an aggregate and over a window."""
     return float(values.mean())
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def size_of(values: pd.Series) -> int:
     return int(values.count())
 
@@ -103,17 +104,17 @@ def custom_average(df: DataFrame, key: str, value: str) -> DataFrame:
     return merged.select(key, (F.col("total") / F.col("n")).alias("average"))
 
 
-@F.udf("int", useArrow=True)
+@F.udf(T.IntegerType(), useArrow=True)
 def text_length(text: str) -> int:
     return None if text is None else len(text)
 
 
-@F.udf("boolean", useArrow=True)
+@F.udf(T.BooleanType(), useArrow=True)
 def is_round(value: float) -> bool:
     return value is not None and value == int(value)
 
 
-@F.udtf(returnType="place int, word string")
+@F.udtf(returnType=T.StructType().add("place", T.IntegerType()).add("word", T.StringType()))
 class Words:
     """Table function: the words of a text with their place."""
 

@@ -15,7 +15,9 @@ def _space(t, name):
     return workspace(t.spark, name)
 
 
-PAYLOAD = T.StructType.fromDDL("id bigint, full_name string, points double, status string")
+PAYLOAD = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("full_name", T.StringType()),
+    T.StructField("points", T.DoubleType()), T.StructField("status", T.StringType())])
 
 
 @query("s01_payload_scan", """
