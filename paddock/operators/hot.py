@@ -9,6 +9,7 @@ range-partitioned runs, so one group spreads over as many tasks as it needs.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ from paddock.session import checkpoint
 GROUP_ROWS = 2_000_000
 # Rows one task may sort when there is no key at all.
 KEYLESS_ROWS = 1_000_000
+# Smallest run worth a task of its own.
+MIN_RUN_ROWS = 100_000
 # Smallest share that is looked for; bounds the candidate list to 10,000 values.
 MIN_SHARE = 1e-4
 
 RUN = "_run"
 ROW = "_row"
+SIZE = "_rows"
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
@@ -54,8 +58,9 @@ def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS,
 
     ``bound`` is a frame that is cheaper to count and has at least as many rows.
     The first pass keeps at most 1/share candidate hashes, the second counts
-    those exactly, so neither shuffles by key. The result has at most
-    ``rows / group_rows`` rows and can be broadcast.
+    those exactly, so neither shuffles by key. The result, the keys and their
+    number of rows in ``_rows``, has at most ``rows / group_rows`` rows and can
+    be broadcast.
     """
     total = (df if bound is None else bound).count()
     if total <= group_rows:
@@ -66,8 +71,8 @@ def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS,
     if not found:
         return None
     hot = checkpoint(
-        df.where(digest.isin(found)).groupBy(*keys).count()
-        .where(F.col("count") > group_rows).select(*keys)
+        df.where(digest.isin(found)).groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
+        .where(F.col(SIZE) > group_rows)
     )
     return None if hot.isEmpty() else hot
 
@@ -78,14 +83,16 @@ def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame
             null_safe_join(df, hot, keys, "left_semi", small=True))
 
 
-def sorted_runs(df: DataFrame, order: list) -> DataFrame:
+def sorted_runs(df: DataFrame, order: list, rows: int, run_rows: int) -> DataFrame:
     """``df`` in total order as range partitions, with ``_run`` and ``_row``.
 
-    ``_row`` ascends over the whole result and ``_run`` numbers the partitions.
+    ``_row`` ascends over the whole result and ``_run`` numbers the partitions,
+    of which there are enough to give each about ``run_rows`` of the ``rows``.
     The runs are written to the shared folder, because the numbers must not
     change when a lost partition is computed again.
     """
-    runs = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = max(usual, ceil(rows / max(run_rows, MIN_RUN_ROWS)))
     laid_out = df.repartitionByRange(runs, *order).sortWithinPartitions(*order)
     numbered = laid_out.withColumn(ROW, F.monotonically_increasing_id())
     return checkpoint(numbered.withColumn(RUN, F.shiftright(ROW, 33)))

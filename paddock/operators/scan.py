@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paddock.operators.hot import (
-    GROUP_ROWS, KEYLESS_ROWS, ROW, RUN, hot_keys, null_safe_join, sorted_runs, split_hot,
+    GROUP_ROWS, KEYLESS_ROWS, ROW, RUN, SIZE, hot_keys, null_safe_join, sorted_runs, split_hot,
 )
 
 
@@ -72,7 +72,7 @@ def latest(column: str, before: bool = False) -> Measure:
 
 def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Measure],
             group_rows: int | None = None, bound: DataFrame | None = None,
-            hot: DataFrame | None | str = "detect") -> DataFrame:
+            hot: DataFrame | str | None = "detect") -> DataFrame:
     """``df`` plus one scanned column per measure, per key and in ``order``.
 
     ``order`` should end in a unique column. ``hot`` takes the result of an
@@ -82,13 +82,14 @@ def running(df: DataFrame, keys: list[str], order: list, measures: dict[str, Mea
     limit = group_rows or (GROUP_ROWS if keys else KEYLESS_ROWS)
     if not keys:
         rows = (df if bound is None else bound).count()
-        return _plain(df, keys, order, measures) if rows <= limit else _by_runs(df, keys, order, measures)
+        return _plain(df, keys, order, measures) if rows <= limit else _by_runs(df, keys, order, measures, rows, limit)
     if isinstance(hot, str):
         hot = hot_keys(df, keys, limit, bound)
     if hot is None:
         return _plain(df, keys, order, measures)
     rest, crowded = split_hot(df, keys, hot)
-    return _plain(rest, keys, order, measures).unionByName(_by_runs(crowded, keys, order, measures))
+    return _plain(rest, keys, order, measures).unionByName(
+        _by_runs(crowded, keys, order, measures, _hot_rows(hot), limit))
 
 
 def _plain(df, keys, order, measures):
@@ -96,8 +97,12 @@ def _plain(df, keys, order, measures):
     return df.select("*", *[m.over(window).alias(n) for n, m in measures.items()])
 
 
-def _by_runs(df, keys, order, measures):
-    runs = sorted_runs(df, [*keys, *order])
+def _hot_rows(hot):
+    return hot.agg(F.sum(SIZE)).first()[0]
+
+
+def _by_runs(df, keys, order, measures, rows, run_rows):
+    runs = sorted_runs(df, [*keys, *order], rows, run_rows)
     inside = W.partitionBy(*keys, RUN).orderBy(ROW)
     scanned = runs.select("*", *[m.over(inside).alias(n) for n, m in measures.items()])
     totals = runs.groupBy(*keys, RUN).agg(*[m.of_run().alias(f"_c_{n}") for n, m in measures.items()])
@@ -127,7 +132,7 @@ def ranked(df: DataFrame, keys: list[str], order: str, tie: str, tiles: int = 4,
         return _ranked_plain(df, keys, order, tie, tiles)
     rest, crowded = split_hot(df, keys, hot)
     return _ranked_plain(rest, keys, order, tie, tiles).unionByName(
-        _ranked_by_runs(crowded, keys, order, tie, tiles))
+        _ranked_by_runs(crowded, keys, order, tie, tiles, _hot_rows(hot), group_rows))
 
 
 def _ranked_plain(df, keys, order, tie, tiles):
@@ -144,16 +149,16 @@ def _ranked_plain(df, keys, order, tie, tiles):
     )
 
 
-def _ranked_by_runs(df, keys, order, tie, tiles):
+def _ranked_by_runs(df, keys, order, tie, tiles, rows, run_rows):
     # Ranks depend on the distinct values only, so they are scanned on counts.
     values = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
     scanned = _by_runs(values, keys, [order], {
         "_below": running_sum("_n", before=True),
         "dense_rank": running_count(),
-    })
+    }, rows, run_rows)
     sizes = values.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     scanned = null_safe_join(scanned, sizes, keys, "inner", small=True)
-    numbered = _by_runs(df, keys, [order, tie], {"row_number": running_count()})
+    numbered = _by_runs(df, keys, [order, tie], {"row_number": running_count()}, rows, run_rows)
     joined = null_safe_join(numbered, scanned, [*keys, order], "inner")
     size, below, number = F.col("_size"), F.col("_below"), F.col("row_number")
     short, extra = F.floor(size / tiles), size % tiles

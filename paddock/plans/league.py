@@ -11,6 +11,7 @@ from paddock.functions import text as X
 from paddock.operators import joins, rows
 from paddock.operators.scan import dense_ids
 from paddock.plans import values as V
+from paddock.session import checkpoint
 from paddock.sources import files
 
 
@@ -62,7 +63,9 @@ def page_races(names: DataFrame, pages: DataFrame, aliases: DataFrame, league: s
 
     ``pages(page_key, html)``; the page is found by plain, suffixed or alias key.
     """
-    found = pages.select("page_key", X.first_races(F.col("html"), league).alias("races")).where(F.size("races") > 0)
+    races = pages.select("page_key", X.first_races(F.col("html"), league).alias("races"))
+    # Written once: both joins below need it, and the pages are the large input.
+    found = checkpoint(races.where(F.size("races") > 0))
     chosen = X.resolve_pages(names, found, aliases).join(found, "page_key")
     races = chosen.select("full_name", F.explode("races").alias("r"))
     return races.select("full_name", C.map_values(F.col("r.series"), V.SERIES_CODES).alias("series"),
