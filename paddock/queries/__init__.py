@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("columns", "keyed", "texts", "relational", "graphs", "events", "functions", "files", "streams", "league", "models")
+_MODULES = ("columns", "keyed", "texts", "relational", "graphs", "events", "functions", "files", "streams", "league", "models", "transformers")
 
 
 def load() -> None:
