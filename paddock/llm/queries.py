@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import fixity, quality, secret_scan, urls
+from paddock.llm import fixity, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
 from paddock.operators.scan import running, running_sum
 from paddock.session import checkpoint, prepare
@@ -149,3 +149,10 @@ def op10_url_filter(table):
     """Host, path, deciding rule and verdict of every page; no page of these tables has an alias link."""
     return urls.judge(table("pages").select("page_id", "url", "html"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@_query("op3_simhash")
+def op3_simhash(table):
+    """Fingerprint and component of every document."""
+    found = simhash.components(table("documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.print_hex().alias("fingerprint"), "component_id")
