@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import fixity, quality, secret_scan, simhash, urls
+from paddock.llm import decontaminate, fixity, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
 from paddock.operators.scan import running, running_sum
 from paddock.session import checkpoint, prepare
@@ -156,3 +156,28 @@ def op3_simhash(table):
     """Fingerprint and component of every document."""
     found = simhash.components(table("documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.print_hex().alias("fingerprint"), "component_id")
+
+
+_OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT k, s, n, array_to_string(w[s:s + n - 1], ' ') AS phrase
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN sizes WHERE len(w) >= n)),
+m AS (SELECT DISTINCT k, s, n, item_id FROM dw JOIN iw USING (n, phrase)),
+hits AS (SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS j FROM m) GROUP BY k),
+named AS (SELECT k, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM m GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (k) LEFT JOIN named USING (k)
+"""
+
+
+@_query("op7_decontaminate", _OP7_SQL)
+def op7_decontaminate(table):
+    """Words of every document inside windows of benchmark items, and the items they come from."""
+    return decontaminate.contamination(table("documents").select("doc_id", "text"), table("benchmark"))
