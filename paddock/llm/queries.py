@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import decontaminate, fixity, quality, secret_scan, simhash, urls
+from paddock.llm import bitplanes, decontaminate, fixity, packing, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
+from paddock.llm.tokens import encoder
 from paddock.operators.scan import running, running_sum
-from paddock.session import checkpoint, prepare
+from paddock.session import checkpoint, prepare, workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,3 +183,20 @@ FROM d LEFT JOIN hits USING (k) LEFT JOIN named USING (k)
 def op7_decontaminate(table):
     """Words of every document inside windows of benchmark items, and the items they come from."""
     return decontaminate.contamination(table("documents").select("doc_id", "text"), table("benchmark"))
+
+
+@_query("op4_best_fit_packing")
+def op4_best_fit_packing(table):
+    """Every piece of every document with its sequence and place."""
+    return packing.pack_documents(table("documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query("op5_bit_planes")
+def op5_bit_planes(table):
+    """Every document as read back from the files of planes."""
+    docs = table("documents").select("doc_id", "text")
+    spark = docs.sparkSession
+    path = workspace(spark, "token-ids")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    bitplanes.write_shards(docs, path, lambda text: encoder(tokenizer).ids(text))
+    return bitplanes.read_documents(spark, path)
