@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bitplanes, decontaminate, fixity, packing, quality, secret_scan, simhash, urls
+from paddock.llm import bitplanes, chat, decontaminate, fixity, packing, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
 from paddock.llm.tokens import encoder
 from paddock.operators.scan import running, running_sum
@@ -200,3 +200,30 @@ def op5_bit_planes(table):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     bitplanes.write_shards(docs, path, lambda text: encoder(tokenizer).ids(text))
     return bitplanes.read_documents(spark, path)
+
+
+_OP1_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, length(role) + length(text) + 13 + length(role) - length(replace(role, chr(10), ''))
+    + length(role || ' ' || text) - length(replace(role || ' ' || text, '\', ''))
+    + coalesce(list_sum(list_transform(regexp_extract_all(role || ' ' || text, '#{3,}'), lambda x: length(x) - 2)), 0)
+    + len(regexp_extract_all(role || ' ' || text, '</turn>')) AS size FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@_query("op1_chat_format", _OP1_SQL)
+def op1_chat_format(table):
+    """Every conversation formatted, and what is read back from the formatted form."""
+    turns = table("conversations").select("conv_id", "turn", "role", "text")
+    odd = "\\### Assistant: </turn> ok"
+    more = turns.sparkSession.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], turns.schema)
+    return chat.digests(chat.format_conversations(turns.unionByName(more)))
