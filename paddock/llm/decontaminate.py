@@ -39,6 +39,8 @@ WINDOW = 10
 # Bits of the bitmap of terms: half a megabyte.
 BUCKETS = 1 << 22
 BROADCAST_CANDIDATES = 50_000
+# Contaminated documents whose keys may be broadcast.
+BROADCAST_KEYS = 200_000
 # Bytes of text whose words are hashed at once.
 STEP = 1 << 20
 
@@ -219,9 +221,13 @@ def _candidates(index: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
     return one.unionByName(near.select("_key", "wid", "start")).distinct()
 
 
+def _key():
+    """What stands for a document: its id and a hash of its text."""
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit(":"), F.hex(F.xxhash64(F.col("text").cast("string"))))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit(":"), F.hex(F.xxhash64("text")))
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("_key", key)
+    return docs.select(_key().alias("_key"), F.col("text").cast("string").alias("text"))
 
 
 def _found_in(text: str, wanted, slop: int) -> list[tuple[int, int, int, str]]:
@@ -301,5 +307,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without those in which a window of an item occurs; all columns stay."""
     _, found, _ = matches(docs, items, size)
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit(":"), F.hex(F.xxhash64(F.col("text").cast("string"))))
-    return docs.withColumn("_key", key).join(found.select("_key"), "_key", "left_anti").select(*docs.columns)
+    gone = found.select("_key")
+    if found.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return docs.withColumn("_key", _key()).join(gone, "_key", "left_anti").select(*docs.columns)

@@ -128,6 +128,12 @@ def decide(entries: DataFrame, policy: Policy, name: str = "kept") -> DataFrame:
     return entries.withColumn(name, F.col("failed").bitwiseAND(F.lit(policy.mask())) == 0)
 
 
+def passing(docs: DataFrame, policy: Policy, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` a policy keeps, with the columns they have."""
+    entries = ledger(docs.select(F.struct("*").alias("_row"), F.col(text)), text)
+    return decide(entries, policy, "_kept").where("_kept").select("_row.*")
+
+
 def ablations(entries: DataFrame, policy: Policy) -> DataFrame:
     """(rule, failing, only_this, kept_without) of a policy, one row per rule of it.
 

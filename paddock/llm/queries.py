@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bitplanes, chat, decontaminate, fixity, packing, quality, secret_scan, simhash, urls
+from paddock.llm import bitplanes, chat, decontaminate, extract, fixity, packing, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
 from paddock.llm.tokens import encoder
 from paddock.operators.scan import running, running_sum
@@ -227,3 +227,10 @@ def op1_chat_format(table):
     odd = "\\### Assistant: </turn> ok"
     more = turns.sparkSession.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], turns.schema)
     return chat.digests(chat.format_conversations(turns.unionByName(more)))
+
+
+@_query("op9_main_text")
+def op9_main_text(table):
+    """The main text of every page and its length."""
+    found = extract.extract(table("pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -166,17 +166,22 @@ def entropy_spans(text: Column, classes: tuple[CharClass, ...] = CLASSES, allowe
     return F.concat(*parts)
 
 
-def scan(docs: DataFrame, text: str = "text", classes: tuple[CharClass, ...] = CLASSES,
-         allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
-    """``docs`` with ``spans``: base spans, and entropy spans that lie in none of them."""
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+def spans_of(text: Column, classes: tuple[CharClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> Column:
+    """Base spans, and entropy spans that lie in none of them, by start and then by kind."""
+    body = F.coalesce(text.cast("string"), F.lit(""))
 
     def joined(base):
         more = F.filter(entropy_spans(body, classes, allowed), lambda e: ~F.exists(
             base, lambda b: (b["start"] <= e["start"]) & (e["stop"] <= b["stop"])))
         return F.sort_array(F.concat(base, more))
 
-    return docs.withColumn("spans", let(base_spans(body), joined))
+    return let(base_spans(body), joined)
+
+
+def scan(docs: DataFrame, text: str = "text", classes: tuple[CharClass, ...] = CLASSES,
+         allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+    """``docs`` with ``spans``, an array of (start, rank, kind, stop)."""
+    return docs.withColumn("spans", spans_of(F.col(text), classes, allowed))
 
 
 def written(spans: Column) -> Column:
@@ -201,6 +206,5 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataF
 
     done = F.aggregate("_spans", first, cut, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substring(body, s["at"] + 1, F.length(body))))
-    found = scan(docs, text).withColumnRenamed("spans", "_spans")
-    out = found.withColumn(text, F.when(F.size("_spans") > 0, done).otherwise(body))
-    return out.select(*docs.columns)
+    found = docs.withColumn("_spans", spans_of(F.col(text)))
+    return found.withColumn(text, F.when(F.size("_spans") > 0, done).otherwise(body)).drop("_spans")
