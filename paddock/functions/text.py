@@ -39,11 +39,11 @@ def split_two(column: Column, separator: str = ",") -> tuple[Column, Column]:
     return F.trim(parts[0]), F.trim(F.get(parts, F.lit(1)))
 
 
-def insert_gap(items: Column, position: int) -> Column:
+def insert_gap(items: Column, position: int | Column) -> Column:
     """The array with a NULL inserted at a zero-based position."""
-    missing = F.array(F.lit(None).cast("string"))
-    return F.concat(F.slice(items, 1, position), missing,
-                    F.slice(items, F.lit(position + 1), F.greatest(F.size(items) - position, F.lit(0))))
+    missing, position = F.array(F.lit(None).cast("string")), F.lit(position)
+    return F.concat(F.slice(items, F.lit(1), position), missing,
+                    F.slice(items, position + 1, F.greatest(F.size(items) - position, F.lit(0))))
 
 
 def page_key(name: Column, suffix: str = "") -> Column:

@@ -2,7 +2,7 @@
 
 A window partitioned by a key puts the whole group into one task. That is the
 best plan as long as no group is large. ``hot_keys`` finds the groups that are
-too large with one bounded aggregate, and ``sorted_runs`` lays such rows out in
+too large with one distributed count, and ``sorted_runs`` lays such rows out in
 range-partitioned runs, so one group spreads over as many tasks as it needs.
 """
 
@@ -22,8 +22,6 @@ GROUP_ROWS = 2_000_000
 KEYLESS_ROWS = 1_000_000
 # Smallest run worth a task of its own.
 MIN_RUN_ROWS = 100_000
-# Smallest share that is looked for; bounds the candidate list to 10,000 values.
-MIN_SHARE = 1e-4
 
 RUN = "_run"
 ROW = "_row"
@@ -56,24 +54,23 @@ def hot_keys(df: DataFrame, keys: list[str], group_rows: int = GROUP_ROWS,
              bound: DataFrame | None = None) -> DataFrame | None:
     """Keys with more than ``group_rows`` rows, or None when there are none.
 
-    ``bound`` is a frame that is cheaper to count and has at least as many rows.
-    The first pass keeps at most 1/share candidate hashes, the second counts
-    those exactly, so neither shuffles by key. The result, the keys and their
-    number of rows in ``_rows``, has at most ``rows / group_rows`` rows and can
-    be broadcast.
+    ``bound`` is a frame that is cheaper to count and has at least as many rows;
+    with few of them nothing else is read. The rows are counted per key hash,
+    summed up in the map tasks before they are shuffled, and only hashes of
+    crowded groups are counted once more by their keys. No key is overlooked
+    whatever its share. The result, the keys and their number of rows in
+    ``_rows``, has at most ``rows / group_rows`` rows and can be broadcast.
     """
-    total = (df if bound is None else bound).count()
-    if total <= group_rows:
+    if bound is not None and bound.count() <= group_rows:
         return None
-    share = max(group_rows / total, MIN_SHARE)
     digest = F.xxhash64(*keys)
-    found = df.select(digest.alias("h")).freqItems(["h"], share).first()[0]
-    if not found:
+    crowded = checkpoint(df.groupBy(digest.alias("_hash")).agg(F.count(F.lit(1)).alias(SIZE))
+                         .where(F.col(SIZE) > group_rows).select("_hash"))
+    if crowded.isEmpty():
         return None
-    hot = checkpoint(
-        df.where(digest.isin(found)).groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
-        .where(F.col(SIZE) > group_rows)
-    )
+    # As few rows as there are crowded groups, so they are sent to the rows.
+    candidates = df.withColumn("_hash", digest).join(F.broadcast(crowded), "_hash", "left_semi")
+    hot = checkpoint(candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE)).where(F.col(SIZE) > group_rows))
     return None if hot.isEmpty() else hot
 
 

@@ -157,13 +157,13 @@ def _(t):
 
 
 @query("e40_schema_merge", """
-    SELECT p_partkey, p_size * p_size AS square, NULL::INTEGER AS cube, 1 AS key FROM part
-    UNION ALL SELECT p_partkey, NULL, p_size * p_size * p_size, 2 FROM part""")
+    SELECT s_suppkey, s_name, NULL::DOUBLE AS s_acctbal, 'names' AS delivery FROM supplier
+    UNION ALL SELECT s_suppkey, NULL, s_acctbal, 'balances' FROM supplier""")
 def _(t):
-    path = _space(t, "merged")
-    size = F.col("p_size")
-    t.part.select("p_partkey", (size * size).alias("square")).write.parquet(f"{path}/key=1")
-    t.part.select("p_partkey", (size * size * size).alias("cube")).write.parquet(f"{path}/key=2")
+    """Deliveries of one table with other columns, read as one."""
+    path = _space(t, "deliveries")
+    t.supplier.select("s_suppkey", "s_name").write.parquet(f"{path}/delivery=names")
+    t.supplier.select("s_suppkey", "s_acctbal").write.parquet(f"{path}/delivery=balances")
     return t.spark.read.option("mergeSchema", True).parquet(path)
 
 

@@ -40,22 +40,24 @@ def _(t):
     return t.lineitem.select(*_LINE_COLS, F.round(U.discounted("l_extendedprice", "l_discount"), 4).alias("net"))
 
 
-@query("e29_iterator", "SELECT o_orderkey, o_totalprice + 1 AS more FROM orders")
+@query("e29_iterator", """
+    SELECT event_id, CAST(nullif(regexp_extract(props, '-?[0-9]+([.][0-9]+)?'), '') AS DOUBLE) AS number FROM events""")
 def _(t):
-    return t.orders.select("o_orderkey", U.plus_one("o_totalprice").alias("more"))
+    return t.events.select("event_id", U.first_number("props").alias("number"))
 
 
-@query("e29_multi_iterator", f"SELECT {_LINE}, round(l_quantity * l_tax, 6) + 0.0 AS product FROM lineitem")
+@query("e29_multi_iterator", f"""
+    SELECT {_LINE}, CAST(CASE WHEN net < 1000 THEN 0 WHEN net < 10000 THEN 1 WHEN net < 30000 THEN 2 WHEN net < 60000 THEN 3 ELSE 4 END AS BIGINT) AS band
+    FROM (SELECT *, round(l_extendedprice * (1 - l_discount), 2) AS net FROM lineitem)""")
 def _(t):
-    product = F.round(U.product_of("l_quantity", "l_tax"), 6) + F.lit(0.0)
-    return t.lineitem.select(*_LINE_COLS, product.alias("product"))
+    return t.lineitem.select(*_LINE_COLS, U.net_band("l_extendedprice", "l_discount").alias("band"))
 
 
 @query("e30_vectorised_aggregate", """
-    SELECT l_returnflag, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY 1""")
+    SELECT l_returnflag, round(sqrt(avg(l_quantity * l_quantity)), 6) AS rms FROM lineitem GROUP BY 1""")
 def _(t):
-    means = U.mean_in_pieces(t.lineitem, ["l_returnflag"], "l_quantity")
-    return means.select("l_returnflag", F.round("mean", 6).alias("mean"))
+    found = U.rms_in_pieces(t.lineitem, ["l_returnflag"], "l_quantity")
+    return found.select("l_returnflag", F.round("rms", 6).alias("rms"))
 
 
 def _yearly(t):
@@ -71,18 +73,18 @@ _YEARLY = """
 
 
 @query("e30_aggregate_over_window", _YEARLY + """
-    SELECT nation, year, round(avg(total) OVER (PARTITION BY nation), 2) AS mean FROM y""")
+    SELECT nation, year, round(sqrt(avg(total * total) OVER (PARTITION BY nation)), 2) AS rms FROM y""")
 def _(t):
-    mean = U.mean_of("total").over(W.partitionBy("nation"))
-    return _yearly(t).select("nation", "year", F.round(mean, 2).alias("mean"))
+    rms = U.root_mean_square("total").over(W.partitionBy("nation"))
+    return _yearly(t).select("nation", "year", F.round(rms, 2).alias("rms"))
 
 
 @query("e31_grouped_map", _YEARLY + """
-    SELECT nation, year, round(total - avg(total) OVER (PARTITION BY nation), 2) + 0.0 AS total FROM y""")
+    SELECT nation, year, round(sum(total) OVER (PARTITION BY nation ORDER BY year) / sum(total) OVER (PARTITION BY nation), 8) AS share FROM y""")
 def _(t):
-    centred = _yearly(t).groupBy("nation").applyInPandas(
-        U.subtract_group_mean("nation", "total"), "nation int, year int, total double")
-    return centred.select("nation", "year", (F.round("total", 2) + F.lit(0.0)).alias("total"))
+    """The share of a nation's total reached by each year."""
+    shares = _yearly(t).groupBy("nation").applyInPandas(U.running_share("year", "total"), "nation int, year int, total double")
+    return shares.select("nation", "year", F.round("total", 8).alias("share"))
 
 
 @query("e31_native_form", """
@@ -93,10 +95,13 @@ def _(t):
     return centred.select("event_id", (F.round(F.col("value") - F.col("mean"), 4) + F.lit(0.0)).alias("value"))
 
 
-@query("e32_map_in_pandas", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
+@query("e32_map_in_pandas", """
+    SELECT event_id, part, round(value / 3, 6) AS value FROM events, (VALUES (1), (2), (3)) p(part) WHERE event_type = 'purchase'""")
 def _(t):
-    rows = t.events.select("event_id", "user_id", "value", "event_type")
-    return rows.mapInPandas(U.keep_where("event_type", "purchase"), rows.schema).drop("event_type")
+    """Every purchase in three instalments."""
+    rows = t.events.where("event_type = 'purchase'").select("event_id", "value")
+    return rows.mapInPandas(U.instalments("value", 3), "event_id long, value double, part int").select(
+        "event_id", "part", F.round("value", 6).alias("value"))
 
 
 @query("e34_custom_average", "SELECT l_suppkey, round(avg(l_extendedprice), 4) AS average FROM lineitem GROUP BY 1")
@@ -121,12 +126,12 @@ def _(t):
 
 
 @query("e36_views", """
-    SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal + 1), 4) AS mean FROM customer WHERE c_acctbal > 21 GROUP BY 1""")
+    SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS mean FROM customer WHERE c_acctbal >= 0 GROUP BY 1""")
 def _(t):
-    """A session view and a global view over the same table."""
-    t.customer.createOrReplaceTempView("people")
-    t.spark.sql("SELECT c_mktsegment, c_acctbal + 1 AS more FROM people WHERE c_acctbal > 21").createOrReplaceGlobalTempView("older_people")
-    return t.spark.sql("SELECT c_mktsegment, count(*) AS n, round(avg(more), 4) AS mean FROM global_temp.older_people GROUP BY 1")
+    """A view of the session and one that all sessions of the application see."""
+    t.customer.createOrReplaceTempView("accounts")
+    t.spark.sql("SELECT c_mktsegment, c_acctbal FROM accounts WHERE c_acctbal >= 0").createOrReplaceGlobalTempView("solvent_accounts")
+    return t.spark.sql("SELECT c_mktsegment, count(*) AS n, round(avg(c_acctbal), 4) AS mean FROM global_temp.solvent_accounts GROUP BY 1")
 
 
 @query("e37_declared_schema", """
@@ -156,16 +161,16 @@ def _(t):
 
 @query("b30_cogrouped_map", """
     WITH o AS (SELECT c_nationkey AS nation, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders
-               JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1, 2),
-         s AS (SELECT s_nationkey AS nation, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS shipped FROM lineitem
-               JOIN supplier ON l_suppkey = s_suppkey WHERE year(l_shipdate) % 2 = 1 GROUP BY 1, 2)
-    SELECT o.nation, o.year, n, s.shipped FROM o ASOF JOIN s ON o.nation = s.nation AND o.year >= s.year""")
-def _(t):
-    """Yearly counts of two sides met per nation; a group has one row per year."""
-    orders = t.orders.where("o_orderstatus = 'F'").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(
-        F.col("c_nationkey").alias("nation"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
-    shipped = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).where(F.year("l_shipdate") % 2 == 1).groupBy(
+               JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+         s AS (SELECT s_nationkey AS nation, CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n FROM lineitem
+               JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
+    SELECT nation, year, CAST(sum(coalesce(o.n, 0) - coalesce(s.n, 0)) OVER (PARTITION BY nation ORDER BY year) AS BIGINT) AS open
+    FROM o FULL JOIN s USING (nation, year)""")
+def _(t):
+    """Orders placed less lines shipped, summed up over the years per nation; a group has one row per year."""
+    placed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).groupBy(
+        F.col("c_nationkey").alias("nation"), F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("placed"))
+    shipped = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy(
         F.col("s_nationkey").alias("nation"), F.year("l_shipdate").alias("year")).agg(F.count(F.lit(1)).alias("shipped"))
-    met = orders.groupBy("nation").cogroup(shipped.groupBy("nation")).applyInPandas(
-        U.as_of_in_group("year", "nation"), "nation int, year int, n long, shipped long")
-    return met.where(F.col("shipped").isNotNull())
+    return placed.groupBy("nation").cogroup(shipped.groupBy("nation")).applyInPandas(
+        U.backlog("nation", "year", "placed", "shipped"), "nation int, year int, open long")

@@ -140,9 +140,11 @@ def _(t):
 @query("u02_union_groups", """
     SELECT o_orderkey, lower(o_orderstatus) AS series FROM orders""")
 def _(t):
-    frames = [t.orders.where(F.col("o_orderstatus") == s).select("o_orderkey", F.lit(s.lower()).alias("series"))
-              for s in ("F", "O", "P")]
-    return rows.union_by_name(frames)
+    """Named groups and the remainder, missing status included, so that every row is in one frame."""
+    status = F.col("o_orderstatus")
+    frames = [t.orders.where(status == s).select("o_orderkey", F.lit(s.lower()).alias("series")) for s in ("F", "O")]
+    rest = t.orders.where(~F.coalesce(status.isin("F", "O"), F.lit(False))).select("o_orderkey", F.lower(status).alias("series"))
+    return rows.union_by_name([*frames, rest])
 
 
 @query("u03_union_partial", """
@@ -225,18 +227,18 @@ def _(t):
 
 
 @query("o06_gap_alignment", """
-    WITH w AS (SELECT conv_id, turn, string_split(text, ' ')[1:6] AS names FROM conversations),
-         y AS (SELECT conv_id, turn, names, list_transform(names, lambda x: CAST(length(x) AS VARCHAR)) AS years FROM w
-               WHERE len(names) = 6),
-         g AS (SELECT conv_id, turn, names, years[1:2] || [NULL] || years[4:6] AS years FROM y)
-    SELECT conv_id, turn, i - 1 AS pos, names[i] AS name, years[i] AS year FROM g, range(1, 7) r(i)""")
+    WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS names FROM conversations),
+         y AS (SELECT conv_id, turn, names, len(names) // 2 AS gap, list_transform(names, lambda x: CAST(length(x) AS VARCHAR)) AS years FROM w),
+         g AS (SELECT conv_id, turn, names, list_concat(list_concat(years[1:gap], [NULL]), years[gap + 2:len(names)]) AS years FROM y)
+    SELECT conv_id, turn, i - 1 AS pos, names[i] AS name, years[i] AS year
+    FROM (SELECT *, unnest(range(1, len(names) + 1)) AS i FROM g)""")
 def _(t):
-    """Two lists cut from one text, the second one lacking its third entry."""
-    names = F.slice(F.split("text", " "), 1, 6)
-    cut = t.conversations.select("conv_id", "turn", names.alias("names")).where(F.size("names") == 6)
+    """Two lists cut from one whole text, the second one lacking the entry in its middle."""
+    cut = t.conversations.select("conv_id", "turn", F.split("text", " ").alias("names")).withColumn(
+        "gap", F.floor(F.size("names") / 2).cast("int"))
     years = F.transform("names", lambda x: F.length(x).cast("string"))
-    short = cut.withColumn("years", F.concat(F.slice(years, 1, 2), F.slice(years, 4, 3)))
-    aligned = F.arrays_zip(F.col("names"), X.insert_gap(F.col("years"), 2).alias("filled"))
+    short = cut.withColumn("years", F.concat(F.slice(years, F.lit(1), F.col("gap")), F.slice(years, F.col("gap") + 2, F.size("names"))))
+    aligned = F.arrays_zip(F.col("names"), X.insert_gap(F.col("years"), F.col("gap")).alias("filled"))
     return short.select("conv_id", "turn", F.posexplode(aligned).alias("pos", "e")).select(
         "conv_id", "turn", F.col("pos").cast("long").alias("pos"), F.col("e.names").alias("name"), F.col("e.filled").alias("year"))
 

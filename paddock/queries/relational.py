@@ -8,10 +8,6 @@ from paddock.operators import intervals, rows, scan
 from paddock.operators.hot import hot_keys, null_safe_join
 from paddock.queries.registry import query
 
-# The five market segments of the customer table.
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
 def _join_sql(kind):
     return f"""
     WITH o AS (SELECT * FROM orders WHERE o_totalprice > 350000),
@@ -70,9 +66,10 @@ def _(t):
 def _(t):
     """Every region with every segment, empty cells included.
 
-    The segments are a fixed list, so the product is an explode of each region row.
+    The distinct segments are one value, a set of names, exploded onto each region.
     """
-    grid = t.region.select("r_regionkey", "r_name", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])).alias("segment"))
+    segments = t.customer.agg(F.collect_set("c_mktsegment")).scalar()
+    grid = t.region.withColumn("segments", segments).select("r_regionkey", "r_name", F.explode("segments").alias("segment"))
     counted = t.customer.where("c_acctbal > 9800").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
         F.col("n_regionkey").alias("r_regionkey"), F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
     return grid.join(counted, ["r_regionkey", "segment"], "left").select(
@@ -295,15 +292,20 @@ def _(t):
     SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
       ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving_mean FROM orders""")
 def _(t):
-    """Three-row moving mean from the running count and two steps back."""
-    orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    """Three-row moving mean from the two rows before; a missing value is a row all the same."""
+    return moving_mean(t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"))
+
+
+def moving_mean(orders, group_rows=scan.GROUP_ROWS):
     order = ["o_orderdate", "o_orderkey"]
-    hot = hot_keys(orders, ["o_custkey"])
-    one = scan.running(orders, ["o_custkey"], order, {"p1": scan.latest("o_totalprice", before=True)}, hot=hot)
-    two = scan.running(one, ["o_custkey"], order, {"p2": scan.latest("p1", before=True)}, hot=hot)
-    values = F.array_compact(F.array("o_totalprice", "p1", "p2"))
+    hot = hot_keys(orders, ["o_custkey"], group_rows, bound=orders)
+    # The value travels inside a struct, which is never missing itself.
+    here = orders.withColumn("here", F.struct(F.col("o_totalprice").alias("v")))
+    one = scan.running(here, ["o_custkey"], order, {"p1": scan.latest("here", before=True)}, group_rows, hot=hot)
+    two = scan.running(one, ["o_custkey"], order, {"p2": scan.latest("p1", before=True)}, group_rows, hot=hot)
+    values = F.array_compact(F.array("o_totalprice", "p1.v", "p2.v"))
     total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    return two.select("o_orderkey", F.round(total / F.size(values), 4).alias("moving_mean"))
+    return two.select("o_orderkey", F.round(F.try_divide(total, F.size(values)), 4).alias("moving_mean"))
 
 
 @query("b15_top_k", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paddock.queries.registry import query
+from paddock.session import workspace
 from paddock.streaming import jobs
 
 # A small lexicon of scored words, and the words a count leaves out.
@@ -90,13 +91,16 @@ def _(t):
     SELECT word, sum(n)::BIGINT AS n FROM (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) GROUP BY 1
       UNION ALL SELECT p_type, count(*) FROM part GROUP BY 1) GROUP BY 1""")
 def _(t):
-    """Running totals that start from an initial state."""
-    initial = t.part.groupBy(F.col("p_type").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    """Running totals whose state starts with given counts.
 
-    def with_initial(batch):
-        return batch.unionByName(initial).groupBy("word").agg(F.sum("n").alias("n"))
-
-    return jobs.drain_complete(jobs.word_counts(_stream(t, "conversations")), with_initial)
+    The initial rows are landed and enter the stream as its first input, so they
+    are part of the state like all that follows.
+    """
+    initial = workspace(t.spark, "initial")
+    t.part.groupBy(F.col("p_type").alias("word")).agg(F.count(F.lit(1)).alias("n")).write.parquet(initial)
+    said = _stream(t, "conversations").select(F.explode(F.split("text", " ")).alias("word"), F.lit(1).cast("long").alias("n"))
+    totals = jobs.file_stream(t.spark, initial).select("word", "n").union(said).groupBy("word").agg(F.sum("n").alias("n"))
+    return jobs.drain_complete(totals)
 
 
 @query("e23_recoverable_count", """
@@ -105,14 +109,12 @@ def _(t):
     FROM w WHERE word NOT IN ('the', 'of', 'and', 'to') GROUP BY 1""")
 def _(t):
     """Counts without the excluded words, next to the number of words left out."""
-    excluded = t.spark.createDataFrame([(w,) for w in EXCLUDED], "word string")
-
-    def drop_listed(batch):
-        dropped = batch.join(F.broadcast(excluded), "word", "left_semi").agg(F.sum("n")).first()[0]
-        kept = batch.join(F.broadcast(excluded), "word", "left_anti")
-        return kept.withColumn("n_dropped", F.lit(dropped or 0).cast("long"))
+    def mark(batch):
+        return batch.withColumn("listed", F.col("word").isin(*EXCLUDED))
 
-    return jobs.drain_complete(jobs.word_counts(_stream(t, "conversations")), drop_listed)
+    counted = jobs.drain_complete(jobs.word_counts(_stream(t, "conversations")), mark)
+    dropped = counted.agg(F.sum(F.when(F.col("listed"), F.col("n")))).first()[0]
+    return counted.where(~F.col("listed")).select("word", "n", F.lit(dropped or 0).cast("long").alias("n_dropped"))
 
 
 @query("e24_sql_per_batch", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import (
-    PCA, BucketedRandomProjectionLSH, CountVectorizer, HashingTF, IDF, Imputer, MaxAbsScaler, MinHashLSH, NGram,
+    PCA, BucketedRandomProjectionLSH, HashingTF, IDF, Imputer, MaxAbsScaler, MinHashLSH, NGram,
     RegexTokenizer, RobustScaler, StopWordsRemover, VectorAssembler,
 )
 from pyspark.ml.fpm import FPGrowth, PrefixSpan
@@ -13,20 +13,16 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from paddock.queries.registry import query
 
+# Rounds after which a fit that still moves is an error.
+ROUNDS = 500
 STOP_WORDS = ["the", "and", "of", "und", "que"]
 _TOKENS = """
     w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s'), lambda x: x <> '') AS ws FROM documents)"""
 
 
-# Sparse vectors of many dimensions are read as they are; an array would be dense.
-entries = F.udf(lambda v: int(v.numNonzeros()), T.LongType())
-vector_norm = F.udf(lambda v: float(v.norm(2)), T.DoubleType())
-
-
 def _tokenizer(column):
     return RegexTokenizer(inputCol="text", outputCol=column, pattern=r"\s")
 
@@ -52,17 +48,24 @@ def _(t):
     """Hashed term frequencies weighted by inverse document frequency; the norm per document."""
     stages = [_tokenizer("words"), HashingTF(inputCol="words", outputCol="tf", numFeatures=4096), IDF(inputCol="tf", outputCol="features")]
     weighted = Pipeline(stages=stages).fit(t.documents).transform(t.documents)
-    return weighted.select("doc_id", F.round(vector_norm("features"), 4).alias("norm"))
+    squares = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x * x)
+    return weighted.select("doc_id", F.round(F.sqrt(squares), 4).alias("norm"))
 
 
 @query("m23_count_vectors", f"""
     WITH {_TOKENS}, d AS (SELECT DISTINCT doc_id, unnest(ws) AS word FROM w), f AS (SELECT word FROM d GROUP BY 1 HAVING count(*) >= 5)
     SELECT w.doc_id, count(f.word) AS n_terms FROM w LEFT JOIN d ON d.doc_id = w.doc_id LEFT JOIN f ON f.word = d.word GROUP BY 1""")
 def _(t):
-    """Distinct terms per document out of the terms found in five documents or more."""
-    stages = [_tokenizer("words"), CountVectorizer(inputCol="words", outputCol="v", minDF=5.0)]
-    counted = Pipeline(stages=stages).fit(t.documents).transform(t.documents)
-    return counted.select("doc_id", entries("v").alias("n_terms"))
+    """Distinct terms per document out of the terms found in five documents or more.
+
+    The vocabulary stays a frame, so it may have any size.
+    """
+    split = _tokenizer("words").transform(t.documents)
+    terms = split.select("doc_id", F.explode("words").alias("word")).distinct()
+    frequent = terms.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 5").select("word")
+    counted = terms.join(frequent, "word").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
+    return t.documents.select("doc_id").join(counted, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_terms", F.lit(0)).cast("long").alias("n_terms"))
 
 
 @query("m23_principal_components")
@@ -77,7 +80,9 @@ def _(t):
 def _(t):
     vectors = _vectors(t)
     small = PCA(k=3, inputCol="features", outputCol="reduced").fit(vectors).transform(vectors)
-    model = GaussianMixture(k=3, seed=14, featuresCol="reduced", maxIter=20).fit(small)
+    model = GaussianMixture(k=3, seed=14, featuresCol="reduced", maxIter=ROUNDS).fit(small)
+    if model.summary.numIter >= ROUNDS:
+        raise RuntimeError(f"the mixture still moves after {ROUNDS} rounds")
     return model.transform(small).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -106,16 +111,16 @@ def _(t):
 
 
 @query("m23_frequent_sets", """
-    WITH b AS (SELECT DISTINCT l_orderkey AS k, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
-    n AS (SELECT count(DISTINCT k) AS n FROM b),
-    s AS (SELECT x AS items, count(*) AS freq FROM b GROUP BY 1
-          UNION ALL SELECT a.x || ' ' || c.x, count(*) FROM b a JOIN b c ON a.k = c.k AND a.x < c.x GROUP BY 1)
-    SELECT items, freq FROM s, n WHERE freq >= ceil(0.015 * n.n)""")
+    WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS k, p_brand AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+    n AS (SELECT ceil(0.015 * count(DISTINCT k)) AS least FROM b),
+    s AS (SELECT k, x AS items, x AS last FROM b
+          UNION ALL SELECT s.k, s.items || ' ' || b.x, b.x FROM s JOIN b ON b.k = s.k AND b.x > s.last)
+    SELECT items, count(*) AS freq FROM s GROUP BY 1 HAVING count(*) >= (SELECT least FROM n)""")
 def _(t):
-    """Brands and brand pairs bought together; a basket has at most the 25 brands."""
+    """Sets of brands of any size bought together; a basket has at most the 25 brands."""
     brands = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     baskets = brands.groupBy("l_orderkey").agg(F.collect_set("p_brand").alias("items"))
-    found = FPGrowth(itemsCol="items", minSupport=0.015).fit(baskets).freqItemsets.where(F.size("items") <= 2)
+    found = FPGrowth(itemsCol="items", minSupport=0.015).fit(baskets).freqItemsets
     return found.select(F.array_join(F.array_sort("items"), " ").alias("items"), "freq")
 
 
@@ -126,7 +131,8 @@ def _(t):
     yearly = counts.groupBy("o_custkey", "y").agg(F.max_by("o_orderpriority", F.struct("n", "o_orderpriority")).alias("p"))
     listed = yearly.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("y", "p"))).alias("s"))
     sequences = listed.select(F.transform("s", lambda e: F.array(e["p"])).alias("sequence"))
-    found = PrefixSpan(minSupport=0.3, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
+    years = yearly.agg(F.countDistinct("y")).first()[0]
+    found = PrefixSpan(minSupport=0.3, maxPatternLength=max(years, 1)).findFrequentSequentialPatterns(sequences)
     return found.select(F.to_json("sequence").alias("sequence"), "freq")
 
 

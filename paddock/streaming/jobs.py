@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -55,9 +56,21 @@ def drain_batches(stream: DataFrame, each: Callable[[DataFrame], DataFrame], mod
 
 def drain_complete(stream: DataFrame, each: Callable[[DataFrame], DataFrame] = lambda batch: batch,
                    out: str | None = None, state: str | None = None) -> DataFrame:
-    """Run to the end in complete mode; the result is what the last batch wrote."""
+    """Run to the end in complete mode; the result is what the last batch wrote.
+
+    A restart that finds no new input runs no batch, and the last one is that of
+    an earlier run. Without any input at all the result is that of no rows.
+    """
+    spark = stream.sparkSession
     out, seen = drain_batches(stream, each, "complete", out, state)
-    return stream.sparkSession.read.parquet(f"{out}/batch={max(seen)}")
+    if seen:
+        return spark.read.parquet(f"{out}/batch={max(seen)}")
+    try:
+        written = spark.read.parquet(out)
+    except AnalysisException:
+        return each(spark.createDataFrame([], stream.schema))
+    newest = written.agg(F.max("batch")).first()[0]
+    return written.where(F.col("batch") == newest).drop("batch")
 
 
 def drain_all(stream: DataFrame, each: Callable[[DataFrame], DataFrame], **kwargs) -> DataFrame:

@@ -107,3 +107,21 @@ def test_neighbours_and_subgraph(spark, edges, pairs):
     assert got == {d: (len(x), sum(x) / len(x)) for d, x in want.items()}
     kept = vertices.where("age > 2")
     assert {tuple(r) for r in graph.subgraph(edges, kept).collect()} == {p for p in pairs if p[0] % 6 > 2 and p[1] % 6 > 2}
+
+
+def test_components_of_a_long_chain_take_few_rounds(spark, monkeypatch):
+    written = []
+    real = graph.checkpoint
+    monkeypatch.setattr(graph, "checkpoint", lambda df: written.append(1) or real(df))
+    n = 2000
+    edges = spark.range(n).select(F.pmod(F.col("id") * 7919, F.lit(n + 1)).alias("src"), F.pmod((F.col("id") + 1) * 7919, F.lit(n + 1)).alias("dst"))
+    labels = graph.connected_components(edges)
+    assert {r["component"] for r in labels.collect()} == {0} and labels.count() == n + 1
+    assert len(written) <= 16
+
+
+def test_components_with_loops_hubs_and_lone_vertices(spark):
+    edges = [(5, 5), (1, 2), (2, 1), (2, 3), (8, 7)] + [(100, i) for i in range(101, 400)]
+    labels = graph.connected_components(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(5,), (9,), (3,)], "id long"))
+    got = {r["id"]: r["component"] for r in labels.collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 5: 5, 9: 9, **{i: 100 for i in range(100, 400)}}

@@ -59,3 +59,24 @@ def test_ranks_on_hot_keys_equal_plain(skewed):
 def test_dense_ids_are_complete_and_ordered(skewed):
     ids = dense_ids(skewed.select("id"), ["id"], "n", rows_limit=10).orderBy("id").collect()
     assert [r.n for r in ids] == list(range(1, 3001))
+
+
+def test_many_keys_just_above_the_limit_are_all_found(spark):
+    rows = spark.range(0, 300 * 21).select((F.col("id") % 300).alias("k")).unionByName(spark.range(300, 2000).select(F.col("id").alias("k")))
+    rows = rows.unionByName(spark.range(25).select(F.lit(None).cast("long").alias("k")))
+    hot = hot_keys(rows, ["k"], group_rows=20)
+    assert {r["k"]: r["_rows"] for r in hot.collect()} == {**{k: 21 for k in range(300)}, None: 25}
+
+
+def test_counting_hot_keys_never_meets_in_one_task(spark):
+    rows = spark.range(0, 10_000).select((F.col("id") % 7).alias("k"))
+    counted = rows.groupBy(F.xxhash64("k")).count()
+    assert "SinglePartition" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("group_rows", [2, 1000])
+def test_moving_mean_counts_rows_not_values(spark, group_rows):
+    from paddock.queries.relational import moving_mean
+    rows = [(1, 1, 1, 10.0), (1, 2, 2, None), (1, 3, 3, 30.0), (1, 4, 4, 40.0), (1, 5, 5, None), (2, 6, 1, None)]
+    got = moving_mean(spark.createDataFrame(rows, "o_custkey long, o_orderkey long, o_orderdate long, o_totalprice double"), group_rows)
+    assert {r["o_orderkey"]: r["moving_mean"] for r in got.collect()} == {1: 10.0, 2: 10.0, 3: 20.0, 4: 35.0, 5: 35.0, 6: None}

@@ -58,6 +58,7 @@ def test_batches_are_replaced_not_doubled(spark):
     assert spark.read.parquet(out).count() == 4
 
 
+# The worked example of sessions, events in and sessions out.
 EVENTS = "user_id long, ts timestamp, event_type string"
 
 
@@ -114,3 +115,18 @@ def test_streaming_sessions_equal_batch(spark):
 
     streamed = jobs.drain_complete(grouped(jobs.file_stream(spark, path, files_per_batch=1)))
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, grouped(spark.read.parquet(path)).collect()))
+
+
+def test_restart_without_new_input_gives_the_last_result(spark):
+    path, out, state = (workspace(spark, n) for n in ("words", "out", "state"))
+
+    def run():
+        counts = jobs.word_counts(jobs.file_stream(spark, path, "text string", files_per_batch=1))
+        return {r["word"]: r["n"] for r in jobs.drain_complete(counts, out=out, state=state).collect()}
+
+    land(spark, path, [("a b a",)], "text string")
+    land(spark, path, [("b",)], "text string")
+    assert run() == {"a": 2, "b": 2}
+    assert run() == {"a": 2, "b": 2}
+    land(spark, path, [("c",)], "text string")
+    assert run() == {"a": 2, "b": 2, "c": 1}
