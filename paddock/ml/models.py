@@ -5,20 +5,23 @@ from __future__ import annotations
 import random
 import time
 import uuid
+from importlib import import_module
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.errors import AnalysisException
+from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paddock.ml.features import LABEL
 
 REGRESSION_METRICS = ("rmse", "r2", "mse", "mae")
-CLASS_METRICS = {"accuracy": "accuracy", "f1": "f1", "recall": "weightedRecall", "precision": "weightedPrecision"}
+CLASS_METRICS = ("accuracy", "f1", "recall", "precision")
 
 # The range each tuned parameter is drawn from, and the number of trials.
 SEARCH_SPACE = {"numTrees": (50, 500), "maxBins": (2, 32), "maxDepth": (2, 20)}
@@ -47,13 +50,19 @@ def random_forest(**params) -> RandomForestClassifier:
 
 
 def regression_metrics(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
-    evaluator = RegressionEvaluator(predictionCol="prediction", labelCol=label)
-    return {m: evaluator.evaluate(predictions, {evaluator.metricName: m}) for m in REGRESSION_METRICS}
+    """The four regression metrics from one aggregate."""
+    error = F.col(label) - F.col("prediction")
+    row = predictions.agg(F.avg(error * error).alias("mse"), F.avg(F.abs(error)).alias("mae"), F.var_pop(label).alias("v")).first()
+    if row["mse"] is None:
+        raise ValueError("no predictions to evaluate")
+    r2 = 1 - row["mse"] / row["v"] if row["v"] else float("nan")
+    found = {"rmse": row["mse"] ** 0.5, "r2": r2, "mse": row["mse"], "mae": row["mae"]}
+    return {m: found[m] for m in REGRESSION_METRICS}
 
 
 def class_metrics(predictions: DataFrame, label: str = LABEL) -> dict[str, float]:
-    evaluator = MulticlassClassificationEvaluator(predictionCol="prediction", labelCol=label)
-    return {n: evaluator.evaluate(predictions, {evaluator.metricName: m}) for n, m in CLASS_METRICS.items()}
+    row = metrics_from_counts(predictions, label).first()
+    return {m: row[m] for m in CLASS_METRICS}
 
 
 def metrics_from_counts(predictions: DataFrame, label: str = LABEL) -> DataFrame:
@@ -118,12 +127,20 @@ def save_model(model, path: str) -> str:
     return path
 
 
+def load_model(spark: SparkSession, path: str):
+    """The model saved at ``path``, as the class its own metadata names."""
+    stored = spark.read.text(f"{path}/metadata").select(F.get_json_object("value", "$.class").alias("kind")).first()["kind"]
+    module, _, name = stored.replace("org.apache.spark", "pyspark", 1).rpartition(".")
+    if not module.startswith("pyspark.ml"):
+        raise ValueError(f"{stored} is no model of this library")
+    package = import_module("pyspark.ml" if name == "PipelineModel" else module)
+    return getattr(package, name).load(path)
+
+
 def score(model_path: str, fresh: DataFrame, encoder_path: str) -> DataFrame:
     """Predictions for new rows without label; works on batch and streaming frames."""
-    from pyspark.ml.classification import RandomForestClassificationModel
-
-    encoded = PipelineModel.load(encoder_path).transform(fresh)
-    return RandomForestClassificationModel.load(model_path).transform(encoded)
+    spark = fresh.sparkSession
+    return load_model(spark, model_path).transform(load_model(spark, encoder_path).transform(fresh))
 
 
 class RunLog:
@@ -156,7 +173,57 @@ def wide_metrics(runs: DataFrame, metrics: list[str]) -> DataFrame:
     return runs.select("run_id", "name", *[F.try_element_at("metrics", F.lit(m)).alias(m) for m in metrics])
 
 
-def next_version(models: DataFrame, name: str) -> int:
-    """The version a newly registered model of this name gets."""
-    newest = models.where(F.col("name") == name).agg(F.max("version")).first()[0]
-    return (newest or 0) + 1
+def search_runs(runs: DataFrame, condition: Column | str | None = None, order: list | None = None) -> DataFrame:
+    """The runs that fulfil a condition over name, start_time, params and metrics, the newest first or as ordered."""
+    found = runs if condition is None else runs.where(condition)
+    return found.orderBy(*(order or [F.col("start_time").desc(), F.col("run_id").desc()]))
+
+
+class Registry:
+    """Registered models: versions 1, 2, ... per name, one folder per version.
+
+    A version is taken by writing its folder, which must not exist; whoever comes
+    second takes the next one. Rows are never changed.
+    """
+
+    SCHEMA = "model_path string, run_id string, registered timestamp"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def register(self, name: str, model_path: str, run_id: str | None = None) -> int:
+        row = self.spark.createDataFrame([(model_path, run_id)], "model_path string, run_id string").withColumn(
+            "registered", F.current_timestamp()).coalesce(1)
+        version = self._newest(name)
+        while True:
+            version += 1
+            try:
+                row.write.mode("error").parquet(f"{self.path}/name={name}/version={version}")
+                return version
+            except AnalysisException as taken:
+                if taken.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+
+    def _newest(self, name: str) -> int:
+        newest = self.versions().where(F.col("name") == name).agg(F.max("version")).first()[0]
+        return newest or 0
+
+    def versions(self) -> DataFrame:
+        """(name, version, model_path, run_id, registered)."""
+        whole = f"name string, version long, {self.SCHEMA}"
+        try:
+            return self.spark.read.schema(f"{self.SCHEMA}, name string, version long").parquet(self.path).select(
+                "name", "version", "model_path", "run_id", "registered")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], whole)
+
+    def load(self, name: str, version: int | None = None):
+        """The model of a version, the newest by default."""
+        rows = self.versions().where(F.col("name") == name)
+        chosen = rows.orderBy(F.col("version").desc()) if version is None else rows.where(F.col("version") == version)
+        row = chosen.first()
+        if row is None:
+            raise LookupError(f"no model {name} {version or ''}")
+        return load_model(self.spark, row["model_path"])

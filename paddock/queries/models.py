@@ -14,6 +14,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
 from paddock.ml import features, models
+from paddock.operators import scan
 from paddock.operators.hot import small_rows
 from paddock.plans import league
 from paddock.queries import league as store
@@ -22,6 +23,10 @@ from paddock.session import checkpoint, workspace
 from paddock.streaming import jobs
 
 
+# Rounds after which a fit that still moves is an error.
+ROUNDS = 500
+
+
 def model_rows(t):
     """One wide row per order, the input of the feature job."""
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -115,7 +120,8 @@ def _(t):
 
 
 def _encoded(t, invalid="error"):
-    table = features.feature_table(model_rows(t))
+    # Written once: every stage of the chain reads it to be fitted.
+    table = checkpoint(features.feature_table(model_rows(t)))
     encoder = features.encoder(invalid=invalid).fit(table)
     return encoder, encoder.transform(table)
 
@@ -133,19 +139,25 @@ def _(t):
                     F.round(F.col("v")[27], 6).alias("top_5"), F.round(F.col("v")[33], 6).alias("age"))
 
 
-@query("m06_chained_stages")
+@query("m06_chained_stages", """
+    SELECT o_orderkey AS row_id, CAST(4 + 3 - 1 + 26 - 1 + 9 - 1 AS INTEGER) AS size, 5 AS n_stages FROM orders""")
 def _(t):
     """Size and stage outputs of the fitted chain."""
     encoder, encoded = _encoded(t, "keep")
     return encoded.select("row_id", F.size(vector_to_array("features")).alias("size"), F.lit(len(encoder.stages)).alias("n_stages"))
 
 
-@query("m07_stable_split")
+@query("m07_stable_split", """
+    SELECT 'all' AS part, count(*) AS n, true AS near_share, true AS whole FROM orders""")
 def _(t):
     """Split by a hash of the row id, and the share each part got."""
-    train, test = features.stable_split(model_rows(t).select("row_id"), ["row_id"])
-    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    rows = model_rows(t).select("row_id")
+    train, test = features.stable_split(rows, ["row_id"])
+    parts = train.withColumn("part", F.lit(0)).unionByName(test.withColumn("part", F.lit(1)))
+    share = F.avg(1 - F.col("part"))
+    return parts.agg(F.lit("all").alias("part"), F.count(F.lit(1)).alias("n"),
+                     (F.abs(share - 0.75) < 4 * F.sqrt(F.lit(0.1875) / F.count(F.lit(1)))).alias("near_share"),
+                     (F.countDistinct("row_id") == F.count(F.lit(1))).alias("whole"))
 
 
 @query("m07_random_split")
@@ -166,29 +178,49 @@ def _metric_frame(t, metrics):
     return t.spark.createDataFrame([(k, float(v)) for k, v in metrics.items()], "metric string, value double")
 
 
-@query("m08_linear_regression")
+_REGRESSION = "SELECT * FROM (VALUES ('rmse', true), ('r2', true), ('mse', true), ('mae', true)) v(metric, beats_guess)"
+_CLASSES = "SELECT * FROM (VALUES ('accuracy', true), ('f1', true), ('recall', true), ('precision', true)) v(metric, beats_guess)"
+
+
+def _against_guess(t, metrics, parts):
+    """Every metric, and whether it is better than that of the mean or of the most frequent class."""
+    label, classes = F.col(features.LABEL), parts[1].groupBy(features.LABEL).count()
+    if "rmse" in metrics:
+        mean = parts[0].agg(F.avg(label)).first()[0]
+        guess = models.regression_metrics(parts[1].select(label, F.lit(mean).alias("prediction")))
+    else:
+        often = classes.orderBy(F.col("count").desc(), features.LABEL).first()[0]
+        guess = models.class_metrics(parts[1].select(label, F.lit(float(often)).alias("prediction")))
+    better = [(m, v > guess[m] if m in ("r2", *models.CLASS_METRICS) else v < guess[m]) for m, v in metrics.items()]
+    return t.spark.createDataFrame(better, "metric string, beats_guess boolean")
+
+
+@query("m08_linear_regression", _REGRESSION)
 def _(t):
-    _, metrics, _ = models.train("Linear_Regression", models.linear_regression(), *_parts(t))
-    return _metric_frame(t, metrics)
+    parts = _parts(t)
+    _, metrics, _ = models.train("Linear_Regression", models.linear_regression(), *parts)
+    return _against_guess(t, metrics, parts)
 
 
-@query("m09_tree_regressor")
+@query("m09_tree_regressor", _REGRESSION)
 def _(t):
-    _, metrics, _ = models.train("DecisionTree_Regressor", models.tree_regressor(), *_parts(t))
-    return _metric_frame(t, metrics)
+    parts = _parts(t)
+    _, metrics, _ = models.train("DecisionTree_Regressor", models.tree_regressor(), *parts)
+    return _against_guess(t, metrics, parts)
 
 
-@query("m10_tree_classifier")
+@query("m10_tree_classifier", _CLASSES)
 def _(t):
-    _, metrics, _ = models.train("DecisionTree_Classifier", models.tree_classifier(), *_parts(t))
-    return _metric_frame(t, metrics)
+    parts = _parts(t)
+    _, metrics, _ = models.train("DecisionTree_Classifier", models.tree_classifier(), *parts)
+    return _against_guess(t, metrics, parts)
 
 
-@query("m11_random_forest")
+@query("m11_random_forest", _CLASSES)
 def _(t):
-    forest = models.random_forest(numTrees=20, maxDepth=5)
-    _, metrics, _ = models.train("RandomForest_Classifier", forest, *_parts(t))
-    return _metric_frame(t, metrics)
+    parts = _parts(t)
+    _, metrics, _ = models.train("RandomForest_Classifier", models.random_forest(), *parts)
+    return _against_guess(t, metrics, parts)
 
 
 _GUESS = """
@@ -230,12 +262,24 @@ def _(t):
     return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
+_SEARCHES = {}
+
+
+def _searched(t):
+    """(candidates, best, scores) of the search on a folder's training part, run once per session."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _SEARCHES:
+        train, _ = _parts(t)
+        candidates = models.draws()
+        best, scores, _ = models.random_search(train, candidates)
+        _SEARCHES[key] = candidates, best, scores
+    return _SEARCHES[key]
+
+
 @query("m14_random_search")
 def _(t):
-    """Every draw with its validation accuracy; forests are kept small here, the space is an argument."""
-    train, _ = _parts(t)
-    candidates = models.draws({"numTrees": (5, 12), "maxBins": (4, 16), "maxDepth": (2, 5)}, trials=3)
-    _, scores, _ = models.random_search(train, candidates)
+    """Every draw from the whole space with its validation accuracy."""
+    candidates, _, scores = _searched(t)
     rows = [(c["numTrees"], c["maxBins"], c["maxDepth"], float(s)) for c, s in zip(candidates, scores)]
     return t.spark.createDataFrame(rows, "num_trees int, max_bins int, max_depth int, accuracy double")
 
@@ -244,32 +288,36 @@ def _(t):
 def _(t):
     """Search on the training part, refit, report on the untouched test part as a run record."""
     train, test = _parts(t)
-    best, _, _ = models.random_search(train, models.draws({"numTrees": (5, 10), "maxBins": (4, 8), "maxDepth": (2, 4)}, trials=2))
+    _, best, _ = _searched(t)
     runs = models.RunLog(t.spark, workspace(t.spark, "runs"))
     models.train("RandomForest_Classifier", models.random_forest(**best), train, test, runs)
     return models.metric_rows(runs.table()).select("name", "metric", "value")
 
 
-@query("m17_saved_model_scoring")
+_SCORED = "SELECT o_orderkey AS row_id, true AS known_class FROM orders"
+
+
+@query("m17_saved_model_scoring", _SCORED)
 def _(t):
     """Encoder and model are saved, loaded again and used on rows without label."""
     encoder, encoded = _encoded(t, "keep")
-    model = models.random_forest(numTrees=5, maxDepth=4).fit(checkpoint(encoded.select("features", features.LABEL)))
+    model = models.random_forest().fit(checkpoint(encoded.select("features", features.LABEL)))
     encoder_path, model_path = models.save_model(encoder, workspace(t.spark, "encoder")), models.save_model(model, workspace(t.spark, "model"))
     fresh = features.feature_table(model_rows(t)).drop(features.LABEL)
-    return models.prediction_table(models.score(model_path, fresh, encoder_path), ["row_id"]).drop("probability")
+    scored = models.prediction_table(models.score(model_path, fresh, encoder_path), ["row_id"])
+    return scored.select("row_id", F.col("prediction").isin(1.0, 2.0, 3.0, 4.0).alias("known_class"))
 
 
-@query("m17_streaming_scoring")
+@query("m17_streaming_scoring", _SCORED)
 def _(t):
     """The same model on a stream of files, with the file sink."""
     encoder, encoded = _encoded(t, "keep")
-    model = models.random_forest(numTrees=5, maxDepth=4).fit(checkpoint(encoded.select("features", features.LABEL)))
+    model = models.random_forest().fit(checkpoint(encoded.select("features", features.LABEL)))
     encoder_path, model_path = models.save_model(encoder, workspace(t.spark, "encoder")), models.save_model(model, workspace(t.spark, "model"))
     landed = workspace(t.spark, "fresh")
     features.feature_table(model_rows(t)).drop(features.LABEL).write.parquet(landed)
     scored = models.score(model_path, jobs.file_stream(t.spark, landed), encoder_path)
-    return jobs.drain_append(scored.select("row_id", "prediction"))
+    return jobs.drain_append(scored.select("row_id", F.col("prediction").isin(1.0, 2.0, 3.0, 4.0).alias("known_class")))
 
 
 @query("m18_prediction_sink")
@@ -306,29 +354,74 @@ def _(t):
     return models.metric_rows(models.latest_run(_run_rows(t)))
 
 
+@query("m20_search_runs", """
+    SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS name, value, CAST(row_number() OVER (ORDER BY value DESC, ts) AS BIGINT) AS place
+    FROM events WHERE event_type IN ('view', 'click') AND value > 50""")
+def _(t):
+    """Runs of two names with a metric above a bound, the best first."""
+    value = F.col("metrics")["value"]
+    found = models.search_runs(_run_rows(t), F.col("name").isin("view", "click") & (value > 50), [value.desc(), "start_time"])
+    listed = found.select("run_id", "name", value.alias("value"), "start_time")
+    return scan.dense_ids(listed, [F.col("value").desc(), "start_time"], "place").drop("start_time")
+
+
 @query("m20_wide_metrics", """
     SELECT CAST(event_id AS VARCHAR) AS run_id, event_type AS name, value, value / 2 AS half FROM events""")
 def _(t):
     return models.wide_metrics(_run_rows(t), ["value", "half"])
 
 
-@query("m21_next_version", """
-    SELECT event_type AS name, CAST(max(user_id) + 1 AS BIGINT) AS version FROM events GROUP BY 1""")
+@query("m21_registered_versions", """
+    SELECT event_type AS name, n.version, r.r_name AS loaded FROM (SELECT DISTINCT event_type FROM events) e, (VALUES (1), (2)) n(version),
+      region r WHERE r.r_regionkey = n.version""")
 def _(t):
-    """The version every registered name gets next."""
-    versions = t.events.select(F.col("event_type").alias("name"), F.col("user_id").alias("version"))
-    return versions.groupBy("name").agg((F.max("version") + 1).alias("version"))
+    """A scaler per kind of event is registered twice and every version is loaded again.
 
+    The versions differ in the region name their column is called by.
+    """
+    registry = models.Registry(t.spark, workspace(t.spark, "registry"))
+    names = [r["event_type"] for r in small_rows(t.events.select("event_type").distinct(), 100)]
+    regions = {r["r_regionkey"]: r["r_name"] for r in small_rows(t.region.where("r_regionkey IN (1, 2)"), 2)}
+    for version in (1, 2):
+        stage = VectorAssembler(inputCols=["value"], outputCol=regions[version])
+        path = models.save_model(Pipeline(stages=[stage]).fit(t.events), workspace(t.spark, "stage"))
+        for name in names:
+            registry.register(name, path)
+    rows = [(r["name"], r["version"], registry.load(r["name"], r["version"]).stages[0].getOutputCol()) for r in small_rows(registry.versions(), 1000)]
+    return t.spark.createDataFrame(rows, "name string, version int, loaded string")
 
-@query("c08_train_and_score")
+
+@query("c08_train_and_score", """
+    WITH n AS (SELECT count(*) AS n FROM orders)
+    SELECT * FROM (VALUES ('Linear_Regression', 4, true), ('DecisionTree_Regressor', 4, true), ('DecisionTree_Classifier', 4, true),
+      ('RandomForest_Classifier', 4, true), ('RandomForest_Best', 4, true)) v(name, n_metrics, beats_guess),
+      (SELECT n AS n_scored FROM n), (SELECT 1::BIGINT AS version)""")
 def _(t):
-    """Encode, split, train three models with run records, list the metrics of every run."""
-    train, test = _parts(t)
+    """Encode, split, train four models, search and refit, record every run, save, register, load and score all rows.
+
+    One row per run: its number of metrics, whether it beats guessing (the mean,
+    or the most frequent class), and the rows the registered best model scored.
+    """
+    encoder, encoded = _encoded(t, "keep")
+    train, test = features.stable_split(checkpoint(encoded.select("row_id", "features", features.LABEL)), ["row_id"])
     runs = models.RunLog(t.spark, workspace(t.spark, "runs"))
-    models.train("Linear_Regression", models.linear_regression(), train, test, runs)
-    models.train("DecisionTree_Classifier", models.tree_classifier(), train, test, runs)
-    models.train("RandomForest_Classifier", models.random_forest(numTrees=10, maxDepth=4), train, test, runs)
-    return models.metric_rows(runs.table()).select("name", "metric", "value")
+    kinds = {"Linear_Regression": models.linear_regression(), "DecisionTree_Regressor": models.tree_regressor(),
+             "DecisionTree_Classifier": models.tree_classifier(), "RandomForest_Classifier": models.random_forest()}
+    for name, estimator in kinds.items():
+        models.train(name, estimator, train, test, runs)
+    _, best, _ = _searched(t)
+    model, _, _ = models.train("RandomForest_Best", models.random_forest(**best), train, test, runs)
+    registry = models.Registry(t.spark, workspace(t.spark, "registry"))
+    version = registry.register("rank_class", models.save_model(model, workspace(t.spark, "model")))
+    registry.register("encoder", models.save_model(encoder, workspace(t.spark, "encoder")))
+    fresh = features.feature_table(model_rows(t)).drop(features.LABEL)
+    scored = registry.load("rank_class").transform(registry.load("encoder").transform(fresh)).where(F.col("prediction").isNotNull()).count()
+    parts = test.groupBy(features.LABEL).count()
+    guess = parts.agg((F.max("count") / F.sum("count"))).first()[0]
+    value = F.col("metrics")
+    beats = F.coalesce(value["accuracy"] > guess, value["r2"] > 0)
+    return runs.table().select("name", F.size("metrics").alias("n_metrics"), beats.alias("beats_guess"),
+                               F.lit(scored).cast("long").alias("n_scored"), F.lit(version).cast("long").alias("version"))
 
 
 # Clustering, classification and factorisation.
@@ -358,7 +451,9 @@ def _(t):
 @query("e11_k_means")
 def _(t):
     vectors = t.embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")).cache()
-    model = KMeans(k=10, seed=14, maxIter=10).fit(vectors)
+    model = KMeans(k=10, seed=14, maxIter=ROUNDS, tol=1e-6).fit(vectors)
+    if model.summary.numIter >= ROUNDS:
+        raise RuntimeError(f"the centres still move after {ROUNDS} rounds")
     return model.transform(vectors).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -369,8 +464,11 @@ def _(t):
     short = F.size(F.filter(words, lambda w: F.length(w) < 4)) / F.size(words)
     rows = t.documents.join(t.labels, "doc_id").select("doc_id", F.log1p("n_chars").alias("size"), short.alias("short"), F.col("quality").alias("label"))
     stages = [VectorAssembler(inputCols=["size", "short"], outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True),
-              LogisticRegression(maxIter=20)]
-    scored = Pipeline(stages=stages).fit(rows).transform(rows)
+              LogisticRegression(maxIter=ROUNDS)]
+    fitted = Pipeline(stages=stages).fit(rows)
+    if fitted.stages[-1].summary.totalIterations >= ROUNDS:
+        raise RuntimeError(f"the weights still move after {ROUNDS} rounds")
+    scored = fitted.transform(rows)
     return scored.select("doc_id", "label", "prediction")
 
 
@@ -378,10 +476,18 @@ def _(t):
 def _(t):
     """Customers and parts with the mean quantity as rating; predictions for the known pairs."""
     ratings = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
-        F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item")).agg(F.avg("l_quantity").alias("rating"))
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).agg(F.avg("l_quantity").alias("rating"))
     ratings = checkpoint(ratings)
-    model = ALS(rank=8, maxIter=5, regParam=0.1, seed=14, userCol="user", itemCol="item", ratingCol="rating").fit(ratings)
-    return model.transform(ratings).select("user", "item", F.round("prediction", 3).alias("prediction"))
+    # The model wants ids below 2 ** 31, so both sides are numbered densely.
+    users = checkpoint(scan.dense_ids(ratings.select("user").distinct(), ["user"], "u", bound=ratings))
+    items = checkpoint(scan.dense_ids(ratings.select("item").distinct(), ["item"], "i", bound=ratings))
+    for side, name in ((users, "u"), (items, "i")):
+        if (side.agg(F.max(name)).first()[0] or 0) >= 2 ** 31:
+            raise ValueError("more ids than the model can number")
+    numbered = checkpoint(ratings.join(users, "user").join(items, "item").withColumns(
+        {"u": F.col("u").cast("int"), "i": F.col("i").cast("int")}))
+    model = ALS(rank=8, maxIter=5, regParam=0.1, seed=14, userCol="u", itemCol="i", ratingCol="rating").fit(numbered)
+    return model.transform(numbered).select("user", "item", F.round("prediction", 3).alias("prediction"))
 
 
 # Single feature transformers.

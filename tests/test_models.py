@@ -74,14 +74,39 @@ def test_train_search_record_and_score(spark, table):
     assert models.score(paths[0], unseen, paths[1]).count() == 1
 
 
-def test_next_version(spark):
-    registry = spark.createDataFrame([("a", 1), ("a", 2)], "name string, version int")
-    assert models.next_version(registry, "a") == 3 and models.next_version(registry, "b") == 1
+def test_registry_keeps_versions_and_loads_any_model(spark, table):
+    registry = models.Registry(spark, workspace(spark, "registry"))
+    assert registry.versions().count() == 0
+    encoder = features.encoder().fit(table)
+    encoded = encoder.transform(table)
+    kinds = {"forest": models.random_forest(numTrees=3), "tree": models.tree_classifier(minInstancesPerNode=1),
+             "linear": models.linear_regression(), "tree_regressor": models.tree_regressor(minInstancesPerNode=1)}
+    for name, estimator in kinds.items():
+        fitted = estimator.fit(encoded)
+        path = models.save_model(fitted, workspace(spark, name))
+        assert registry.register(name, path, "run") == 1
+        assert type(registry.load(name)) is type(fitted)
+    other = models.save_model(models.tree_classifier(maxDepth=1).fit(encoded), workspace(spark, "second"))
+    assert registry.register("tree", other) == 2 and registry.load("tree").depth <= 1 < registry.load("tree", 1).depth
+    assert registry.register("encoder", models.save_model(encoder, workspace(spark, "encoder"))) == 1
+    assert len(registry.load("encoder").stages) == 5
+    with pytest.raises(LookupError):
+        registry.load("tree", 3)
+
+
+def test_runs_are_searched_and_ordered(spark):
+    runs = models.RunLog(spark, workspace(spark, "runs"))
+    for name, value in (("a", 0.5), ("b", 0.9), ("a", 0.7)):
+        runs.record(name, {"p": name}, {"accuracy": value})
+    best = models.search_runs(runs.table(), F.col("metrics")["accuracy"] > 0.6, [F.col("metrics")["accuracy"].desc()])
+    assert [r["metrics"]["accuracy"] for r in best.collect()] == [0.9, 0.7]
+    assert [r["metrics"]["accuracy"] for r in models.search_runs(runs.table(), "name = 'a'").collect()] == [0.7, 0.5]
 
 
-def test_mean_in_pieces_and_custom_average(spark):
+def test_rms_in_pieces_and_custom_average(spark):
     df = spark.range(0, 1000, numPartitions=4).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
     want = {r.k: r.m for r in df.groupBy("k").agg(F.avg("v").alias("m")).collect()}
-    pieces = {r.k: r["mean"] for r in U.mean_in_pieces(df, ["k"], "v", 100).collect()}
+    squares = {r.k: r.m for r in df.groupBy("k").agg(F.sqrt(F.avg(F.col("v") * F.col("v"))).alias("m")).collect()}
+    pieces = {r.k: r["rms"] for r in U.rms_in_pieces(df, ["k"], "v", 100).collect()}
     custom = {r.k: r.average for r in U.custom_average(df, "k", "v").collect()}
-    assert all(math.isclose(pieces[k], want[k]) and math.isclose(custom[k], want[k]) for k in want)
+    assert all(math.isclose(pieces[k], squares[k]) and math.isclose(custom[k], want[k]) for k in want)
