@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 # debut list (two spellings of the name cell, year cell may be empty).
 PAGE_SUFFIX = "_(racing_driver)"
 DEBUT_ROW = r'">([^<>\n]*)</a>(?:</span></span></span>)?\n</td>\n<td>(\d{4})?\n</td>'
-YEAR_CELL = r"</td>\n<td>(\d{4})\n</td>"
+# The "first race" line of a driver's page: the year of the link and the series after the league's name.
+# The league's name comes before the series; it is a parameter.
+FIRST_RACE = r'First\srace.*?title="(\d{4}?).*LEAGUE\s(.*?)">\d{4}</a>'
 FEMALE_ROW = r'<th>[^\n]*">([^\n<]*)</a>(?:<sup class="reference"|\n</th>)'
 
 
@@ -52,8 +54,7 @@ def page_key(name: Column, suffix: str = "") -> Column:
 
 def first_races(html: Column, league: str) -> Column:
     """array<struct<year, series>> of the "first race" lines of a driver's page."""
-    pattern = rf'First\srace.*?title="(\d{{4}}?).*{league}\s(.*?)">\d{{4}}</a>'
-    found = find_all(html, pattern, (1, 2))
+    found = find_all(html, FIRST_RACE.replace("LEAGUE", league), (1, 2))
     return F.transform(found, lambda m: F.struct(m["g1"].alias("year"), m["g2"].alias("series")))
 
 

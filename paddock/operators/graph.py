@@ -17,8 +17,13 @@ BASE = 0.15
 
 
 def _weighted(edges: DataFrame) -> DataFrame:
-    """Distinct edges with the share of the source's rank each one carries."""
-    links = edges.select("src", "dst").distinct()
+    """Distinct edges with the share of the source's rank each one carries.
+
+    The edges are saved once and dealt by their source, and the saved copy keeps
+    that layout, so a round shuffles ranks and parts but no edges.
+    """
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = checkpoint(edges.select("src", "dst").distinct().repartition(parts, "src"))
     degree = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
     return links.join(degree, "src")
 

@@ -53,6 +53,12 @@ def debut_list(pages: DataFrame) -> DataFrame:
     return listed.withColumn("series", C.by_position(F.col("pos"), V.DEBUT_RANGES))
 
 
+def debut_lists(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The list in two parts: rows of the three series, and rows of other series for lookups by name alone."""
+    listed = checkpoint(debut_list(pages))
+    return listed.where("series IS NOT NULL"), listed.where("series IS NULL").drop("series")
+
+
 def female_names(pages: DataFrame) -> DataFrame:
     """(full_name) from list pages ``(html)``."""
     return pages.select(F.explode(X.merged_matches(F.col("html"), X.FEMALE_ROW, (1,))).alias("full_name"))
@@ -72,6 +78,34 @@ def page_races(names: DataFrame, pages: DataFrame, aliases: DataFrame, league: s
                         F.col("r.year").try_cast("int").alias("rookie_year"))
 
 
+def corrected_races(names: DataFrame, races: DataFrame, corrections: DataFrame) -> DataFrame:
+    """First races with the cells entered by hand, ``corrections(seq, full_name, value)``.
+
+    A correction replaces all races of a name, the last one wins, and a name
+    without a page gets its race that way. Names that are not asked for stay out.
+    """
+    newest = corrections.join(names.select("full_name").distinct(), "full_name", "left_semi").groupBy("full_name").agg(
+        F.max_by("value", "seq").alias("value"))
+    year, series = X.split_two(F.col("value"))
+    entered = newest.select("full_name", C.map_values(series, V.SERIES_CODES).alias("series"), year.try_cast("int").alias("rookie_year"))
+    return races.join(newest.select("full_name"), "full_name", "left_anti").unionByName(entered)
+
+
+def enrich(stats: DataFrame, debut_pages: DataFrame, driver_pages: DataFrame, female_pages: DataFrame, aliases: DataFrame,
+           year_overrides: DataFrame, race_corrections: DataFrame, league: str) -> DataFrame:
+    """``stats`` with debut years and genders, from the pages and the values entered by hand."""
+    exact, others = debut_lists(debut_pages)
+    names = checkpoint(stats.select("full_name").distinct())
+    races = corrected_races(names, page_races(names, driver_pages, aliases, league), race_corrections)
+    return enrich_gender(enrich_debut(stats, exact, others, races, year_overrides), female_names(female_pages))
+
+
+def collect_and_store(stats_payloads: DataFrame, standings_payloads: DataFrame, folder: str, **sources) -> dict[str, str]:
+    """From payloads and pages to the eight written tables; ``sources`` are those of ``enrich``."""
+    stats = checkpoint(enrich(build_stats(stats_payloads), **sources))
+    return store(stats, checkpoint(build_standings(standings_payloads)), folder)
+
+
 def enrich_gender(stats: DataFrame, female_names: DataFrame) -> DataFrame:
     """Fill ``gender`` from the list of female names; nobody on the list is M."""
     listed = female_names.select("full_name").distinct().withColumn("_female", F.lit(True))

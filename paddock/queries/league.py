@@ -251,6 +251,58 @@ def _(t):
     return union_by_name(counts)
 
 
+def _page_sources(t):
+    """List pages, driver pages and hand-made values; a list page holds the customers of 1,600 keys."""
+    c, name = F.col("c_custkey"), F.col("c_name")
+
+    def pages(rows, line):
+        listed = rows.groupBy(F.floor(c / 1600).alias("page")).agg(F.array_sort(F.collect_list(F.struct(c.alias("k"), line.alias("line")))).alias("r"))
+        return listed.select(F.array_join(F.transform("r", lambda x: x["line"]), "\n").alias("html"))
+
+    debut = F.concat(F.lit('<td><a href="/a" title="x">'), name, F.lit("</a>\n</td>\n<td>"), (2000 + c % 20).cast("string"), F.lit("\n</td>"))
+    female = F.concat(F.lit('<th><a href="/a" title="x">'), name, F.lit("</a>\n</th>"))
+    year = F.concat(F.lit("19"), F.lpad((c % 20).cast("string"), 2, "0"))
+    race = F.concat(F.lit('First race <a href="/r" title="'), year, F.lit(' League Xfinity Series">'), year, F.lit("</a>\n"))
+    late = t.orders.where("o_totalprice > 450000").join(t.customer, F.col("o_custkey") == c)
+    return {
+        "debut_pages": pages(t.customer.where(c % 4 != 2), debut), "female_pages": pages(t.customer.where(c % 6 < 2), female),
+        "driver_pages": t.pages.join(t.customer.where(c % 3 != 0), F.col("page_id") == c).select(name.alias("page_key"), F.concat("html", F.lit("\n"), race).alias("html")),
+        "aliases": t.customer.where(c % 7 == 0).select(name.alias("full_name"), F.concat(F.lit("Customer#"), F.lpad((c + 1).cast("string"), 9, "0")).alias("page_key")),
+        "year_overrides": late.select(F.col("o_orderkey").alias("seq"), name.alias("full_name"), F.when(F.col("o_orderkey") % 2 == 1, F.lit("xf")).alias("series"),
+                                      (1900 + F.col("o_orderkey") % 100).cast("int").alias("value")),
+        "race_corrections": t.customer.where(c % 11 == 3).select(c.alias("seq"), name.alias("full_name"), F.lit("2015, Xfinity Series").alias("value")),
+        "league": "League",
+    }
+
+
+@query("c06_store_from_pages", f"""
+    WITH {_STATS},
+    l AS (SELECT c_name AS full_name, CAST(2000 + c_custkey % 20 AS INTEGER) AS y,
+            row_number() OVER (PARTITION BY c_custkey // 1600 ORDER BY c_custkey) - 1 AS pos FROM customer WHERE c_custkey % 4 <> 2),
+    d AS (SELECT full_name, y, CASE WHEN pos <= 57 THEN 'sc' WHEN pos <= 167 THEN 'xf' WHEN pos <= 288 THEN 'cw' END AS series FROM l),
+    k AS (SELECT c_name AS page_key, CAST('19' || lpad(CAST(c_custkey % 20 AS VARCHAR), 2, '0') AS INTEGER) AS y FROM customer JOIN pages ON page_id = c_custkey WHERE c_custkey % 3 <> 0),
+    n AS (SELECT c_name AS full_name, 1 AS tier, c_name AS page_key FROM customer
+      UNION ALL SELECT c_name, 3, 'Customer#' || lpad(CAST(c_custkey + 1 AS VARCHAR), 9, '0') FROM customer WHERE c_custkey % 7 = 0),
+    p AS (SELECT n.full_name, y FROM n JOIN k USING (page_key) QUALIFY row_number() OVER (PARTITION BY n.full_name ORDER BY tier, page_key) = 1),
+    q AS (SELECT c_name AS full_name, CASE WHEN c_custkey % 11 = 3 THEN 2015 ELSE p.y END AS y FROM customer LEFT JOIN p ON p.full_name = c_name),
+    v AS (SELECT o_orderkey AS seq, c_name AS full_name, CASE WHEN o_orderkey % 2 = 1 THEN 'xf' END AS series,
+                 CAST(1900 + o_orderkey % 100 AS INTEGER) AS y FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 450000),
+    w AS (SELECT st.id, st.series, arg_max(v.y, v.seq) AS y FROM st JOIN v ON v.full_name = st.full_name AND (v.series IS NULL OR v.series = st.series) GROUP BY 1, 2),
+    e AS (SELECT st.series, coalesce(st.gender, CASE WHEN st.full_name IN (SELECT c_name FROM customer WHERE c_custkey % 6 < 2) THEN 'F' ELSE 'M' END) AS gender,
+        coalesce(w.y, st.rookie_year, d.y, o.y, CASE WHEN st.series = 'xf' THEN q.y END) AS rookie_year
+      FROM st LEFT JOIN d ON d.full_name = st.full_name AND d.series = st.series LEFT JOIN d o ON o.full_name = st.full_name AND o.series IS NULL
+      LEFT JOIN q ON q.full_name = st.full_name LEFT JOIN w ON w.id = st.id AND w.series = st.series)
+    SELECT series, gender, count(*) AS n, count(rookie_year) AS n_years, CAST(sum(rookie_year) AS BIGINT) AS total FROM e GROUP BY 1, 2""")
+def _(t):
+    """Payloads and pages to the written store; its debut facts by series and gender."""
+    folder = workspace(t.spark, "store")
+    paths = league.collect_and_store(stats_payload(t), standings_payload(t), folder, **_page_sources(t))
+    league.load(t.spark, paths)
+    return t.spark.sql("""
+        SELECT d.series, p.gender, count(*) AS n, count(d.rookie_year) AS n_years, sum(d.rookie_year) AS total
+        FROM debut_info d JOIN personal_info p ON p.id = d.driver_id GROUP BY 1, 2""")
+
+
 # Contract checks.
 
 @query("s12_create_tables", f"""
