@@ -11,6 +11,10 @@ from paddock.session import workspace
 from paddock.sources import files
 
 
+# Buckets of the bucketed tables: at 100 TB set to the input size over some 128 MB.
+BUCKETS = 16
+
+
 def _space(t, name):
     return workspace(t.spark, name)
 
@@ -75,9 +79,18 @@ def _(t):
 
 
 @query("s07_parquet_sink", """
+    SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders""")
+def _(t):
+    """Written by season and read back, all seasons."""
+    facts = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("season"))
+    path = files.write_parquet(facts.hint("rebalance", "season"), _space(t, "facts"), ("season",))
+    return t.spark.read.parquet(path)
+
+
+@query("s07_one_season", """
     SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season FROM orders WHERE year(o_orderdate) = 1997""")
 def _(t):
-    """Written by season and read back with one season; the others are not opened."""
+    """One season of the same sink; the folders of the others are not opened."""
     facts = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("season"))
     path = files.write_parquet(facts.hint("rebalance", "season"), _space(t, "facts"), ("season",))
     return t.spark.read.parquet(path).where("season = 1997")
@@ -139,10 +152,10 @@ def _(t):
     """Both sides bucketed by customer, so the join needs no shuffle."""
     tag = workspace(t.spark, "t").rsplit("-", 1)[1]
     orders, customers = f"orders_{tag}", f"customers_{tag}"
-    # One task per bucket writes one file per bucket; AQE splits nothing here, so buckets are many.
-    (t.orders.select("o_orderkey", "o_custkey", "o_orderstatus").write.partitionBy("o_orderstatus").bucketBy(16, "o_custkey")
-     .sortBy("o_custkey").option("path", _space(t, "orders")).saveAsTable(orders))
-    (t.customer.select("c_custkey", "c_name").write.bucketBy(16, "c_custkey").sortBy("c_custkey")
+    # Rows are dealt like the buckets, so a bucket is written by one task and is one file per folder.
+    (t.orders.select("o_orderkey", "o_custkey", "o_orderstatus").repartition(BUCKETS, "o_custkey").write.partitionBy("o_orderstatus")
+     .bucketBy(BUCKETS, "o_custkey").sortBy("o_custkey").option("path", _space(t, "orders")).saveAsTable(orders))
+    (t.customer.select("c_custkey", "c_name").repartition(BUCKETS, "c_custkey").write.bucketBy(BUCKETS, "c_custkey").sortBy("c_custkey")
      .option("path", _space(t, "customers")).saveAsTable(customers))
     left, right = t.spark.table(orders).where("o_orderstatus = 'P'"), t.spark.table(customers)
     return left.join(right, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "o_orderstatus")

@@ -145,6 +145,14 @@ def _(t):
     return t.lineitem.groupBy("l_suppkey").agg(F.approx_count_distinct("l_partkey", 0.02).alias("n_parts"))
 
 
+@query("b07_approx_distinct_error", "SELECT l_suppkey, true AS near FROM lineitem GROUP BY 1")
+def _(t):
+    """The estimate lies within five standard errors of the exact number."""
+    both = t.lineitem.groupBy("l_suppkey").agg(
+        F.approx_count_distinct("l_partkey", 0.02).alias("about"), F.countDistinct("l_partkey").alias("exact"))
+    return both.select("l_suppkey", (F.abs(F.col("about") - F.col("exact")) <= F.greatest(0.1 * F.col("exact"), F.lit(2))).alias("near"))
+
+
 @query("b08_rollup", """
     SELECT c_mktsegment, o_orderstatus, CAST(grouping(c_mktsegment) AS INTEGER) AS g_segment, count(*) AS n,
       round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey
@@ -193,6 +201,23 @@ def _(t):
         F.percentile_approx("l_extendedprice", [0.25, 0.5, 0.75], 10000).alias("quartiles"))
 
 
+@query("b10_exact_percentiles", """
+    SELECT l_returnflag, list_transform(quantile_cont(l_extendedprice, [0.25, 0.5, 0.75]), lambda x: round(x, 4)) AS quartiles,
+      true AS near FROM lineitem GROUP BY 1""")
+def _(t):
+    """Exact quartiles, and whether the estimates lie within a hundredth of the range around them.
+
+    Equal prices are counted in the map tasks, so a group ships its distinct values.
+    """
+    price = F.col("l_extendedprice")
+    found = t.lineitem.groupBy("l_returnflag").agg(
+        F.percentile(price, [0.25, 0.5, 0.75]).alias("q"), F.percentile_approx(price, [0.25, 0.5, 0.75], 10000).alias("about"),
+        (F.max(price) - F.min(price)).alias("range"))
+    gaps = F.zip_with("q", "about", lambda a, b: F.abs(a - b))
+    return found.select("l_returnflag", F.transform("q", lambda x: F.round(x, 4)).alias("quartiles"),
+                        F.forall(gaps, lambda g: g <= 0.01 * F.col("range")).alias("near"))
+
+
 @query("b11_collected_sets", """
     WITH y AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n FROM orders GROUP BY 1, 2),
     l AS (SELECT o_custkey, list({'y': y, 'n': n} ORDER BY y) AS per_year FROM y GROUP BY 1)
@@ -373,6 +398,18 @@ def _(t):
     return t.lineitem.sample(fraction=0.1, seed=14).select("l_orderkey", "l_linenumber")
 
 
+@query("b18_sample_share", """
+    SELECT l_returnflag, true AS near_share FROM lineitem GROUP BY 1""")
+def _(t):
+    """Every stratum gives its share of rows within five standard deviations."""
+    shares = {"R": 0.5, "A": 0.1, "N": 0.25}
+    taken = t.lineitem.sampleBy("l_returnflag", shares, seed=14).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("taken"))
+    of = t.lineitem.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).join(taken, "l_returnflag", "left")
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("l_returnflag")]
+    off = F.abs(F.coalesce("taken", F.lit(0)) - F.col("n") * share)
+    return of.select("l_returnflag", (off <= 5 * F.sqrt(F.col("n") * share * (1 - share)) + 1).alias("near_share"))
+
+
 @query("b18_sample_by")
 def _(t):
     return t.lineitem.sampleBy("l_returnflag", {"R": 0.5, "A": 0.1, "N": 0.0}, seed=14).groupBy("l_returnflag").count()
@@ -429,6 +466,12 @@ def _(t):
         F.md5(key.cast("string")).alias("digest"), F.round(F.sin(price), 6).alias("sine"), F.hex(key).alias("hexed"))
 
 
+@query("b21_digests", """
+    SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR)) AS sha, md5(o_orderpriority) AS md5 FROM orders""")
+def _(t):
+    return t.orders.select("o_orderkey", F.sha2(F.col("o_orderkey").cast("string"), 256).alias("sha"), F.md5("o_orderpriority").alias("md5"))
+
+
 @query("b21_hash_functions")
 def _(t):
     key = F.col("o_orderkey")

@@ -77,9 +77,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/paddock/{spark.sparkContext.applicationId}"
+
+
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, for a table or a stream's state."""
-    return f"{shared_folder(spark)}/paddock/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_workspace(spark: SparkSession) -> bool:
+    """Delete all that this application got from ``workspace``; for the end of a job, when its results are elsewhere."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

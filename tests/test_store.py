@@ -107,3 +107,12 @@ def test_jdbc_append_goes_parents_first():
     names = ["earnings", "race_info", "personal_info"]
     order = jdbc.append_tables({n: Writer(n) for n in names}, "jdbc:x", {"user": "u"}, prefix="s.")
     assert order == ["personal_info", "race_info", "earnings"] and written[0] == ("s.personal_info", "append")
+
+
+def test_workspace_is_cleared_as_a_whole(spark):
+    from paddock.session import clear_workspace
+    path = workspace(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert clear_workspace(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
