@@ -9,10 +9,14 @@ intersected with the postings of the next rarest term, moved back by its own
 offset. What is left is compared word by word with the text, so terms may be
 carried as 64-bit hashes without changing a result.
 
-Which terms are counted and stored is told by a bitmap of ``BUCKETS`` bits, whose
-size does not depend on the benchmark or the corpus. Both sides of the joins are
-shuffled; the candidates are broadcast only when a count shows at most
-``BROADCAST_CANDIDATES`` of them.
+Which terms are counted and stored, and which texts have a candidate and are read
+again, is told by bitmaps of ``BUCKETS`` bits, whose size does not depend on the
+benchmark or the corpus; a bit that is set for nothing costs a row and changes no
+result. The windows are broadcast to the postings only when a count shows at most
+``BROADCAST_WINDOWS`` of them, and both are shuffled by term beyond that.
+
+Between the passes a document is a 64-bit hash of its id and text. Documents that
+share one share their candidates, and each is compared with its own text.
 
 Defined cases: a missing text has no words, an item without words has no window;
 rows of equal id and text get equal results, rows of equal id and other text
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.llm.batches import small_batches
@@ -38,9 +42,8 @@ from paddock.session import checkpoint
 WINDOW = 10
 # Bits of the bitmap of terms: half a megabyte.
 BUCKETS = 1 << 22
-BROADCAST_CANDIDATES = 50_000
-# Contaminated documents whose keys may be broadcast.
-BROADCAST_KEYS = 200_000
+# Windows of some 50 bytes each that may be broadcast.
+BROADCAST_WINDOWS = 200_000
 # Bytes of text whose words are hashed at once.
 STEP = 1 << 20
 
@@ -143,10 +146,10 @@ def windows_of(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return named.mapInArrow(cut, "item_id string, phrase string, terms array<long>, n int")
 
 
-def _bitmap(terms: DataFrame) -> np.ndarray:
-    """Bits of the buckets of ``term``. At most BUCKETS / 32768 rows of 4 KB come to the driver."""
-    at = F.shiftrightunsigned("term", 42) + 1
-    rows = terms.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(
+def _bitmap(hashes: DataFrame) -> np.ndarray:
+    """Bits of the buckets of ``hash``. At most BUCKETS / 32768 rows of 4 KB come to the driver."""
+    at = F.shiftrightunsigned("hash", 42) + 1
+    rows = hashes.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
     out = np.zeros(BUCKETS, dtype=bool)
     for r in rows:
@@ -185,40 +188,59 @@ def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _index(docs: DataFrame, stored: np.ndarray) -> DataFrame:
-    """(_key, n_words, terms, places) of every document: the postings of the stored buckets."""
+    """(_hash, _key, n_words, terms, places) of every document: the postings of the stored buckets."""
     packed = docs.sparkSession.sparkContext.broadcast(np.packbits(stored))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
-            row, place, hashes = hashed_words(batch.column(1))
+            row, place, hashes = hashed_words(batch.column(2))
             total = np.bincount(row, minlength=batch.num_rows)
             kept = here[_bucket(hashes)]
             offsets = pa.array(np.append(0, np.cumsum(np.bincount(row[kept], minlength=batch.num_rows))), pa.int32())
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(total, pa.int64()),
+                batch.column(0), batch.column(1), pa.array(total, pa.int64()),
                 pa.ListArray.from_arrays(offsets, pa.array(hashes[kept].view(np.int64))),
                 pa.ListArray.from_arrays(offsets, pa.array(place[kept], pa.int32())),
-            ], names=["_key", "n_words", "terms", "places"])
+            ], names=["_hash", "_key", "n_words", "terms", "places"])
+
+    return docs.select("_hash", "_key", "text").mapInArrow(
+        post, "_hash long, _key string, n_words long, terms array<long>, places array<int>")
+
+
+def _marked(docs: DataFrame, hashes: DataFrame) -> Column:
+    """Whether the bit of a row's ``_hash`` is set by one of ``hashes``."""
+    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_bitmap(hashes)))
 
-    return docs.select("_key", "text").mapInArrow(post, "_key string, n_words long, terms array<long>, places array<int>")
+    @F.pandas_udf("boolean")
+    def of(column: pd.Series) -> pd.Series:
+        at = _bucket(column.to_numpy(dtype=np.int64).view(np.uint64))
+        return pd.Series((packed.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+
+    return of(F.col("_hash"))
 
 
 def _candidates(index: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
-    """(_key, wid, start): adjusted postings of the rarest terms, intersected."""
+    """(_hash, wid, start): adjusted postings of the rarest terms, intersected."""
     postings = index.where(F.size("terms") > 0).select(
-        "_key", "n_words", F.explode(F.arrays_zip("terms", "places")).alias("p")).select(
-        "_key", "n_words", F.col("p.terms").alias("term"), F.col("p.places").alias("place"))
-    starts = postings.join(chosen, "term").withColumn("start", F.col("place") - F.col("offset")).where(
+        "_hash", "n_words", F.explode(F.arrays_zip("terms", "places")).alias("p")).select(
+        "_hash", "n_words", F.col("p.terms").alias("term"), F.col("p.places").alias("place"))
+    windows = F.broadcast(chosen) if chosen.count() <= BROADCAST_WINDOWS else chosen
+    starts = postings.join(windows, "term").withColumn("start", F.col("place") - F.col("offset")).where(
         (F.col("start") >= -slop) & (F.col("start") + F.col("n") <= F.col("n_words") + slop))
-    one = starts.where("term2 IS NULL").select("_key", "wid", "start")
-    two = starts.where("term2 IS NOT NULL").select("_key", "wid", "start", "term2", (F.col("start") + F.col("offset2")).alias("place2"))
-    next_term = postings.select("_key", F.col("term").alias("term2"), F.col("place").alias("at"))
+    one = starts.where("term2 IS NULL").select("_hash", "wid", "start")
+    two = starts.where("term2 IS NOT NULL").select("_hash", "wid", "start", "term2", (F.col("start") + F.col("offset2")).alias("place2"))
+    # Only terms that are the second of some window can be met.
+    seconds = chosen.select("term2").where("term2 IS NOT NULL").distinct()
+    if chosen.count() <= BROADCAST_WINDOWS:
+        seconds = F.broadcast(seconds)
+    next_term = postings.select("_hash", F.col("term").alias("term2"), F.col("place").alias("place2")).join(seconds, "term2", "left_semi")
     if slop:
-        near = two.join(next_term, ["_key", "term2"]).where(F.abs(F.col("at") - F.col("place2")) <= 2 * slop)
+        next_term = next_term.withColumnRenamed("place2", "at")
+        near = two.join(next_term, ["_hash", "term2"]).where(F.abs(F.col("at") - F.col("place2")) <= 2 * slop)
     else:
-        near = two.join(next_term.withColumnRenamed("at", "place2"), ["_key", "term2", "place2"], "left_semi")
-    return one.unionByName(near.select("_key", "wid", "start")).distinct()
+        near = two.join(next_term, ["_hash", "term2", "place2"], "left_semi")
+    return one.unionByName(near.select("_hash", "wid", "start")).distinct()
 
 
 def _key():
@@ -226,8 +248,12 @@ def _key():
     return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.lit(":"), F.hex(F.xxhash64(F.col("text").cast("string"))))
 
 
+def _hash():
+    return F.xxhash64("doc_id", F.col("text").cast("string"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(_key().alias("_key"), F.col("text").cast("string").alias("text"))
+    return docs.select(_hash().alias("_hash"), _key().alias("_key"), F.col("text").cast("string").alias("text"))
 
 
 def _found_in(text: str, wanted, slop: int) -> list[tuple[int, int, int, str]]:
@@ -248,7 +274,7 @@ def _found_in(text: str, wanted, slop: int) -> list[tuple[int, int, int, str]]:
 def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, found, item windows).
 
-    documents: (_key, n_words) per row of ``docs``. found: (_key, n_hit, spans)
+    documents: (_key, n_words) per row of ``docs``. found: (_key, _hash, n_hit, spans)
     with the spans (wid, start, stop, kind) of a document: ``phrase`` where the
     words of a window follow each other, and with ``slop`` also ``proximity``
     where all of them lie within ``slop`` words around the place that the rarest
@@ -260,31 +286,30 @@ def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0
                          .withColumn("wid", F.monotonically_increasing_id()))
     owners = cut.join(windows.select("phrase", "wid"), "phrase").select("item_id", "wid").distinct()
     keyed = _keyed(docs)
-    terms = windows.select(F.explode("terms").alias("term"))
+    terms = windows.select(F.explode("terms").alias("hash"))
     chosen = checkpoint(anchors(windows, _counts(keyed, _bitmap(terms))))
-    stored = _bitmap(chosen.select(F.explode(F.array_compact(F.array("term", "term2"))).alias("term")))
+    stored = _bitmap(chosen.select(F.explode(F.array_compact(F.array("term", "term2"))).alias("hash")))
     index = checkpoint(_index(keyed, stored))
     candidates = checkpoint(_candidates(index, chosen, slop))
-    wanted = candidates.join(windows.select("wid", "phrase"), "wid").groupBy("_key").agg(
+    wanted = candidates.join(windows.select("wid", "phrase"), "wid").groupBy("_hash").agg(
         F.collect_list(F.struct("wid", "start", "phrase")).alias("wanted"))
-    if candidates.count() <= BROADCAST_CANDIDATES:
-        wanted = F.broadcast(wanted)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, text, some in zip(batch["_key"], batch["text"], batch["wanted"]):
+            for digest, key, text, some in zip(batch["_hash"], batch["_key"], batch["text"], batch["wanted"]):
                 held = _found_in(text, some, slop)
                 hit = np.zeros(max((s[2] for s in held), default=0), dtype=bool)
                 for _, a, b, _ in held:
                     hit[a:b] = True
-                out.append((key, int(hit.sum()), [dict(zip(("wid", "start", "stop", "kind"), s)) for s in held]))
-            yield pd.DataFrame(out, columns=["_key", "n_hit", "spans"])
+                out.append((digest, key, int(hit.sum()), [dict(zip(("wid", "start", "stop", "kind"), s)) for s in held]))
+            yield pd.DataFrame(out, columns=["_hash", "_key", "n_hit", "spans"])
 
-    checked = keyed.where(F.col("text").isNotNull()).join(wanted, "_key").select("_key", "text", "wanted").mapInPandas(
-        verify, "_key string, n_hit long, spans array<struct<wid:long,start:int,stop:int,kind:string>>")
+    again = keyed.where(F.col("text").isNotNull()).where(_marked(docs, candidates.select(F.col("_hash").alias("hash"))))
+    checked = again.join(wanted, "_hash").select("_hash", "_key", "text", "wanted").mapInPandas(
+        verify, "_hash long, _key string, n_hit long, spans array<struct<wid:long,start:int,stop:int,kind:string>>")
     found = checkpoint(checked.where(F.size("spans") > 0).groupBy("_key").agg(
-        F.first("n_hit").alias("n_hit"), F.first("spans").alias("spans")))
+        F.first("_hash").alias("_hash"), F.first("n_hit").alias("n_hit"), F.first("spans").alias("spans")))
     return index.select("_key", "n_words"), found, owners
 
 
@@ -307,7 +332,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` without those in which a window of an item occurs; all columns stay."""
     _, found, _ = matches(docs, items, size)
-    gone = found.select("_key")
-    if found.count() <= BROADCAST_KEYS:
-        gone = F.broadcast(gone)
-    return docs.withColumn("_key", _key()).join(gone, "_key", "left_anti").select(*docs.columns)
+    # The texts of marked rows alone are shuffled to be compared by key.
+    hashed = docs.withColumns({"_hash": _hash(), "_key": _key()})
+    doubtful = hashed.withColumn("_marked", _marked(docs, found.select(F.col("_hash").alias("hash"))))
+    kept = doubtful.where("_marked").join(found.select("_key"), "_key", "left_anti")
+    return doubtful.where(~F.col("_marked")).unionByName(kept).select(*docs.columns)

@@ -43,10 +43,10 @@ def _got(frame):
     return sorted((-1 if r[0] is None else r[0], *r[1:]) for r in frame.collect())
 
 
-@pytest.mark.parametrize("limit", [0, 50_000])
+@pytest.mark.parametrize("limit", [0, 200_000])
 def test_against_plain_search(frames, monkeypatch, limit):
     docs, items, d, b = frames
-    monkeypatch.setattr(decontaminate, "BROADCAST_CANDIDATES", limit)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
     assert _got(decontaminate.contamination(d, b)) == _want(docs, items)
 
 
