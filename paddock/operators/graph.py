@@ -73,14 +73,19 @@ def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
-    """All (src, dst) joined by a path; each round extends only the new paths."""
+    """All (src, dst) joined by a path; each round extends and writes only the new paths.
+
+    The result is every reachable pair, so it is for trees and sparse graphs: on a
+    connected graph it has as many rows as the square of the vertices.
+    """
     steps = checkpoint(edges.select("src", "dst").distinct())
     onward = steps.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
     paths = fresh = steps
     while not fresh.isEmpty():
         longer = fresh.join(onward, "dst").select("src", F.col("next").alias("dst")).distinct()
         fresh = checkpoint(longer.join(paths, ["src", "dst"], "left_anti"))
-        paths = checkpoint(paths.unionByName(fresh))
+        # A union of written parts; none of them is written again.
+        paths = paths.unionByName(fresh)
     return paths
 
 
@@ -129,8 +134,8 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     """(id, triangles) for every vertex.
 
     Edges point from the lower to the higher degree, so no vertex has more than
-    sqrt(2 * edges) outgoing edges, hubs included, and its list of targets is
-    short. Every edge compares the lists of its two ends.
+    sqrt(2 * edges) outgoing edges, hubs included. Two edges from one vertex are a
+    triangle if there is an edge between their ends.
     """
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
     links = checkpoint(edges.where("src <> dst").select(low.alias("a"), high.alias("b")).distinct())
@@ -139,17 +144,11 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     ranked = links.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a").join(
         degree.select(F.col("id").alias("b"), F.col("d").alias("db")), "b")
     forward = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    out = ranked.select(F.when(forward, F.col("a")).otherwise(F.col("b")).alias("s"),
-                        F.when(forward, F.col("b")).otherwise(F.col("a")).alias("t"))
-    lists = checkpoint(out.groupBy("s").agg(F.collect_list("t").alias("targets")))
-    pairs = lists.select("s", F.explode("targets").alias("t"), "targets")
-    second = lists.select(F.col("s").alias("t"), F.col("targets").alias("others"))
-    common = pairs.join(second, "t").select("s", "t", F.array_intersect("targets", "others").alias("thirds")).where(F.size("thirds") > 0)
-    one = F.lit(1).cast("int")
-    parts = F.concat(F.array(F.struct(F.col("s").alias("id"), F.size("thirds").alias("n")),
-                             F.struct(F.col("t").alias("id"), F.size("thirds").alias("n"))),
-                     F.transform("thirds", lambda u: F.struct(u.alias("id"), one.alias("n"))))
-    counts = common.select(F.explode(parts).alias("p")).groupBy(F.col("p.id").alias("id")).agg(F.sum("p.n").alias("triangles"))
+    out = checkpoint(ranked.select(F.when(forward, F.col("a")).otherwise(F.col("b")).alias("s"),
+                                   F.when(forward, F.col("b")).otherwise(F.col("a")).alias("t")))
+    wedges = out.withColumnRenamed("t", "a").join(out.withColumnRenamed("t", "b"), "s").where("a < b")
+    closed = wedges.join(links, ["a", "b"])
+    counts = closed.select(F.explode(F.array("s", "a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
     nodes = degree.select("id") if vertices is None else vertices.select("id")
     return nodes.join(counts, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles"))
 
@@ -158,15 +157,16 @@ def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     """(id, distance) of all vertices reachable from ``source`` over (src, dst, weight >= 0)."""
     links = checkpoint(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
     spark = edges.sparkSession
-    best = fresh = spark.range(1).select(F.lit(source).cast("long").alias("id"), F.lit(0.0).alias("distance"))
+    found = fresh = spark.range(1).select(F.lit(source).cast("long").alias("id"), F.lit(0.0).alias("distance"))
     while not fresh.isEmpty():
         offers = fresh.join(links, fresh["id"] == links["src"]).groupBy(F.col("dst").alias("id")).agg(
             F.min(F.col("distance") + F.col("weight")).alias("offer"))
-        known = best.withColumnRenamed("distance", "old")
+        known = found.groupBy("id").agg(F.min("distance").alias("old"))
         fresh = checkpoint(offers.join(known, "id", "left").where("old IS NULL OR offer < old").select(
             "id", F.col("offer").alias("distance")))
-        best = checkpoint(best.join(fresh.select("id"), "id", "left_anti").unionByName(fresh))
-    return best
+        # Improvements are added to the written parts; the least distance of an id counts.
+        found = found.unionByName(fresh)
+    return found.groupBy("id").agg(F.min("distance").alias("distance"))
 
 
 def aggregate_neighbours(edges: DataFrame, vertices: DataFrame, value: str) -> DataFrame:
