@@ -8,7 +8,9 @@ library's model gives the ids of each part. Pieces or texts for which that is no
 certain (rare white space, names of special tokens, letters that newer Unicode
 versions may class otherwise) go through the library's whole encoder.
 
-A worker remembers at most ``REMEMBERED`` pieces and starts anew beyond that.
+A worker remembers what it has met in two generations: when the younger one is
+full it becomes the older, and what is met again moves up. So the memory is
+bounded and frequent pieces stay.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ from functools import lru_cache
 import regex
 from tokenizers import Tokenizer
 
-REMEMBERED = 400_000
+# Entries of one generation, of some 200 bytes each.
+PIECES, PARTS = 350_000, 500_000
 
 _BLANKS = " \t\n\r\x0b\x0c"
+_SIGNS = frozenset(",.;:!?")
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 # White space beyond the blanks, which a pattern may run together with them.
 _ODD_SPACE = re.compile("[" + "".join(map(chr, (
     *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-# Characters whose class is the same in all Unicode versions in use:
+# Characters whose class and lower case are the same in all Unicode versions in use:
 # Latin, Greek and Cyrillic letters, without the sigmas, and the common punctuation.
 _SETTLED = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in (
-    (0x00, 0x2AF), (0x391, 0x3A1), (0x3A4, 0x3A9), (0x3B1, 0x3C1), (0x3C4, 0x3C9), (0x410, 0x44F),
+    (0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0x2AF), (0x391, 0x3A1), (0x3A4, 0x3A9), (0x3B1, 0x3C1), (0x3C4, 0x3C9), (0x410, 0x44F),
     (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC))) + "]*")
 
 
@@ -42,32 +46,21 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in prints else chr(next(other)) for b in range(256)}
 
 
-class _Parts(dict):
-    """Ids of one part of a piece, by the model of the library."""
+class _Remembered(dict):
+    """``make`` of a key, kept for two generations of ``size`` keys."""
 
-    def __init__(self, model):
+    def __init__(self, make, size: int):
         super().__init__()
-        self.model, self.letters = model, _byte_letters()
-
-    def __missing__(self, part: str) -> bytes:
-        spelled = part.encode().decode("latin-1").translate(self.letters)
-        ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[part] = ids
-        return ids
-
-
-class _Pieces(dict):
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, piece) -> bytes:
-        ids = self.encoder.piece(piece)
-        if len(self) >= REMEMBERED:
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
             self.clear()
-        self[piece] = ids
+        self[key] = ids
         return ids
 
 
@@ -82,26 +75,54 @@ class Encoder:
         names = [s["type"] for s in steps]
         split = next((s["pattern"]["Regex"] for s in steps if s["type"] == "Split"), None)
         self.drops_blanks = names == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
-        own = names == ["ByteLevel"] and steps[0]["use_regex"] and not steps[0]["add_prefix_space"] and spec["normalizer"] is None
-        self.fast = spec["model"]["type"] == "BPE" and (self.drops_blanks or own)
+        own = names == ["ByteLevel"] and steps[0]["use_regex"] and not steps[0]["add_prefix_space"]
+        normal = spec["normalizer"] and [n["type"] for n in spec["normalizer"].get("normalizers", [spec["normalizer"]])]
+        # What these normalizers do to settled characters is to lower-case them.
+        self.lowers = normal == ["NFC", "Replace", "Lowercase"]
+        self.fast = spec["model"]["type"] == "BPE" and (self.drops_blanks and self.lowers or own and normal is None)
         # Fixed value: the pattern of the byte-level pre-tokenizer, which its file does not spell out.
         pattern = split if self.drops_blanks else (
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
         self.pattern = regex.compile(pattern)
-        self.normal = self.whole.normalizer
         # How special tokens begin; a text with such a place is left to the library.
         self.special = {t["content"][:2] for t in spec["added_tokens"]}
-        self.parts, self.pieces = _Parts(self.whole.model), _Pieces(self)
+        self.model, self.letters = self.whole.model, _byte_letters()
+        self.parts, self.pieces = _Remembered(self.part, PARTS), _Remembered(self.word if self.drops_blanks else self.spaced, PIECES)
 
     def _encoded(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def piece(self, piece) -> bytes:
-        text = piece.decode() if isinstance(piece, bytes) else piece
-        if not _SETTLED.fullmatch(text):
+    def part(self, part: str) -> bytes:
+        """Ids of one part, by the model of the library."""
+        if part.isascii() and part.isprintable():
+            spelled = part.replace(" ", self.letters[0x20])
+        else:
+            spelled = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def word(self, piece: bytes) -> bytes:
+        """Ids of a piece without blanks, for tokenizers that drop them and lower-case."""
+        text = piece.decode()
+        if not (text.isascii() and text.isprintable() or _SETTLED.fullmatch(text)):
+            return self._encoded(text)
+        text = text.lower()
+        # A word, or a word and one sign after it, needs no pattern.
+        if text.isalpha():
+            return self.parts[text]
+        if text[-1] in _SIGNS and text[:-1].isalpha():
+            return self.parts[text[:-1]] + self.parts[text[-1]]
+        return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
+
+    def spaced(self, text: str) -> bytes:
+        """Ids of a piece with the blanks before it, for tokenizers that keep them."""
+        body = text.lstrip(_BLANKS)
+        if not (body.isascii() and body.isprintable() or _SETTLED.fullmatch(body)):
             return self._encoded(text)
-        if self.normal is not None:
-            text = self.normal.normalize_str(text)
+        if len(text) - len(body) <= text.startswith(" "):
+            if body.isalpha():
+                return self.parts[text]
+            if body[-1:] in _SIGNS and body[:-1].isalpha():
+                return self.parts[text[:-1]] + self.parts[body[-1]]
         return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
 
     def ids(self, text: str) -> bytes:
