@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.session import checkpoint
+from paddock.session import checkpoint, workspace
 
 # Share of a rank passed along an edge, and the rest.
 DAMPING = 0.85
@@ -19,13 +19,16 @@ BASE = 0.15
 def _weighted(edges: DataFrame) -> DataFrame:
     """Distinct edges with the share of the source's rank each one carries.
 
-    The edges are saved once and dealt by their source, and the saved copy keeps
-    that layout, so a round shuffles ranks and parts but no edges.
+    They are written once, as a table bucketed by source, so a round shuffles
+    ranks and parts but no edges.
     """
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = checkpoint(edges.select("src", "dst").distinct().repartition(parts, "src"))
+    spark = edges.sparkSession
+    links = checkpoint(edges.select("src", "dst").distinct())
     degree = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
-    return links.join(degree, "src")
+    parts, path = int(spark.conf.get("spark.sql.shuffle.partitions")), workspace(spark, "links")
+    name = "links_" + path.rsplit("-", 1)[1]
+    links.join(degree, "src").repartition(parts, "src").write.bucketBy(parts, "src").sortBy("src").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def page_rank(edges: DataFrame, rounds: int, vertices: DataFrame | None = None, every: int = 3) -> DataFrame:
@@ -34,7 +37,7 @@ def page_rank(edges: DataFrame, rounds: int, vertices: DataFrame | None = None,
     Without ``vertices`` a node nobody links to drops out after the first round;
     with them every vertex keeps at least the base rank.
     """
-    links = checkpoint(_weighted(edges))
+    links = _weighted(edges)
     keep = vertices is not None
     nodes = vertices.select("id") if keep else links.select(F.col("src").alias("id")).distinct()
     ranks = nodes.withColumn("rank", F.lit(1.0))
@@ -60,7 +63,7 @@ def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max
 
     The movement is looked at after every block of rounds.
     """
-    links = checkpoint(_weighted(edges))
+    links = _weighted(edges)
     ranks = vertices.select("id").distinct().withColumn("rank", F.lit(1.0))
     for _ in range(0, max_rounds, every):
         for _ in range(every):
