@@ -164,10 +164,12 @@ def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(c
     stats = C.decode_missing(stats.withColumnRenamed("id", "driver_id"))
     standings = C.decode_missing(standings.withColumnRenamed("id", "driver_id"))
     facts = {"seasonal_achievement", "detailed_performance", "earnings"}
+    # Parents that children look their keys up in are written once, and not built again for every child.
+    shared = checkpoint if set(names) - {"personal_info", "race_info"} else (lambda df: df)
     if people is None and set(names) != {"race_info"}:
-        people = personal_info(stats, bound)
+        people = shared(personal_info(stats, bound))
     if races is None and facts.union(["race_info"]).intersection(names):
-        races = race_info(standings, bound)
+        races = shared(race_info(standings, bound))
     build = {
         "personal_info": lambda: people,
         "race_info": lambda: races,
@@ -183,11 +185,13 @@ def store(stats: DataFrame, standings: DataFrame, folder: str) -> dict[str, str]
     spark = stats.sparkSession
     paths = {n: f"{folder}/{n}.parquet" for n in contracts.LOAD_ORDER}
     parents = ["personal_info", "race_info"]
-    for name, df in normalise(stats, standings, parents).items():
+    # No table has more rows than both sources together.
+    bound = stats.select("id").unionByName(standings.select("id"))
+    for name, df in normalise(stats, standings, parents, bound=bound).items():
         files.write_parquet(df, paths[name])
     people, races = (spark.read.schema(contracts.schema_of(n)).parquet(paths[n]) for n in parents)
     children = [n for n in contracts.LOAD_ORDER if n not in parents]
-    for name, df in normalise(stats, standings, children, people, races).items():
+    for name, df in normalise(stats, standings, children, people, races, bound).items():
         files.write_parquet(df, paths[name])
     return paths
 

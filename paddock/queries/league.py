@@ -364,3 +364,16 @@ def _(t):
 @query("d04_row_count", "SELECT count(*) AS n_rows, 25::BIGINT AS expected, count(*) = 25 AS ok FROM customer")
 def _(t):
     return contracts.row_count_check(t.customer, 25)
+
+
+_EXPECTED = ", ".join(f"('{n}', {rows})" for n, rows in contracts.EXPECTED_ROWS.items())
+
+
+@query("d04_contract_counts", f"""
+    SELECT table_name, n_rows, expected, n_rows = expected AS ok FROM ({_COUNTS}) JOIN (VALUES {_EXPECTED}) e(table_name, expected) USING (table_name)""")
+def _(t):
+    """Rows of every stored table next to the number the contract states for the original season data."""
+    tables = league.load(t.spark, league.store(*_sources(t), workspace(t.spark, "store")))
+    checks = [contracts.row_count_check(df, contracts.EXPECTED_ROWS[n]).select(F.lit(n).alias("table_name"), "n_rows", F.col("expected").cast("int"), "ok")
+              for n, df in tables.items()]
+    return union_by_name(checks)
