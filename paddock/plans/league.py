@@ -164,8 +164,8 @@ def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(c
     stats = C.decode_missing(stats.withColumnRenamed("id", "driver_id"))
     standings = C.decode_missing(standings.withColumnRenamed("id", "driver_id"))
     facts = {"seasonal_achievement", "detailed_performance", "earnings"}
-    # Parents that children look their keys up in are written once, and not built again for every child.
-    shared = checkpoint if set(names) - {"personal_info", "race_info"} else (lambda df: df)
+    # Parents that several children look their keys up in are written once, and not built again for each.
+    shared = checkpoint if len(set(names) - {"personal_info", "race_info"}) > 1 else (lambda df: df)
     if people is None and set(names) != {"race_info"}:
         people = shared(personal_info(stats, bound))
     if races is None and facts.union(["race_info"]).intersection(names):
