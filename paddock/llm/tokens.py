@@ -67,7 +67,7 @@ class _Remembered(dict):
 class Encoder:
     """``Encoder(path).ids(text)``: the ids as packed little-endian 32-bit integers."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pieces: int = PIECES, parts: int = PARTS):
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -87,7 +87,7 @@ class Encoder:
         # How special tokens begin; a text with such a place is left to the library.
         self.special = {t["content"][:2] for t in spec["added_tokens"]}
         self.model, self.letters = self.whole.model, _byte_letters()
-        self.parts, self.pieces = _Remembered(self.part, PARTS), _Remembered(self.word if self.drops_blanks else self.spaced, PIECES)
+        self.parts, self.pieces = _Remembered(self.part, parts), _Remembered(self.word if self.drops_blanks else self.spaced, pieces)
 
     def _encoded(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -133,6 +133,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, pieces: int = PIECES, parts: int = PARTS) -> Encoder:
     """The encoder of a file; a worker process builds it once and keeps what it has learned."""
-    return Encoder(path)
+    return Encoder(path, pieces, parts)
