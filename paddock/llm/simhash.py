@@ -211,14 +211,23 @@ def link_prints(prints: DataFrame, radius: int = RADIUS, tile: int | None = None
     return full.mapInPandas(compare, "src long, dst long")
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-               radius: int = RADIUS) -> DataFrame:
-    """(doc_id, _print, component_id) per row; the component is the smallest id reachable."""
-    printed = checkpoint(with_fingerprints(docs.select(doc_id, text), text, shingle).select(doc_id, "_print"))
+def _printed(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    return checkpoint(with_fingerprints(docs.select(doc_id, text), text, shingle).select(doc_id, "_print"))
+
+
+def _rooted(printed: DataFrame, doc_id: str, radius: int) -> DataFrame:
+    """(_print, _first, _root) per distinct fingerprint: its smallest id, and the fingerprint that names its component."""
     prints = checkpoint(printed.groupBy("_print").agg(F.min(doc_id).alias("_first")))
     linked = connected_components(link_prints(prints, radius))
-    rooted = prints.join(linked, prints["_print"] == linked["id"], "left").select(
+    return prints.join(linked, prints["_print"] == linked["id"], "left").select(
         "_print", "_first", F.coalesce("component", "_print").alias("_root"))
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+               radius: int = RADIUS) -> DataFrame:
+    """(doc_id, _print, component_id) per row; the component is the smallest id reachable."""
+    printed = _printed(docs, doc_id, text, shingle)
+    rooted = _rooted(printed, doc_id, radius)
     least = rooted.groupBy("_root").agg(F.min("_first").alias("component_id"))
     labels = rooted.select("_print", "_root").join(least, "_root").select("_print", "component_id")
     return printed.join(labels, "_print").select(doc_id, "_print", "component_id")
@@ -230,9 +239,15 @@ def print_hex(name: str = "_print"):
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                      radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of every component, that of its smallest id; other columns stay."""
-    kept = components(docs, doc_id, text, shingle, radius).where(F.col(doc_id).eqNullSafe(F.col("component_id"))).groupBy(
-        doc_id).agg(F.min("_print").alias("_print"))
+    """``docs`` with one row of every component, that of its smallest id; other columns stay.
+
+    A component is known by its root fingerprint and not by an id, so components
+    without ids, or that share their smallest id, keep one row each.
+    """
+    rooted = _rooted(_printed(docs, doc_id, text, shingle), doc_id, radius)
+    least = F.struct(F.col("_first").isNull().alias("missing"), F.col("_first").alias("first"), F.col("_print").alias("print"))
+    kept = rooted.groupBy("_root").agg(F.min(least).alias("_least")).select(
+        F.col("_least.first").alias(doc_id), F.col("_least.print").alias("_print"))
     printed = with_fingerprints(docs, text, shingle)
     chosen = null_safe_join(printed, kept, [doc_id, "_print"], "left_semi")
     return chosen.dropDuplicates([doc_id, "_print"]).select(*docs.columns)

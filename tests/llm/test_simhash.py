@@ -73,3 +73,10 @@ def test_one_row_of_every_group_stays(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] or 0, r["_first"]) for r in kept.collect()) == [(0, "n"), (3, "y"), (9, None)]
     assert op.drop_near_copies(docs.limit(0)).count() == 0
+
+
+def test_every_group_stays_whatever_its_ids(spark):
+    one, two, three = "a b c d e f", "other words here now", "nothing like those at all"
+    docs = spark.createDataFrame([(None, one, "n1"), (None, one, "n1"), (None, two, "n2"), (7, three, "s1"), (7, "quite another story", "s2"),
+                                  (8, three, "later")], "doc_id long, text string, tag string")
+    assert sorted(r["tag"] for r in op.drop_near_copies(docs).collect()) == ["n1", "n2", "s1", "s2"]
