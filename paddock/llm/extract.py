@@ -6,9 +6,10 @@ footers, sidebars, notices, adverts, forms, scripts, styles and comments of
 readers. What remains is a list of blocks, each with the element that holds it.
 Every block passes points for its length and its commas on to its ancestors,
 fully to the first, half to the second, less beyond; a container's points are
-discounted by the share of its text that is inside links. The best container is
-kept with those of its siblings that score a fair part of it or are plain
-paragraphs, and its blocks are written in page order.
+discounted by the share of its text that is inside links. The best container, or
+the whole article or main element around it, is kept with those of its siblings
+that score a fair part of it or are plain blocks, and its blocks are written in
+page order.
 
 Pages are independent: one Python call per page, whatever its host, and the tree
 is kept in flat lists and walked without recursion, so depth is not a limit.
@@ -207,18 +208,32 @@ def _scores(page: Page) -> tuple[list[float], list[int], list[int]]:
     return score, chars, linked
 
 
+def _whole(page: Page, node: int) -> int:
+    """The outermost article around an element, else the outermost main element, else the element itself."""
+    around = {}
+    at = node
+    while at >= 0:
+        if page.tag[at] in ("article", "main") and not page.out[at]:
+            around[page.tag[at]] = at
+        at = page.up[at]
+    return around.get("article", around.get("main", node))
+
+
 def _kept(page: Page) -> set[int]:
-    """The best container and the siblings that belong to it."""
+    """The best container, or the article that holds it, and the siblings that belong to it."""
     score, chars, linked = _scores(page)
     best = max(range(len(score)), key=lambda n: (score[n], -n))
     if score[best] <= 0:
         # Nothing but links or bare short blocks: the page has no article.
         return {0} if page.blocks and not sum(linked[:1]) else set()
-    kept, least = {best}, max(10.0, 0.2 * score[best])
+    whole = _whole(page, best)
+    kept, least = {whole}, max(10.0, 0.2 * score[best])
     for node in range(len(score)):
-        if page.up[node] == page.up[best] and node != best and chars[node] and page.up[node] >= 0:
+        if page.up[node] == page.up[whole] and node != whole and chars[node] and page.up[node] >= 0:
             share = linked[node] / chars[node]
-            plain = page.tag[node] == "p" and (chars[node] > 80 and share < 0.25 or share == 0 and chars[node] > 25)
+            # Headlines, quotes and code are short by nature; a short <p> may be anything.
+            plain = page.tag[node] in PARAGRAPH and (
+                chars[node] > 80 and share < 0.25 or share == 0 and (page.tag[node] != "p" or chars[node] > 25))
             if plain or score[node] >= least:
                 kept.add(node)
     return kept

@@ -37,6 +37,15 @@ def test_parts_inside_the_article_go_too():
     assert main_text(f"<article>{BODY[:-4]}" + "".join(PARTS[p] for p in ("menu", "aside", "form", "comments", "advert")) + "</article>") == WANT
 
 
+@pytest.mark.parametrize("n", [2, 10, 40])
+@pytest.mark.parametrize("holder", ["<article>{}</article>", "<main>{}</main>", "<main><article><div>{}</div></article></main>",
+                                    "<div class='wrap'>{}</div>"])
+def test_parts_beside_a_long_body_stay(n, holder):
+    inner = f"<h1>Head</h1><div class=entry-content>{f'<p>{STORY}</p>' * n}</div><pre>x = 1</pre><blockquote>Said so.</blockquote>"
+    page = f"<body>{PARTS['menu']}{holder.format(inner)}{PARTS['footer']}</body>"
+    assert main_text(page) == " ".join(["Head", *[STORY] * n, "x = 1", "Said so."])
+
+
 def test_pages_without_article():
     assert main_text(None) == main_text("") == main_text("<nav><a href=x>a</a></nav><footer>c</footer>") == ""
     assert main_text("just text &am") == "just text &am"
