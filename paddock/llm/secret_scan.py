@@ -3,8 +3,12 @@
 The patterns give the base spans. On top of them a window slides over candidate
 strings of one character class and its Shannon entropy is kept up to date from
 the counts of the characters inside: one character enters, one leaves, and the
-sum of n * log2(n) changes by their terms alone. Strings that match the allow
-list are not reported; base spans are never suppressed.
+sum of n * log2(n) changes by their terms alone. Windows that overlap a match of
+the allow list are not looked at, the rest of their candidate is; base spans are
+never suppressed.
+
+A candidate has both letters and digits: a run of letters alone cannot be told
+from a word, and is found behind a keyword only.
 
 All of it is column functions on one row: no shuffle, and a long text or a hot
 source stays where it was read. Positions are code points, the end exclusive.
@@ -49,12 +53,19 @@ CLASSES = (
     CharClass("hex_upper", _DIGITS + "ABCDEF", 20, 3.0, r"(?<![0-9A-Za-z])[0-9A-F]{20,}(?![0-9A-Za-z])"),
     CharClass("base64", _LOWER.upper() + _LOWER + _DIGITS + "+/=_-", 24, 3.9,
               r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*[0-9])(?=[a-z0-9+/=_-]*[A-Z])(?=[A-Z0-9+/=_-]*[a-z])[A-Za-z0-9+/=_-]{24,}"),
+    CharClass("lower36", _DIGITS + _LOWER, 20, 3.4, r"(?<![0-9A-Za-z])(?=[a-z]*+[0-9])(?=[0-9]*+[a-z])[0-9a-z]{20,}(?![0-9A-Za-z])"),
+    # Runs that fit hex_upper or base32 are left to them.
+    CharClass("upper36", _DIGITS + _LOWER.upper(), 20, 3.4,
+              r"(?<![0-9A-Za-z])(?=[0-9A-F]*+[G-Z])(?=[A-Z2-7]*+[0189])[0-9A-Z]{20,}(?![0-9A-Za-z])"),
+    CharClass("base32", _LOWER.upper() + "234567", 16, 3.0, r"(?<![0-9A-Za-z])(?=[2-7A-F]*+[G-Z])(?=[A-Z]*+[2-7])[A-Z2-7]{16,}(?![0-9A-Za-z])"),
 )
-# Candidates that are no secrets: runs of the alphabet, words joined by signs,
-# ids in the usual grouped form, and documented sample keys.
+# A run of the alphabet from its start, as far as it goes.
+_ALPHABET = "abcdefghij" + "".join(f"(?:{c}" for c in "klmnopqrstuvwxyz") + ")?" * 16
+# Parts of candidates that are no secrets: candidates of words joined by signs as a
+# whole, runs of the alphabet, ids in the usual grouped form, and documented sample keys.
 ALLOWED = (
-    r"(?i)0123456789|abcdefghij",
     r"^(?:[A-Za-z]++[-_/=+]++)*+[A-Za-z]*+[0-9]{0,4}$",
+    rf"(?i)0123456789|{_ALPHABET}",
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
     r"(?i)example|sample|placeholder|xxxxx",
 )
@@ -140,8 +151,19 @@ def hottest(candidate: Column, kind: CharClass) -> Column:
     return let(letters, move)
 
 
-def _not_like(pattern: str):
-    return lambda m: ~m["found"].rlike(pattern)
+def _pieces(allowed: tuple[str, ...]):
+    """(start, found) of what the allow list leaves of a candidate: a window inside a piece overlaps no match."""
+    parts = "|".join(f"(?:{p})" for p in allowed)
+
+    def cut(m):
+        step = F.zip_with(F.split(m["found"], parts, -1), F.regexp_extract_all(m["found"], F.lit(parts), F.lit(0)),
+                          lambda gap, hit: F.struct(gap.alias("gap"), F.coalesce(F.length(hit), F.lit(0)).alias("hit")))
+        first = F.struct(m["start"].alias("at"), F.array().cast("array<struct<start:int,found:string>>").alias("out"))
+        return F.aggregate(step, first, lambda s, x: F.struct(
+            (s["at"] + F.length(x["gap"]) + x["hit"]).alias("at"),
+            F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), x["gap"].alias("found")))).alias("out")), lambda s: s["out"])
+
+    return lambda m: F.when(m["found"].rlike(parts), cut(m)).otherwise(F.array(m))
 
 
 def _rated(kind: CharClass):
@@ -159,8 +181,8 @@ def entropy_spans(text: Column, classes: tuple[CharClass, ...] = CLASSES, allowe
     parts = []
     for place, kind in enumerate(classes):
         found = _located(text, kind.pattern)
-        for pattern in allowed:
-            found = F.filter(found, _not_like(pattern))
+        if allowed:
+            found = F.flatten(F.transform(found, _pieces(allowed)))
         over = F.filter(F.transform(found, _rated(kind)), lambda m: m["hot"]["first"].isNotNull())
         parts.append(F.coalesce(F.transform(over, _hot_part(kind, len(BASE_KINDS) + place)), none))
     return F.concat(*parts)

@@ -55,6 +55,19 @@ def test_entropy_spans_and_allow_list(spark):
     assert all(s[1] < 3 for i in (11, 12, 13) for s in got[i])
 
 
+def test_tokens_of_one_case_and_keys_beside_allowed_parts(spark):
+    tokens = {"lower36": "4k9zq1vx7m2pt8wj5ry0hn3g", "upper36": "K9ZQ1VX7M2PT8WJ5RY0HN3GB", "base32": "JBSWY3DPEHPK3PXP"}
+    texts = [f"the key {t} of it" for t in tokens.values()]
+    texts += [f"see /sample/{KEY} there", "sample/words-joined-by-signs", "a/abcdefghij/" + "Words/and/f47ac10b-58cc-4372-a567-0e02b2c3d479",
+              "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "EXAMPLE2EXAMPLE3EXAMPLE", "internationalization2024"]
+    got = _spans(spark, texts)
+    for i, (name, token) in enumerate(tokens.items()):
+        assert got[i] == [(8, got[i][0][1], f"entropy_{name}", 8 + len(token))]
+    at = texts[3].index(KEY)
+    assert [s[2] for s in got[3]] == ["entropy_base64"] and at - 1 <= got[3][0][0] <= at + 4 and got[3][0][3] >= at + len(KEY) - 4
+    assert all(not got[i] for i in range(4, len(texts)))
+
+
 def test_redaction_masks_spans_and_nothing_else(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(TEXTS)], "doc_id long, text string, spans string")
     out = secret_scan.redact(docs)
