@@ -12,7 +12,11 @@ and aggregates; only urls with a link take part, and each round is written to th
 shared folder. The rule list is configuration: it is a Python value of at most
 ``MAX_RULES`` entries and travels inside the expression.
 
-Defined cases: a missing url, or one without ``://``, has an empty host and path,
+Link targets are read as a browser reads them: character references are decoded,
+relative targets are resolved against the url of the page. Aliases are matched
+without dot segments, and an empty path is the path ``/``.
+
+Defined cases: a link to something without a host (``mailto:``) is no alias; a missing url, or one without ``://``, has an empty host and path,
 fits no rule and is allowed; repeated urls get equal verdicts; pages without links
 need no join; the columns host, path, rule and verdict replace input columns of
 these names.
@@ -33,9 +37,13 @@ MAX_RULES = 10_000
 # Links that make two urls aliases: rel=canonical, and refresh with a target.
 CANONICAL = (
     r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""",
-    r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>;]+)""",
+    r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?((?:[^"'\s>;&]++|&#?\w{1,31}+;|&)+)""",
 )
 
+# Character references: decimal, hexadecimal, by name.
+_REFERENCE = r"&(?:#0*([0-9]{1,7});?|#[xX]0*([0-9A-Fa-f]{1,6});?|(amp|lt|gt|quot|apos);)"
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
 
 @dataclass(frozen=True)
 class UrlRule:
@@ -58,10 +66,53 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def _plain_path(path: Column) -> Column:
+    """``path`` without ``.`` and ``..`` segments; an empty one is ``/``."""
+    def walk(done, x):
+        return F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(
+            F.concat(done, F.array(x)))
+
+    walked = F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), walk), "/")
+    dotted = F.concat(walked, F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path == "", F.lit("/")).when(path.rlike(r"/\.\.?(?:/|$)"), dotted).otherwise(path)
+
+
 def alias_key(url: Column) -> Column:
     """What names a page whatever the scheme: host, path and query, without the fragment."""
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1)
-    return F.when(url.contains("://"), F.concat(host_of(url), path_of(url), query))
+    return F.when(url.contains("://"), F.concat(host_of(url), _plain_path(path_of(url)), query))
+
+
+def _decoded(text: Column) -> Column:
+    """``text`` with its character references replaced, each once."""
+    def of(group):
+        return F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(group))
+
+    def char(code):
+        known = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+
+    def read(number, hexadecimal):
+        return F.when(number != "", char(number.try_cast("long"))).when(
+            hexadecimal != "", char(F.conv(hexadecimal, 16, 10).try_cast("long")))
+
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    chars = F.zip_with(F.zip_with(of(1), of(2), read), of(3), lambda c, name: F.coalesce(c, names[name]))
+    whole = F.zip_with(F.split(text, _REFERENCE, -1), chars, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(whole, "")).otherwise(text)
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """``target`` as an absolute url, seen from the page ``url``; missing if it has no host."""
+    scheme_host = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*", 0)
+    folder = F.regexp_extract(path_of(url), r"(?s)^.*/", 0)
+    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+            .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+            .when(target.startswith("/"), F.concat(scheme_host, target))
+            .when(target.startswith("?"), F.concat(scheme_host, path_of(url), target))
+            .when(target.startswith("#"), url)
+            .otherwise(F.concat(scheme_host, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
 
 
 def fitting_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
@@ -96,14 +147,11 @@ def fitting_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
 def links(pages: DataFrame) -> DataFrame:
     """Distinct (src, dst) alias keys of the canonical and redirect links of the pages.
 
-    Links without a host are relative to the page's own host.
+    Links without a host are relative to the page's own url.
     """
     found = F.flatten(F.array(*[F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(p), F.lit(1)) for p in CANONICAL]))
-    scheme_host = F.regexp_extract("url", r"(?s)^.*?://[^/?#]*", 0)
-    targets = pages.where(F.col("url").contains("://")).select("url", F.explode(found).alias("to")).withColumn("to", (
-        F.when(F.col("to").contains("://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat(F.lit("http:"), F.col("to")))
-        .when(F.col("to").startswith("/"), F.concat(scheme_host, F.col("to")))))
+    targets = pages.where(F.col("url").contains("://")).select("url", F.explode(found).alias("to")).withColumn(
+        "to", _decoded(F.col("to"))).withColumn("to", resolved(F.col("to"), F.col("url")))
     edges = targets.where(F.col("to").isNotNull()).select(alias_key(F.col("url")).alias("src"), alias_key(F.col("to")).alias("dst"))
     return edges.where("src <> dst").distinct()
 

@@ -38,6 +38,24 @@ def test_decisions_reach_aliases(spark):
     assert got == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow", 8: "allow", 9: "allow"}
 
 
+def test_relative_and_escaped_targets(spark):
+    def refresh(url):
+        return f'<meta http-equiv="refresh" content="0; url={url}">'
+
+    blocked = _canonical("http://x.net/es/1")
+    cases = [("http://a{}.org/d/1?x=2", "?id=3", "/d/1?id=3"), ("http://a{}.org/d/e/1", "../x", "/d/x"), ("http://a{}.org/d/1", "index.html", "/d/index.html"),
+             ("http://a{}.org", "./b/./c/..", "/b/"), ("http://a{}.org/p", "/q?a=1&amp;b=2&#38;c=&#xe9;&#8364;", "/q?a=1&b=2&c=é€"),
+             ("http://a{}.org/p", "/go?u=http://c.org/", "/go?u=http://c.org/"), ("http://a{}.org/p", "http://a{}.org", "/"),
+             ("http://a{}.org/p", "/amp?x=&amp;lt;&#0;&#xD800;", "/amp?x=&lt;\ufffd\ufffd")]
+    rows = []
+    for i, (page, target, _) in enumerate(cases):
+        rows.append((page.format(i), (refresh if i % 2 == 0 else _canonical)(target.format(i))))
+    rows += [(f"https://a{i}.org{path}", blocked) for i, (_, _, path) in enumerate(cases)]
+    rows += [("http://b.org/1", _canonical("mailto:x@x.net")), ("http://b.org/2", refresh("#top"))]
+    got = [v[3] for _, v in sorted(_verdicts(spark, rows).items())]
+    assert got == ["block"] * 2 * len(cases) + ["allow"] * 2
+
+
 def test_known_redirects_and_long_chains(spark):
     rows = [(f"http://h.org/{i}", None) for i in range(40)] + [("http://h.net/es/0", None)]
     chain = [(f"http://h.org/{i}", f"http://h.org/{i + 1}") for i in range(39)] + [("http://h.org/39", "http://h.net/es/0")]
