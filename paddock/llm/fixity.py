@@ -14,7 +14,9 @@ has more rows than a range has records or a node children.
 Defined cases: a record missing on one side is damage of kind ``missing`` or
 ``extra``; a repeated (file, offset) counts as one record if its digest repeats
 and as different otherwise; missing payloads hash as empty ones; two empty
-replicas agree; columns beyond those named are ignored.
+replicas agree; columns beyond those named are ignored. Records without a file
+are records of one more file, the missing one. Records of a file without an offset
+are one range of it, without bounds, and are reported as one repeated record.
 """
 
 from __future__ import annotations
@@ -39,6 +41,11 @@ def record_bytes(url, body):
     return F.concat(F.encode(head, "UTF-8"), payload, F.encode(F.lit("\r\n\r\n"), "UTF-8"))
 
 
+def _said(value):
+    """A value in what is hashed, where a missing one has a place of its own."""
+    return F.coalesce(value.cast("string"), F.lit("~"))
+
+
 def leaves(records: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(file, level 0, node, start, stop, n, digest) of every offset range with records."""
     one = records.select("file", "offset", "length", "digest").distinct()
@@ -46,7 +53,7 @@ def leaves(records: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         F.min("offset").alias("start"), F.max(F.col("offset") + F.col("length")).alias("stop"),
         F.count(F.lit(1)).alias("n"),
         F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("offset", "length", "digest"))),
-                                        lambda r: F.concat_ws(":", r["offset"].cast("string"), r["length"].cast("string"), r["digest"])), "\n"), 256).alias("digest"),
+                                        lambda r: F.concat_ws(":", _said(r["offset"]), _said(r["length"]), _said(r["digest"]))), "\n"), 256).alias("digest"),
     ).withColumn("level", F.lit(0))
 
 
@@ -54,7 +61,7 @@ def _above(nodes: DataFrame, level: int) -> DataFrame:
     return nodes.groupBy("file", F.floor(F.col("node") / FANOUT).alias("node")).agg(
         F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n"),
         F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("node", "digest"))),
-                                        lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"])), "\n"), 256).alias("digest"),
+                                        lambda c: F.concat_ws(":", _said(c["node"]), c["digest"])), "\n"), 256).alias("digest"),
     ).withColumn("level", F.lit(level))
 
 
@@ -85,9 +92,11 @@ def depth(nodes: DataFrame) -> int:
 
 def _differing(left: DataFrame, right: DataFrame) -> DataFrame:
     """(file, node) whose digests differ or that only one side has."""
-    a = left.select("file", "node", F.col("digest").alias("a"))
-    b = right.select("file", "node", F.col("digest").alias("b"))
-    return a.join(b, ["file", "node"], "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("file", "node")
+    sides = left.select("file", "node", F.col("digest").alias("a"), F.lit(None).cast("string").alias("b")).unionByName(
+        right.select("file", "node", F.lit(None).cast("string").alias("a"), F.col("digest").alias("b")))
+    # Grouping matches missing keys with each other, which a join by equality does not.
+    both = sides.groupBy("file", "node").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    return both.where(~F.col("a").eqNullSafe(F.col("b"))).select("file", "node")
 
 
 def audit(left: DataFrame, right: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -105,24 +114,25 @@ def audit(left: DataFrame, right: DataFrame, range_bytes: int = RANGE_BYTES) ->
     for level in range(levels - 2, -1, -1):
         def below(nodes):
             parents = bad.withColumnRenamed("node", "parent")
-            return nodes.withColumn("parent", F.floor(F.col("node") / FANOUT)).join(parents, ["file", "parent"], "left_semi")
+            return null_safe_join(nodes.withColumn("parent", F.floor(F.col("node") / FANOUT)), parents, ["file", "parent"], "left_semi")
 
         bad = checkpoint(_differing(below(one[level]), below(two[level])))
     return _records(left, right, bad, range_bytes)
 
 
 def _records(left, right, bad, range_bytes):
-    def inside(records):
+    def inside(records, side):
         one = records.select("file", "offset", "length", "digest").distinct()
-        return one.withColumn("node", F.floor(F.col("offset") / range_bytes)).join(bad, ["file", "node"], "left_semi")
+        placed = one.withColumn("node", F.floor(F.col("offset") / range_bytes))
+        return null_safe_join(placed, bad, ["file", "node"], "left_semi").withColumn("side", F.lit(side))
 
-    def gathered(records, name):
-        return inside(records).groupBy("file", "node", "offset").agg(
-            F.array_sort(F.collect_set(F.struct("length", "digest"))).alias(name))
+    def of(side):
+        return F.array_sort(F.collect_set(F.when(F.col("side") == side, F.struct("length", "digest")))).alias(side)
 
-    both = gathered(left, "a").join(gathered(right, "b"), ["file", "node", "offset"], "full")
+    both = inside(left, "a").unionByName(inside(right, "b")).groupBy("file", "node", "offset").agg(of("a"), of("b"))
     differ = both.where(~F.col("a").eqNullSafe(F.col("b")))
-    kind = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
+    kind = F.when(F.size("b") == 0, "missing").when(F.size("a") == 0, "extra").otherwise("changed")
+    length = F.when(F.size("a") > 0, F.get("a", F.lit(0))["length"]).otherwise(F.get("b", F.lit(0))["length"])
     return differ.select(
-        "file", "offset", F.coalesce(F.col("a")[0]["length"], F.col("b")[0]["length"]).alias("length"), kind.alias("kind"),
+        "file", "offset", length.alias("length"), kind.alias("kind"),
         (F.col("node") * range_bytes).alias("range_start"), ((F.col("node") + 1) * range_bytes).alias("range_stop"))

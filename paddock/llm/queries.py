@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paddock.llm import bitplanes, chat, decontaminate, extract, fixity, packing, quality, secret_scan, simhash, urls
 from paddock.llm.exprs import sha256_hex
 from paddock.llm.tokens import encoder
+from paddock.operators.hot import null_safe_join
 from paddock.operators.scan import running, running_sum
 from paddock.session import checkpoint, prepare, workspace
 
@@ -71,7 +72,7 @@ def op2_fixity_audit(table):
     right = laid.where(F.coalesce(F.pmod("page_id", F.lit(LOST_EVERY)) != 7, F.lit(True))).select(
         "file", "offset", "length", hurt.alias("digest"))
     found = fixity.audit(left, right)
-    return found.join(left.select("page_id", "file", "offset"), ["file", "offset"]).select(
+    return null_safe_join(found, left.select("page_id", "file", "offset"), ["file", "offset"], "inner").select(
         "page_id", "file", "offset", "length", "kind", "range_start")
 
 

@@ -32,6 +32,17 @@ def test_damage_is_located(spark, range_bytes):
     assert all(r["range_start"] <= r["offset"] < r["range_stop"] for r in got)
 
 
+@pytest.mark.parametrize("range_bytes", [64, 1 << 30])
+def test_records_without_a_file_or_offset(spark, range_bytes):
+    kept = [(None, 0, 10, "k"), (1, 0, 10, "k"), (2, None, 10, "k"), *[(None, 1000 * i, 10, f"n{i}") for i in range(5, 40)]]
+    left = kept + [(None, 100, 10, "a"), (None, 200, 10, "b"), (1, None, 10, "c"), (3, None, 7, None), (None, None, 5, "f")]
+    right = kept + [(None, 100, 10, "bad"), (None, 300, 10, "new"), (3, None, None, "7"), (None, None, 5, "f"), (None, None, 6, "g"), (4, None, 1, "h")]
+    got = fixity.audit(spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA), range_bytes).collect()
+    want = {(None, 100): "changed", (None, 200): "missing", (None, 300): "extra", (1, None): "missing", (3, None): "changed",
+            (None, None): "changed", (4, None): "extra"}
+    assert {(r["file"], r["offset"]): r["kind"] for r in got} == want and len(got) == len(want)
+
+
 def test_equal_and_empty_replicas(spark):
     frame = spark.createDataFrame(_records(2, 50), SCHEMA)
     assert fixity.audit(frame, frame).count() == 0
