@@ -10,14 +10,18 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import functions as F
 
 from paddock.queries.registry import query
+from paddock.session import checkpoint
 
 # Rounds after which a fit that still moves is an error.
 ROUNDS = 500
+# Neighbours are asked for every so many rows, up to these distances.
+ASKED_EVERY, VECTOR_DISTANCE, SET_DISTANCE = 50, 1.1, 0.3
+# Two sets meet where all min hashes of a band agree.
+BANDS, BAND_ROWS, SALTS = 16, 4, 8
 STOP_WORDS = ["the", "and", "of", "und", "que"]
 _TOKENS = """
     w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s'), lambda x: x <> '') AS ws FROM documents)"""
@@ -161,19 +165,52 @@ def _(t):
 
 @query("m23_projection_neighbours")
 def _(t):
-    """The five vectors nearest to a given one by random projections; no pairs are formed."""
-    vectors = _vectors(t)
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=3, seed=14).fit(vectors)
-    key = Vectors.dense([0.1] * 64)
-    return model.approxNearestNeighbors(vectors, key, 5).select("vec_id", F.round("distCol", 4).alias("distance"))
+    """The vectors near to every 50th one, by random projections.
+
+    Distances are exact; a pair at the bound is met with a chance of 0.98. The
+    given vectors are all about as far from each other, so most pairs with a
+    query vector meet in some bucket and the work grows with their number.
+    """
+    vectors = _vectors(t).where(F.col("features").isNotNull())
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=5, seed=14).fit(vectors)
+    asked = vectors.where(F.pmod("vec_id", F.lit(ASKED_EVERY)) == 0)
+    near = model.approxSimilarityJoin(asked, vectors, VECTOR_DISTANCE, "distance")
+    return near.select(F.col("datasetA.vec_id").alias("query_id"), F.col("datasetB.vec_id").alias("vec_id"), F.round("distance", 4).alias("distance")).where(
+        ~F.col("query_id").eqNullSafe(F.col("vec_id")))
 
 
 @query("m23_set_neighbours")
 def _(t):
-    """The five documents with the word set nearest to that of the first benchmark text."""
-    stages = [_tokenizer("words"), HashingTF(inputCol="words", outputCol="features", binary=True, numFeatures=1 << 18)]
-    pipeline = Pipeline(stages=stages)
-    hashed = pipeline.fit(t.documents).transform(t.documents.where("length(trim(text)) > 0"))
-    key = pipeline.fit(t.benchmark).transform(t.benchmark.orderBy("item_id").limit(1)).first()["features"]
-    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=4, seed=14).fit(hashed)
-    return model.approxNearestNeighbors(hashed, key, 5).select("doc_id", F.round("distCol", 4).alias("distance"))
+    """The documents whose word set is near to that of every 50th document, by bands of min hashes.
+
+    Distances are exact, over the words themselves; a pair at the bound is met
+    with a chance of 0.98. Texts without words have no neighbours, repeated rows
+    count once.
+    """
+    return near_sets(t.documents)
+
+
+def near_sets(documents, distance=SET_DISTANCE):
+    """(query_id, doc_id, distance) of the near sets.
+
+    The rows of a bucket are dealt over ``SALTS`` parts, to which the few asked
+    rows are copied, so a bucket of many copies is not one task.
+    """
+    key = F.xxhash64("doc_id", "text").alias("key")
+    worded = _tokenizer("words").transform(documents.where("text IS NOT NULL").select("doc_id", "text", key)).where(F.size("words") > 0)
+    sets = checkpoint(worded.select("key", "doc_id", F.array_distinct("words").alias("words")).dropDuplicates(["key"]))
+    hashed = HashingTF(inputCol="words", outputCol="features", binary=True, numFeatures=1 << 18).transform(sets)
+    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=BANDS * BAND_ROWS, seed=14).fit(hashed)
+    # One vector of one value per hash.
+    values = [vector_to_array(F.col("hashes")[i])[0].cast("long") for i in range(BANDS * BAND_ROWS)]
+    bands = F.array(*[F.xxhash64(F.lit(b), *values[b * BAND_ROWS:(b + 1) * BAND_ROWS]) for b in range(BANDS)])
+    buckets = checkpoint(model.transform(hashed).select("key", "doc_id", F.explode(bands).alias("bucket")))
+    asked = buckets.where(F.pmod("doc_id", F.lit(ASKED_EVERY)) == 0).select(
+        F.col("key").alias("query"), "bucket", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = buckets.select("key", "bucket", F.pmod("key", F.lit(SALTS)).cast("int").alias("salt"))
+    pairs = asked.join(dealt, ["bucket", "salt"]).where("query <> key").select("query", "key").distinct()
+    left = sets.select(F.col("key").alias("query"), F.col("doc_id").alias("query_id"), F.col("words").alias("a"))
+    both = pairs.join(left, "query").join(sets.withColumnRenamed("words", "b"), "key")
+    shared = F.size(F.array_intersect("a", "b"))
+    far = both.withColumn("distance", 1 - shared / (F.size("a") + F.size("b") - shared)).where(F.col("distance") <= distance)
+    return far.select("query_id", "doc_id", F.round("distance", 4).alias("distance"))
