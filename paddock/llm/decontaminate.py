@@ -229,15 +229,17 @@ def _candidates(index: DataFrame, chosen: DataFrame, slop: int) -> DataFrame:
     starts = postings.join(windows, "term").withColumn("start", F.col("place") - F.col("offset")).where(
         (F.col("start") >= -slop) & (F.col("start") + F.col("n") <= F.col("n_words") + slop))
     one = starts.where("term2 IS NULL").select("_hash", "wid", "start")
-    two = starts.where("term2 IS NOT NULL").select("_hash", "wid", "start", "term2", (F.col("start") + F.col("offset2")).alias("place2"))
+    two = starts.where("term2 IS NOT NULL").select("_hash", "wid", "start", "n", "term2", (F.col("start") + F.col("offset2")).alias("place2"))
     # Only terms that are the second of some window can be met.
     seconds = chosen.select("term2").where("term2 IS NOT NULL").distinct()
     if chosen.count() <= BROADCAST_WINDOWS:
         seconds = F.broadcast(seconds)
     next_term = postings.select("_hash", F.col("term").alias("term2"), F.col("place").alias("place2")).join(seconds, "term2", "left_semi")
     if slop:
+        # Wherever the words may lie, and not only near the second term's own offset.
         next_term = next_term.withColumnRenamed("place2", "at")
-        near = two.join(next_term, ["_hash", "term2"]).where(F.abs(F.col("at") - F.col("place2")) <= 2 * slop)
+        near = two.join(next_term, ["_hash", "term2"]).where(
+            (F.col("at") >= F.col("start") - slop) & (F.col("at") < F.col("start") + F.col("n") + slop))
     else:
         near = two.join(next_term, ["_hash", "term2", "place2"], "left_semi")
     return one.unionByName(near.select("_hash", "wid", "start")).distinct()

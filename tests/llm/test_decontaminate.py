@@ -71,3 +71,22 @@ def test_proximity_finds_words_out_of_order(spark):
     _, found, _ = decontaminate.matches(d, b, slop=1)
     kinds = {r["_key"].split(":")[0]: {s["kind"] for s in r["spans"]} for r in found.collect()}
     assert kinds == {"1": {"proximity"}, "3": {"phrase"}} or kinds == {"1": {"proximity"}, "3": {"phrase", "proximity"}}
+
+
+def test_proximity_finds_words_moved_from_end_to_end(spark):
+    # alpha and beta are the rarest; beta moves from the end of the window to its start, and alpha likewise.
+    texts = ["alpha beta b c d e f g", "b c d e f g beta alpha", "beta alpha b c d e f g", "alpha b beta c d e f g", "x x beta b c alpha d e f g"]
+    item = "alpha b c d e f g beta"
+    common = [f"b c d e f g b c d e f g {i}" for i in range(8)]
+    d = spark.createDataFrame(list(enumerate(texts + common)), "doc_id long, text string")
+    _, found, _ = decontaminate.matches(d, spark.createDataFrame([(9, item)], "item_id long, text string"), slop=1)
+    got = {int(r["_key"].split(":")[0]) for r in found.collect() if r["spans"]}
+    want = set()
+    for i, text in enumerate(texts + common):
+        have, wanted = text.split(), item.split()
+        # The place is that of the rarest word, either of the two as they are equally rare.
+        for at, word in enumerate(have):
+            start = at - wanted.index("alpha") if word == "alpha" else None
+            if start is not None and sorted(set(wanted) - set(have[max(0, start - 1):start + len(wanted) + 1])) == []:
+                want.add(i)
+    assert {0, 2, 3} <= want and got >= want
