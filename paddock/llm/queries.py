@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import bitplanes, chat, decontaminate, extract, fixity, packing, quality, secret_scan, simhash, urls
+from paddock.llm import (
+    bitplanes, chat, decontaminate, extract, fixity, interaction, packing, quality, secret_scan, simhash, urls, vector_codes,
+)
 from paddock.llm.exprs import sha256_hex
 from paddock.llm.tokens import encoder
 from paddock.operators.hot import null_safe_join
@@ -235,3 +237,81 @@ def op9_main_text(table):
     """The main text of every page and its length."""
     found = extract.extract(table("pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _op11_sql() -> str:
+    """Every round spelled out: assign by squared distance, then means rounded down. Products of lists are exact up to 2 ** 53."""
+    def assigned(n):
+        return f"""a{n} AS MATERIALIZED (SELECT p.r, p.part, min(CAST(p.q + c.q - 2 * list_inner_product(p.v, c.v) AS BIGINT) * 256 + c.e) AS best
+  FROM p JOIN c{n} c USING (part) GROUP BY p.r, p.part)"""
+
+    def moved(n):
+        return f"""m{n} AS (SELECT part, e, list(m ORDER BY i) AS v FROM (
+    SELECT part, best % 256 AS e, i, floor(sum(x) / count(*)) AS m
+    FROM (SELECT part, best, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM p JOIN a{n} USING (r, part)) GROUP BY ALL) GROUP BY ALL),
+c{n + 1} AS MATERIALIZED (SELECT part, e, v, list_inner_product(v, v) AS q
+  FROM (SELECT part, e, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m USING (part, e)))"""
+
+    rounds = ",\n".join(f"{assigned(n)},\n{moved(n)}" for n in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v, list_inner_product(v, v) AS q FROM (
+    SELECT r, part, x[part * (len(x) // 4) + 1:(part + 1) * (len(x) // 4)] AS v FROM k, (SELECT unnest(range(4)) AS part))),
+c0 AS MATERIALIZED (SELECT part, r AS e, v, q FROM p WHERE r < 256),
+{rounds},
+{assigned(last)},
+coded AS (SELECT r, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+  FROM a{last} GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY part, e)) AS d
+  FROM c{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256
+FROM k JOIN coded USING (r), books
+"""
+
+
+@_query("op11_vector_codes", _op11_sql())
+def op11_vector_codes(table):
+    """Code and error of every vector, with the error of its label and the digest of the codebooks."""
+    coded, books = vector_codes.compress(table("embeddings"))
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return vector_codes.with_label_errors(coded).select(
+        "vec_id", vector_codes.code_hex().alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+_OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) < doc_id AS again FROM d),
+f AS (SELECT part,
+    CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+    + 4 * CAST(100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(again, false) AS INT) AS bits,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM w),
+c AS (SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS x, 1 << (ascii(substr(filter_order, step, 1)) - 65) AS bit,
+    CAST(coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, CAST(i AS INT), 1)) - 65))), 0) AS INT) AS before
+  FROM o, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)),
+r AS (SELECT part, filter_order, step, x,
+    sum(CASE WHEN bits & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN bits & bit <> 0 AND bits & before <> 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN bits = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@_query("op13_filter_interactions", _OP13_SQL)
+def op13_filter_interactions(table):
+    """What five filters remove in every order, per source."""
+    return interaction.audit(table("documents"), table("labels"))
