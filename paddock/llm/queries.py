@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paddock.llm import (
-    bitplanes, chat, decontaminate, extract, fixity, interaction, packing, quality, secret_scan, simhash, urls, vector_codes,
+    bitplanes, chat, decontaminate, extract, fixity, interaction, packing, quality, repeats, secret_scan, simhash, urls, vector_codes,
 )
 from paddock.llm.exprs import sha256_hex
 from paddock.llm.tokens import encoder
@@ -281,6 +281,34 @@ def op11_vector_codes(table):
         "vec_id", vector_codes.code_hex().alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
 
 
+_OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT k, doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT k, doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+least AS (SELECT s, min(doc_id) AS f FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT k, i FROM w JOIN least USING (s) WHERE doc_id > f),
+opened AS (SELECT k, i, CASE WHEN i > lag(i) OVER (PARTITION BY k ORDER BY i) + 50 THEN 1 ELSE 0 END AS o FROM hit),
+grouped AS (SELECT k, i, sum(o) OVER (PARTITION BY k ORDER BY i) AS g FROM opened),
+span AS (SELECT k, min(i) AS a, max(i) + 50 AS b FROM grouped GROUP BY k, g),
+gaps AS (SELECT k, a, b, substr(h, 2 * coalesce(lag(b) OVER o, 0) + 1, 2 * (a - coalesce(lag(b) OVER o, 0))) AS before
+  FROM span JOIN d USING (k) WINDOW o AS (PARTITION BY k ORDER BY a)),
+cut AS (SELECT k, count(*) AS n, sum(b - a) AS gone, string_agg(before, '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM gaps JOIN d USING (k) GROUP BY k)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (k)
+"""
+
+
+@_query("op12_suffix_dedup", _OP12_SQL)
+def op12_suffix_dedup(table):
+    """Bytes of every document, those that go because a smaller id has them, and the digest of the rest."""
+    found = repeats.remove_repeats(table("documents").select("doc_id", "text"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["stop"] - x["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _OP13_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) < doc_id AS again FROM d),
