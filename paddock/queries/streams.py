@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from paddock.queries.registry import query
@@ -91,16 +93,12 @@ def _(t):
     SELECT word, sum(n)::BIGINT AS n FROM (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM conversations) GROUP BY 1
       UNION ALL SELECT p_type, count(*) FROM part GROUP BY 1) GROUP BY 1""")
 def _(t):
-    """Running totals whose state starts with given counts.
-
-    The initial rows are landed and enter the stream as its first input, so they
-    are part of the state like all that follows.
-    """
-    initial = workspace(t.spark, "initial")
-    t.part.groupBy(F.col("p_type").alias("word")).agg(F.count(F.lit(1)).alias("n")).write.parquet(initial)
-    said = _stream(t, "conversations").select(F.explode(F.split("text", " ")).alias("word"), F.lit(1).cast("long").alias("n"))
-    totals = jobs.file_stream(t.spark, initial).select("word", "n").union(said).groupBy("word").agg(F.sum("n").alias("n"))
-    return jobs.drain_complete(totals)
+    """Running totals whose state starts with given counts; the result is the state the stream has left in its store."""
+    initial = t.part.groupBy(F.col("p_type").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    totals = jobs.running_totals(_stream(t, "conversations"), initial)
+    state = workspace(t.spark, "state")
+    jobs.drain_batches(totals, lambda batch: batch, "update", state=state)
+    return jobs.stored_state(t.spark, state, "total")
 
 
 @query("e23_recoverable_count", """
@@ -151,8 +149,34 @@ def _(t):
     return jobs.drain_all(_stream(t, "documents"), count).agg(F.sum("n").alias("n"))
 
 
-@query("b29_streaming_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+_SLICES = 4
+
+
+@query("b29_streaming_dedup", "SELECT event_id, user_id, event_type, ts FROM events")
+def _(t):
+    """Events delivered more than once, some of them a slice later, each kept once.
+
+    The events are landed in slices of time; every third one comes again in the
+    next slice and every fifth one twice in its own. A repeat the watermark has
+    passed is late and dropped; an earlier one is found in the state.
+    """
+    events = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    landed = workspace(t.spark, "slices")
+    width = (high - low) / _SLICES if low else timedelta(seconds=1)
+    place = F.least(F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(low))) / max(width // timedelta(microseconds=1), 1)), F.lit(_SLICES - 1))
+    for k in range(_SLICES):
+        own = events.where(F.coalesce(place, F.lit(0)) == k)
+        again = events.where((place == k - 1) & (F.col("event_id") % 3 == 0))
+        own.unionByName(own.where("event_id % 5 = 0")).unionByName(again).coalesce(1).write.mode("append").parquet(landed)
+    stream = jobs.file_stream(t.spark, landed, events.schema, files_per_batch=1)
+    return jobs.drain_append(jobs.once_within(stream, ["event_id"], f"{int(width.total_seconds()) + 1} seconds")).select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("b29_distinct_pairs", "SELECT DISTINCT user_id, event_type FROM events")
 def _(t):
+    """Distinct pairs over the whole stream: the state has one entry per pair for good."""
     return jobs.drain_append(_stream(t, "events").select("user_id", "event_type").dropDuplicates(["user_id", "event_type"]))
 
 

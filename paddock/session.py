@@ -17,10 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Merge session windows on the map side, so a hot key ships sessions, not rows.
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
-}
-# Streaming state on disk instead of the heap; in local runs the states are small
-# and the default store starts faster.
-CLUSTER_CONF = {
+    # Streaming state on disk instead of the heap, the same store on every master.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -51,8 +48,7 @@ def build_session(app: str = "paddock", cores: str | int = "*", **conf) -> Spark
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else made."""
-    settings = RUNTIME_CONF if _is_local(spark) else {**RUNTIME_CONF, **CLUSTER_CONF}
-    for key, value in settings.items():
+    for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 

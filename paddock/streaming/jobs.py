@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from paddock.session import workspace
 
@@ -95,64 +96,131 @@ def windowed_counts(events: DataFrame, key: str, size: str, slide: str | None =
 
 
 SESSION_OUT = "user_id long, session_start long, n_events long, duration_ms long"
-SESSION_STATE = "start long, last long, n long, times array<long>, closes array<boolean>"
 
 
-def session_job(gap: int):
-    """State function for sessions that end with a closing event or after ``gap`` microseconds.
+class Sessions(StatefulProcessor):
+    """Sessions that end with a closing event or after ``gap`` microseconds, per key.
 
-    Events behind the watermark can get no earlier neighbours any more, so the
-    state keeps them as one prefix (start, last, count) and only the events ahead
-    of the watermark one by one.
+    Events behind the watermark can get no earlier neighbours any more, so they are
+    kept as one prefix (start, last, count) in a value; events ahead of the watermark
+    are a list, which input only appends to. So the state of a key holds what may
+    still come in another order, and no more. One event-time timer per key wakes it
+    when the watermark has passed its first open event or the end of its prefix; a
+    key without events has no state left.
     """
 
-    def update(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        start, last, n, times, closes = state.get if state.exists else (None, None, 0, [], [])
-        events = list(zip(times, closes))
-        if not state.hasTimedOut:
-            for batch in batches:
-                events += zip(batch["at"].tolist(), batch["closes"].tolist())
-        events.sort()
-        watermark = state.getCurrentWatermarkMs() * 1000
-        done = []
-
-        def finish(end):
-            done.append((key[0], start, n, (end - start) // 1000))
-
-        rest = 0
-        for i, (at, closing) in enumerate(events):
-            if n and at >= last + gap:
-                if last + gap >= watermark:
+    def __init__(self, gap: int):
+        self.gap = gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.prefix = handle.getValueState("prefix", "start long, last long, n long")
+        self.ahead = handle.getListState("ahead", "at long, closes boolean")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _wake(self, at: int | None) -> None:
+        """The one timer of this key: at ``at`` milliseconds, or none."""
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if old == at:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        if at is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        events = [(r["at"], r["closes"]) for r in rows]
+        self.ahead.appendList(events)
+        # Not before the watermark has passed the first of them.
+        first = min(events)[0] // 1000 + 1
+        if not self.timer.exists() or first < self.timer.get()[0]:
+            self._wake(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # The expired timer is gone; the state must not point to it.
+        self.timer.clear()
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        start, last, n = self.prefix.get() if self.prefix.exists() else (None, None, 0)
+        events = sorted(tuple(e) for e in self.ahead.get()) if self.ahead.exists() else []
+        settled = 0
+        for at, closes in events:
+            if n and at >= last + self.gap:
+                if last + self.gap >= watermark:
                     break
-                finish(last + gap)
+                yield self._session(key, start, n, last + self.gap)
                 n = 0
             if at >= watermark:
                 break
             start, last, n = (at if n == 0 else start), at, n + 1
-            rest = i + 1
-            if closing:
-                finish(at)
+            settled += 1
+            if closes:
+                yield self._session(key, start, n, at)
                 n = 0
-        if n and rest == len(events) and last + gap < watermark:
-            finish(last + gap)
+        if n and settled == len(events) and last + self.gap < watermark:
+            yield self._session(key, start, n, last + self.gap)
             n = 0
-        events = events[rest:]
-        if n or events:
-            state.update((start if n else None, last if n else None, n, [e[0] for e in events], [e[1] for e in events]))
-            # Look again when the prefix may end, or when the first open event is settled.
-            due = last + gap if n else events[0][0]
-            state.setTimeoutTimestamp(max(due // 1000, state.getCurrentWatermarkMs()) + 1)
-        elif state.exists:
-            state.remove()
-        if done:
-            yield pd.DataFrame(done, columns=["user_id", "session_start", "n_events", "duration_ms"])
+        if settled:
+            self.ahead.put(events[settled:]) if events[settled:] else self.ahead.clear()
+        self.prefix.update((start, last, n)) if n else self.prefix.clear()
+        due = [last + self.gap] * bool(n) + [e[0] for e in events[settled:settled + 1]]
+        self._wake(max(min(due), watermark) // 1000 + 1 if due else None)
 
-    return update
+    @staticmethod
+    def _session(key, start: int, n: int, end: int) -> Row:
+        return Row(user_id=key[0], session_start=start, n_events=n, duration_ms=(end - start) // 1000)
 
 
 def session_stream(events: DataFrame, closing: str, gap_seconds: int, late: str) -> DataFrame:
     """Sessions per user from a stream of (user_id, ts, event_type), in append mode."""
     marked = events.withWatermark("ts", late).select(
         "user_id", "ts", F.unix_micros("ts").alias("at"), (F.col("event_type") == closing).alias("closes"))
-    return marked.groupBy("user_id").applyInPandasWithState(
-        session_job(gap_seconds * 1_000_000), SESSION_OUT, SESSION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return marked.groupBy("user_id").transformWithState(Sessions(gap_seconds * 1_000_000), SESSION_OUT, "Append", "EventTime")
+
+
+class Totals(StatefulProcessor):
+    """Running totals per word; the state starts with given totals."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "n long")
+
+    def _add(self, n: int) -> int:
+        n += self.total.get()[0] if self.total.exists() else 0
+        self.total.update((n,))
+        return n
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._add(initialState["n"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        yield Row(word=key[0], n=self._add(sum(r["n"] for r in rows)))
+
+
+def running_totals(texts: DataFrame, initial: DataFrame, column: str = "text") -> DataFrame:
+    """(word, n) of every word a batch has changed, from a stream of texts and a frame of (word, n) to start with.
+
+    Words are counted per Arrow batch before they are dealt, so a word that is a
+    third of all words reaches its state as a few counts.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pc.value_counts(batch.column(0))
+            yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], names=["word", "n"])
+
+    words = texts.select(F.explode(F.split(column, " ")).alias("word")).mapInArrow(counted, "word string, n long")
+    start = initial.groupBy("word").agg(F.sum("n").alias("n"))
+    return words.groupBy("word").transformWithState(Totals(), "word string, n long", "Update", "None", start.groupBy("word"))
+
+
+def stored_state(spark: SparkSession, state: str, variable: str) -> DataFrame:
+    """(key columns, value columns) of a state variable, as the last batch left it, read from the stream's state folder."""
+    stored = spark.read.format("statestore").option("stateVarName", variable).load(state)
+    return stored.select("key.*", "value.*")
+
+
+def once_within(events: DataFrame, keys: list[str], late: str) -> DataFrame:
+    """Events without repeats that come within ``late`` of the first; what the watermark has passed leaves the state."""
+    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)

@@ -130,3 +130,60 @@ def test_restart_without_new_input_gives_the_last_result(spark):
     assert run() == {"a": 2, "b": 2}
     land(spark, path, [("c",)], "text string")
     assert run() == {"a": 2, "b": 2, "c": 1}
+
+
+def test_sessions_go_on_after_a_restart(spark):
+    path, out, state = (workspace(spark, n) for n in ("events", "out", "state"))
+
+    def run():
+        stream = jobs.file_stream(spark, path, EVENTS, files_per_batch=1)
+        found = jobs.drain_append(jobs.session_stream(stream, "CLOSE", 5, "10 seconds"), out, state)
+        return sorted((r.user_id, r.duration_ms, r.n_events) for r in found.collect())
+
+    land(spark, path, GOLDEN[:4], EVENTS)
+    assert run() == []
+    land(spark, path, GOLDEN[4:7], EVENTS)
+    assert run() == [(1, 5000, 1), (1, 5000, 3), (1, 7000, 2)]
+    land(spark, path, GOLDEN[7:], EVENTS)
+    assert run() == GOLDEN_OUT
+
+
+def test_the_state_of_sessions_holds_open_ones_only(spark):
+    path, state = workspace(spark, "events"), workspace(spark, "state")
+    # Users come and go; one user's events of a minute are all settled by the next.
+    for minute in range(6):
+        land(spark, path, [event(user, minute * 60 + k) for user in range(minute * 3, minute * 3 + 3) for k in range(20)], EVENTS)
+    jobs.drain_append(jobs.session_stream(jobs.file_stream(spark, path, files_per_batch=1), "CLOSE", 5, "10 seconds"), state=state)
+    ahead = spark.read.format("statestore").option("stateVarName", "ahead").option("flattenCollectionTypes", True).load(state)
+    # The last minute is ahead of the watermark but for its first seconds; nothing is left of the others.
+    assert {r.key.user_id for r in ahead.select("key").collect()} == {15, 16, 17}
+    assert {r.user_id: r.n for r in jobs.stored_state(spark, state, "prefix").collect()} == {15: 9, 16: 9, 17: 9}
+
+
+def test_totals_start_with_the_given_ones_once(spark):
+    path, state = workspace(spark, "texts"), workspace(spark, "state")
+    initial = spark.createDataFrame([("a", 10), ("z", 5), ("z", 1), (None, 2)], "word string, n long")
+
+    def run():
+        totals = jobs.running_totals(jobs.file_stream(spark, path, TEXT, files_per_batch=1), initial)
+        jobs.drain_batches(totals, lambda b: b, "update", state=state)
+        return {r.word: r.n for r in jobs.stored_state(spark, state, "total").collect()}
+
+    land(spark, path, [("a b a",), (None,)], TEXT)
+    land(spark, path, [("a",)], TEXT)
+    assert run() == {"a": 13, "b": 1, "z": 6, None: 2}
+    land(spark, path, [("z z",)], TEXT)
+    assert run() == {"a": 13, "b": 1, "z": 8, None: 2}
+
+
+def test_repeats_within_the_watermark_go_and_leave_the_state(spark):
+    path, state = workspace(spark, "events"), workspace(spark, "state")
+    parts = [[event(1, 0), event(1, 0), event(2, 5)], [event(1, 0), event(3, 60)], [event(4, 600)], [event(1, 0), event(4, 600)], [event(5, 700)]]
+    for part in parts:
+        land(spark, path, part, EVENTS)
+    stream = jobs.file_stream(spark, path, EVENTS, files_per_batch=1)
+    found = jobs.drain_append(jobs.once_within(stream, ["user_id"], "30 seconds"), state=state)
+    # The late repeat of user 1 is dropped as late, though its entry has left the state.
+    assert sorted(r.user_id for r in found.collect()) == [1, 2, 3, 4, 5]
+    left = spark.read.format("statestore").load(state)
+    assert {r.key.user_id for r in left.select("key").collect()} == {5}
