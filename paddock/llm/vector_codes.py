@@ -37,7 +37,9 @@ from paddock.session import checkpoint
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
 # Vectors compared at once with all entries of a part, and the coefficients summed before entries are dropped.
-ROWS, STEP = 2_048, 4
+ROWS, STEP = 512, 4
+# Sums go on for all entries, in whole columns, until at most one in FEW of them is left.
+FEW = 12
 # Scaled components below this leave the sums of 64-bit integers exact for parts of up to 2 ** 10 components.
 SMALL = 1 << 20
 # Labels whose totals are sent to every task; totals of more labels are dealt over salts.
@@ -76,26 +78,34 @@ def _narrow(values: np.ndarray) -> bool:
 
 
 def _nearest(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    def summed(rows, entries, first, last):
-        gap = x[rows, first:last] - c[entries, first:last]
-        return (gap * gap).sum(axis=-1)
-
-    every, size = np.arange(len(x)), x.shape[1]
-    partial = np.zeros((len(x), len(c)), dtype=x.dtype)
-    for k in range(min(STEP, size)):
-        gap = x[:, k, None] - c[None, :, k]
-        partial += gap * gap
-    # The entry that is nearest so far gives a bound; it only shrinks from here on.
-    bound = summed(every, partial.argmin(axis=1), 0, size)
-    row, entry = np.nonzero(partial <= bound[:, None])
+    def whole(entries):
+        gap = x - c[entries]
+        return (gap * gap).sum(axis=1)
+
+    every, size, done = np.arange(len(x)), x.shape[1], 0
+    partial, gap = np.zeros((len(x), len(c)), dtype=x.dtype), np.empty((len(x), len(c)), dtype=x.dtype)
+    bound = None
+    while done < size:
+        for k in range(done, min(done + STEP, size)):
+            np.subtract.outer(x[:, k], c[:, k], out=gap)
+            np.multiply(gap, gap, out=gap)
+            np.add(partial, gap, out=partial)
+        done += STEP
+        # The entry that is nearest so far gives a bound for the full sum; no farther entry can win.
+        here = whole(partial.argmin(axis=1))
+        bound = here if bound is None else np.minimum(bound, here)
+        alive = partial <= bound[:, None]
+        if np.count_nonzero(alive) * FEW <= alive.size:
+            break
+    row, entry = np.nonzero(alive)
     held = partial[row, entry]
-    for first in range(STEP, size, STEP):
-        held = held + summed(row, entry, first, first + STEP)
+    for first in range(done, size, STEP):
+        gap = x[row, first:first + STEP] - c[entry, first:first + STEP]
+        held = held + (gap * gap).sum(axis=1)
         alive = held <= bound[row]
         row, entry, held = row[alive], entry[alive], held[alive]
     # Every row keeps its nearest entries at least, in ascending order.
-    start = np.searchsorted(row, every)
-    least = np.minimum.reduceat(held, start) if len(row) else held
+    least = np.minimum.reduceat(held, np.searchsorted(row, every)) if len(row) else held
     best = np.flatnonzero(held == least[row])
     return entry[best[np.searchsorted(row[best], every)]], least
 
