@@ -14,15 +14,18 @@ def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], time: str, va
     """Left rows with the values of the latest right row at or before their time.
 
     Both sides go through one ordered scan per key, so no pair of rows is formed.
-    Of right rows at the same time the one with the greatest values is taken.
+    Of right rows at the same time the one with the greatest values is taken; right
+    rows without a time are never the latest, and left rows without one get nothing.
     """
     packed = F.struct(*values)
-    right_rows = right.select(*keys, F.col(time), packed.alias("_right"), F.lit(0).alias("_side"),
-                              F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"))
+    right_rows = right.where(F.col(time).isNotNull()).select(
+        *keys, F.col(time), packed.alias("_right"), F.lit(0).alias("_side"),
+        F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType).alias("_left"), F.lit(0).cast("long").alias("_nth"))
+    # A number of its own lets left rows with one key and time go to different runs.
     left_rows = left.select(*keys, F.col(time), F.lit(None).cast(right.select(packed).schema[0].dataType).alias("_right"),
-                            F.lit(1).alias("_side"), F.struct("*").alias("_left"))
+                            F.lit(1).alias("_side"), F.struct("*").alias("_left"), F.monotonically_increasing_id().alias("_nth"))
     both = right_rows.unionByName(left_rows)
-    scanned = running(both, keys, [time, "_side", "_right"], {"_seen": latest("_right")}, group_rows)
+    scanned = running(both, keys, [time, "_side", "_right", "_nth"], {"_seen": latest("_right")}, group_rows)
     return scanned.where(F.col("_side") == 1).select("_left.*", *[F.col("_seen")[v].alias(v) for v in values])
 
 
@@ -31,33 +34,43 @@ def count_within(points: DataFrame, marks: DataFrame, keys: list[str], time: str
     """For every point the number of marks of its key in [time-before, time+after].
 
     The count is the difference of two running counts: marks up to the upper end
-    minus marks before the lower end. Nothing is joined pairwise.
+    minus marks before the lower end. Nothing is joined pairwise. Equal points are
+    counted once and come back as often as they were; marks without a time are in
+    no interval, and a point without a time has none. Columns may have any names.
     """
+    own = [f"_key{i}" for i in range(len(keys))]
     lower = F.col(time) - F.expr(f"INTERVAL {before}")
     upper = F.col(time) + F.expr(f"INTERVAL {after}")
     ends = F.array(F.struct(lower.alias("at"), F.lit(0).alias("side")), F.struct(upper.alias("at"), F.lit(2).alias("side")))
-    probes = points.select("*", F.explode(ends).alias("e")).select(
-        *points.columns, F.col("e.at").alias("_at"), F.col("e.side").alias("_side"))
-    hits = marks.select(*keys, tie, F.col(time).alias("_at"), F.lit(1).alias("_side"), F.lit(1).alias("_mark"))
+    at_keys = [F.col(k).alias(o) for k, o in zip(keys, own)]
+    probes = points.select(*at_keys, F.struct("*").alias("_point"), F.explode(ends).alias("_end")).select(
+        *own, "_point", F.col("_end.at").alias("_at"), F.col("_end.side").alias("_side"))
+    hits = marks.where(F.col(time).isNotNull()).select(
+        *at_keys, F.col(tie).alias("_tie"), F.col(time).alias("_at"), F.lit(1).alias("_side"), F.lit(1).alias("_mark"))
     both = probes.unionByName(hits, allowMissingColumns=True)
-    scanned = running(both, keys, ["_at", "_side", tie], {"_n": running_count("_mark")}, group_rows)
+    scanned = running(both, own, ["_at", "_side", "_tie"], {"_n": running_count("_mark")}, group_rows)
     signed = F.when(F.col("_side") == 2, F.col("_n")).otherwise(-F.col("_n"))
     # The keys are among the grouping columns, so the scan's partitioning is used again.
-    return scanned.where(F.col("_side") != 1).groupBy(*points.columns).agg(F.sum(signed).alias(name))
+    counted = scanned.where(F.col("_side") != 1).groupBy(*own, "_point").agg(
+        F.sum(signed).alias("_sum"), F.expr("count(1) div 2").alias("_rows"))
+    return counted.select("_point", F.expr("_sum div _rows").alias("_n"), F.explode(F.expr("array_repeat(0, cast(_rows AS INT))"))).select(
+        "_point.*", F.col("_n").alias(name))
 
 
 def count_below(points: DataFrame, marks: DataFrame, point: Column, mark: Column, key: str, name: str,
                 rows_limit: int | None = None) -> DataFrame:
     """For every point the number of marks with a smaller value.
 
-    This is the inequality join followed by a count, done as one ordered scan.
+    This is the inequality join followed by a count, done as one ordered scan. A
+    missing mark is below nothing and nothing is below a missing point; NaN is
+    above every number and not below itself.
     """
-    probes = points.select(F.col(key), point.alias("_v"), F.lit(0).alias("_side"))
-    hits = marks.select(F.lit(None).cast(points.schema[key].dataType).alias(key), mark.alias("_v"),
-                        F.lit(1).alias("_side"))
+    probes = points.select(F.col(key).alias("_key"), point.alias("_v"), F.lit(0).alias("_side"))
+    hits = marks.select(F.lit(None).cast(points.schema[key].dataType).alias("_key"), mark.alias("_v"),
+                        F.lit(1).alias("_side")).where("_v IS NOT NULL")
     both = probes.unionByName(hits)
-    scanned = running(both, [], ["_v", "_side", key], {name: _sides()}, rows_limit)
-    return scanned.where(F.col("_side") == 0).select(key, name)
+    scanned = running(both, [], ["_v", "_side", "_key"], {"_n": _sides()}, rows_limit)
+    return scanned.where(F.col("_side") == 0).select(F.col("_key").alias(key), F.col("_n").alias(name))
 
 
 def _sides():

@@ -69,3 +69,35 @@ def test_gap_sessions(spark):
     df = spark.createDataFrame([("a", at(0)), ("a", at(5)), ("a", at(20)), ("b", at(3))], "k string, ts timestamp")
     found = intervals.sessions(df, "k", "ts", "10 seconds")
     assert sorted((r.k, r.n_events, (r.end - r.start).seconds) for r in found.collect()) == [("a", 1, 10), ("a", 2, 15), ("b", 1, 10)]
+
+
+@pytest.mark.parametrize("group_rows", [10_000, 3])
+def test_equal_points_missing_times_and_any_names(spark, group_rows):
+    schema = "user_id long, ts timestamp, e int, _n int, _point string, _at int"
+    points = [(1, at(10), 1, 1, "x", 1), (1, at(10), 1, 1, "x", 1), (1, at(10), 2, 1, "x", 1), (1, None, 1, 1, "x", 1), (2, at(10), 1, 1, None, 1)]
+    marks = [(1, at(s) if s is not None else None, s, 0, "m", 0) for s in (5, 10, 10, 20, None, None)]
+    found = intervals.count_within(spark.createDataFrame(points, schema), spark.createDataFrame(marks, schema), ["user_id"], "ts", "e",
+                                   "5 SECONDS", "5 SECONDS", "found", group_rows)
+    assert found.columns == ["user_id", "ts", "e", "_n", "_point", "_at", "found"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(
+        [(*p, 3 if p[0] == 1 and p[1] else 0) for p in points], key=key)
+
+
+@pytest.mark.parametrize("limit", [2, 10_000])
+def test_missing_marks_are_below_nothing(spark, limit):
+    nan = float("nan")
+    points = spark.createDataFrame([(1, 5.0), (1, 5.0), (2, None), (3, nan), (4, 0.0), (None, 10.0)], "_v long, v double")
+    marks = spark.createDataFrame([(1.0,), (None,), (9.0,), (nan,), (5.0,), (None,)], "w double")
+    got = intervals.count_below(points, marks, F.col("v"), F.col("w"), "_v", "_side", limit)
+    assert got.columns == ["_v", "_side"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(["(1, 1)", "(1, 1)", "(2, 0)", "(3, 3)", "(4, 0)", "(None, 3)"])
+
+
+@pytest.mark.parametrize("group_rows", [10_000, 3])
+def test_as_of_with_ties_repeats_and_missing_times(spark, group_rows):
+    left = spark.createDataFrame([(1, at(5), "a")] * 7 + [(1, None, "b"), (1, at(4), "c"), (None, at(9), "d")], "k long, ts timestamp, _nth string")
+    right = spark.createDataFrame([(1, at(5), 1), (1, at(5), 3), (1, at(5), 2), (1, None, 9), (None, at(1), 7)], "k long, ts timestamp, v int")
+    got = intervals.as_of_join(left, right, ["k"], "ts", ["v"], group_rows).collect()
+    assert sorted((r._nth, r.v) for r in got if r.v is not None) == [("a", 3)] * 7 + [("d", 7)]
+    assert sorted(r._nth for r in got if r.v is None) == ["b", "c"]
