@@ -1,5 +1,6 @@
 import html
 import re
+import time
 from pathlib import Path
 
 import pytest
@@ -64,3 +65,33 @@ def test_the_given_pages(spark):
         body = r["html"].split("<article>")[1].split("</article>")[0]
         plain = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", body))
         assert r["text"] == " ".join(html.unescape(plain).split())
+
+
+@pytest.mark.parametrize("odd", ["<![foo[bar]]>", "<![CDATA[x]]>", "<!foo>", "<?php x ?>", "<!>", "</>", "<![if IE]>", "<![", "<!--"])
+def test_malformed_declarations_are_no_text(odd):
+    assert main_text(f"<p>x</p>{odd}").startswith("x")
+    assert main_text(f"<article><p>{STORY}</p>{odd}<p>{STORY}</p></article>").startswith(STORY)
+
+
+@pytest.mark.parametrize("given", ['id="discussion"', 'id="related-work"', 'id="menu"', 'id="widgets"', 'class="header-files"',
+                                   'class="notices-of-motion"', 'class="has-sidebar"', 'class="comments-open"'])
+def test_sections_of_the_article_stay(given):
+    assert main_text(f"<article><p>{STORY}</p><section {given}><p>{STORY}</p></section></article>") == f"{STORY} {STORY}"
+
+
+@pytest.mark.parametrize("given", ["page-share", "post-related", "article-sidebar", "shareButtons", "related-posts", "cookie-banner", "ad-slot",
+                                   "comments-area", "entry-footer", "sidebar left", "main nav-bar"])
+def test_adverts_and_the_like_go_whatever_stands_beside_them(given):
+    assert main_text(f"<article><p>{STORY}</p><div class='{given}'><p>{STORY}</p></div></article>") == STORY
+
+
+def test_reader_comments_inside_the_article_go():
+    assert main_text(f"<article><p>{STORY}</p><section id=comments><p>{STORY}</p></section></article>") == STORY
+
+
+@pytest.mark.parametrize("page", ["<div>" * 200_000, "<a " * 350_000, "<div><p>" * 100_000, "<b>" * 200_000 + "<p>x", "<b><div>" * 50_000,
+                                  "<td><p></b>" * 80_000, "<article>" * 50_000, "<p>x</b></i></u>" * 50_000, "<section id=a>" * 100_000])
+def test_time_grows_with_the_page_only(page):
+    start = time.process_time()
+    main_text(page + "end")
+    assert time.process_time() - start < 12
