@@ -35,7 +35,7 @@ from paddock.session import checkpoint
 CAPACITY = 2048
 END_ID = 0
 # Entries the encoder remembers: few, as the workers of a pipeline keep them beside the other stages' memory.
-PIECES, PARTS = 150_000, 200_000
+PIECES = 200_000
 
 
 class Run(NamedTuple):
@@ -176,5 +176,5 @@ def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFr
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents."""
-    cut = pieces(docs, lambda text: encoder(tokenizer, PIECES, PARTS).ids(text), capacity=capacity)
+    cut = pieces(docs, lambda text: encoder(tokenizer, PIECES).ids(text), capacity=capacity)
     return pack(cut, ["doc_id", "piece", "ids_crc32"], capacity)

@@ -3,10 +3,10 @@
 A text is cut where a blank follows another character. No token of the two
 supported kinds of pre-tokenizer reaches over such a place, so the ids of the
 text are those of its pieces, one after the other, and each different piece has
-to be encoded once only. A piece is cut by the tokenizer's own pattern and the
-library's model gives the ids of each part. Pieces or texts for which that is not
-certain (rare white space, names of special tokens, letters that newer Unicode
-versions may class otherwise) go through the library's whole encoder.
+to be encoded once only. The pieces of a text that have not been met are handed to
+the library in one call, one after the other, and the places of the tokens tell the
+pieces they are of. Texts for which the cut is not certain (rare white
+space, names of special tokens) go through the library whole.
 
 A worker remembers what it has met in two generations: when the younger one is
 full it becomes the older, and what is met again moves up. So the memory is
@@ -20,119 +20,111 @@ import re
 from array import array
 from functools import lru_cache
 
-import regex
+import numpy as np
 from tokenizers import Tokenizer
 
-# Entries of one generation, of some 200 bytes each.
-PIECES, PARTS = 350_000, 500_000
+# Pieces of one generation, of some 200 bytes each, and pieces looked up at once.
+PIECES, SLICE = 400_000, 65_536
 
 _BLANKS = " \t\n\r\x0b\x0c"
-_SIGNS = frozenset(",.;:!?")
+_SIGNS = ",.;:!?"
+# Latin letters that are letters in all versions of Unicode in use.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 # White space beyond the blanks, which a pattern may run together with them.
 _ODD_SPACE = re.compile("[" + "".join(map(chr, (
     *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-# Characters whose class and lower case are the same in all Unicode versions in use:
-# Latin, Greek and Cyrillic letters, without the sigmas, and the common punctuation.
-_SETTLED = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in (
-    (0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0x2AF), (0x391, 0x3A1), (0x3A4, 0x3A9), (0x3B1, 0x3C1), (0x3C4, 0x3C9), (0x410, 0x44F),
-    (0x2010, 0x2027), (0x2030, 0x205E), (0x20AC, 0x20AC))) + "]*")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte: itself where it prints, else one beyond Latin-1."""
-    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    other = iter(range(0x100, 0x200))
-    return {b: chr(b) if b in prints else chr(next(other)) for b in range(256)}
-
-
-class _Remembered(dict):
-    """``make`` of a key, kept for two generations of ``size`` keys."""
-
-    def __init__(self, make, size: int):
-        super().__init__()
-        self.make, self.size, self.older = make, size, {}
-
-    def __missing__(self, key) -> bytes:
-        ids = self.older.get(key)
-        if ids is None:
-            ids = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = ids
-        return ids
 
 
 class Encoder:
     """``Encoder(path).ids(text)``: the ids as packed little-endian 32-bit integers."""
 
-    def __init__(self, path: str, pieces: int = PIECES, parts: int = PARTS):
+    def __init__(self, path: str, pieces: int = PIECES):
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         steps = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
         names = [s["type"] for s in steps]
-        split = next((s["pattern"]["Regex"] for s in steps if s["type"] == "Split"), None)
         self.drops_blanks = names == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
         own = names == ["ByteLevel"] and steps[0]["use_regex"] and not steps[0]["add_prefix_space"]
         normal = spec["normalizer"] and [n["type"] for n in spec["normalizer"].get("normalizers", [spec["normalizer"]])]
-        # What these normalizers do to settled characters is to lower-case them.
-        self.lowers = normal == ["NFC", "Replace", "Lowercase"]
-        self.fast = spec["model"]["type"] == "BPE" and (self.drops_blanks and self.lowers or own and normal is None)
-        # Fixed value: the pattern of the byte-level pre-tokenizer, which its file does not spell out.
-        pattern = split if self.drops_blanks else (
-            r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        self.pattern = regex.compile(pattern)
+        # None of these normalizers joins what a blank parts.
+        lowers = normal == ["NFC", "Replace", "Lowercase"]
+        self.fast = spec["model"]["type"] == "BPE" and (self.drops_blanks and lowers or own and normal is None)
         # How special tokens begin; a text with such a place is left to the library.
         self.special = {t["content"][:2] for t in spec["added_tokens"]}
-        self.model, self.letters = self.whole.model, _byte_letters()
-        self.parts, self.pieces = _Remembered(self.part, parts), _Remembered(self.word if self.drops_blanks else self.spaced, pieces)
+        self.signs = frozenset(b"%c" % ord(c) for c in _SIGNS) if self.drops_blanks else frozenset(_SIGNS)
+        self.word = re.compile(rb"[A-Za-z]+" if self.drops_blanks else f" [{_LETTERS}]+").fullmatch
+        self.size, self.known, self.older = pieces, {}, {}
 
     def _encoded(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def part(self, part: str) -> bytes:
-        """Ids of one part, by the model of the library."""
-        if part.isascii() and part.isprintable():
-            spelled = part.replace(" ", self.letters[0x20])
+    def _learn(self, pieces: set) -> None:
+        """Ids of pieces that are not among the younger generation."""
+        known, older, split, todo = self.known, self.older, [], set()
+        for piece in pieces:
+            ids = older.get(piece)
+            if ids is not None:
+                known[piece] = ids
+            elif piece[-1:] in self.signs and self.word(piece[:-1]):
+                # A word and one sign after it are tokens of their own.
+                split.append(piece)
+            else:
+                todo.add(piece)
+        for piece in split:
+            for part in (piece[:-1], piece[-1:]):
+                if part not in known and part not in todo:
+                    ids = older.get(part)
+                    if ids is None:
+                        todo.add(part)
+                    else:
+                        known[part] = ids
+        self._encode_new(todo)
+        for piece in split:
+            known[piece] = known[piece[:-1]] + known[piece[-1:]]
+
+    def _encode_new(self, pieces: set) -> None:
+        """Ids of pieces by one call of the library."""
+        known, fresh = self.known, []
+        if self.drops_blanks:
+            fresh, gap, begins = [p.decode() for p in pieces], " ", 0
         else:
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
-    def word(self, piece: bytes) -> bytes:
-        """Ids of a piece without blanks, for tokenizers that drop them and lower-case."""
-        text = piece.decode()
-        if not (text.isascii() and text.isprintable() or _SETTLED.fullmatch(text)):
-            return self._encoded(text)
-        text = text.lower()
-        # A word, or a word and one sign after it, needs no pattern.
-        if text.isalpha():
-            return self.parts[text]
-        if text[-1] in _SIGNS and text[:-1].isalpha():
-            return self.parts[text[:-1]] + self.parts[text[-1]]
-        return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
-
-    def spaced(self, text: str) -> bytes:
-        """Ids of a piece with the blanks before it, for tokenizers that keep them."""
-        body = text.lstrip(_BLANKS)
-        if not (body.isascii() and body.isprintable() or _SETTLED.fullmatch(body)):
-            return self._encoded(text)
-        if len(text) - len(body) <= text.startswith(" "):
-            if body.isalpha():
-                return self.parts[text]
-            if body[-1:] in _SIGNS and body[:-1].isalpha():
-                return self.parts[text[:-1]] + self.parts[body[-1]]
-        return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
+            gap, begins = "", _BLANKS
+            for piece in pieces:
+                # What does not begin with a blank, or is nothing else, would run together with its neighbours.
+                if piece[0] in begins and piece[-1] not in begins:
+                    fresh.append(piece)
+                else:
+                    known[piece] = self._encoded(piece)
+        if fresh:
+            found = self.whole.encode(gap.join(fresh), add_special_tokens=False)
+            ids = array("I", found.ids).tobytes()
+            # A token lies in the piece it begins in.
+            starts = np.cumsum([0, *(len(p) + len(gap) for p in fresh)])
+            places = np.array([o[0] for o in found.offsets], dtype=np.int64)
+            edges = (4 * np.searchsorted(places, starts)).tolist()
+            edges[-1] = len(ids)
+            for piece, a, b in zip(pieces if self.drops_blanks else fresh, edges, edges[1:]):
+                known[piece] = ids[a:b]
 
     def ids(self, text: str) -> bytes:
         if not self.fast or any(s in text for s in self.special) or (not self.drops_blanks and _ODD_SPACE.search(text)):
             return self._encoded(text)
         pieces = text.encode().split() if self.drops_blanks else _UNIT.findall(text)
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        out = []
+        for at in range(0, len(pieces), SLICE):
+            some = pieces[at:at + SLICE]
+            if len(self.known) >= self.size:
+                self.known, self.older = {}, self.known
+            missing = set(some).difference(self.known)
+            if missing:
+                self._learn(missing)
+            out += map(self.known.__getitem__, some)
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pieces: int = PIECES, parts: int = PARTS) -> Encoder:
+def encoder(path: str, pieces: int = PIECES) -> Encoder:
     """The encoder of a file; a worker process builds it once and keeps what it has learned."""
-    return Encoder(path, pieces, parts)
+    return Encoder(path, pieces)
