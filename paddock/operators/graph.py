@@ -9,87 +9,128 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.session import checkpoint, workspace
+from paddock.operators.hot import GROUP_ROWS
+from paddock.operators.parts import FEW_ROWS, Parts, sent_if_few
+from paddock.session import checkpoint, workspace, written
 
 # Share of a rank passed along an edge, and the rest.
 DAMPING = 0.85
 BASE = 0.15
 
 
-def _weighted(edges: DataFrame) -> DataFrame:
+class _Links:
     """Distinct edges with the share of the source's rank each one carries.
 
-    They are written once, as a table bucketed by source, so a round shuffles
-    ranks and parts but no edges.
+    They are written once, as a table bucketed by source, so a round shuffles ranks
+    and parts but no edges. The edges of sources with more than ``group_rows`` of
+    them, which one bucket would put into one task, are kept apart as they lie and
+    meet the ranks of those few sources by a broadcast.
     """
-    spark = edges.sparkSession
-    links = checkpoint(edges.select("src", "dst").distinct())
-    degree = links.groupBy("src").agg((1.0 / F.count(F.lit(1))).alias("share"))
-    parts, path = int(spark.conf.get("spark.sql.shuffle.partitions")), workspace(spark, "links")
-    name = "links_" + path.rsplit("-", 1)[1]
-    links.join(degree, "src").repartition(parts, "src").write.bucketBy(parts, "src").sortBy("src").option("path", path).saveAsTable(name)
-    return spark.table(name)
 
-
-def page_rank(edges: DataFrame, rounds: int, vertices: DataFrame | None = None, every: int = 3) -> DataFrame:
+    def __init__(self, edges: DataFrame, group_rows: int = GROUP_ROWS):
+        self.spark = edges.sparkSession
+        links = checkpoint(edges.select("src", "dst").distinct())
+        degree = checkpoint(links.groupBy("src").agg(F.count(F.lit(1)).alias("n")))
+        hubs = degree.where(F.col("n") > group_rows).select("src", (1.0 / F.col("n")).alias("share"))
+        self.sources = degree.select(F.col("src").alias("id"))
+        # At most one hub to every ``group_rows`` edges.
+        self.hubs = None if hubs.isEmpty() else checkpoint(links.join(F.broadcast(hubs), "src"))
+        self.hub_ids = hubs.select(F.col("src").alias("id"))
+        parts, path = int(self.spark.conf.get("spark.sql.shuffle.partitions")), workspace(self.spark, "links")
+        self.name = "links_" + path.rsplit("-", 1)[1]
+        shares = degree.where(F.col("n") <= group_rows).select("src", (1.0 / F.col("n")).alias("share"))
+        links.join(shares, "src").repartition(parts, "src").write.bucketBy(parts, "src").sortBy("src").option("path", path).saveAsTable(self.name)
+
+    def carried(self, ranks: DataFrame, value: str, small: bool = False) -> DataFrame:
+        """(id, part) along every edge: the share of ``value`` that its source sends."""
+        def along(links, sent):
+            return links.join(sent, links["src"] == sent["id"]).select(
+                F.col("dst").alias("id"), (F.col(value) * F.col("share")).alias("part"))
+
+        found = along(self.spark.table(self.name), F.broadcast(ranks) if small else ranks)
+        if self.hubs is None:
+            return found
+        return found.unionByName(along(self.hubs, F.broadcast(ranks.join(F.broadcast(self.hub_ids), "id", "left_semi"))))
+
+    def close(self, result: DataFrame) -> DataFrame:
+        """``result``, written, and the table gone from the catalog."""
+        done = checkpoint(result)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return done
+
+
+def page_rank(edges: DataFrame, rounds: int, vertices: DataFrame | None = None, every: int = 3,
+              group_rows: int = GROUP_ROWS) -> DataFrame:
     """(id, rank) after a fixed number of rounds, starting from 1.0.
 
     Without ``vertices`` a node nobody links to drops out after the first round;
     with them every vertex keeps at least the base rank.
     """
-    links = _weighted(edges)
-    keep = vertices is not None
-    nodes = vertices.select("id") if keep else links.select(F.col("src").alias("id")).distinct()
+    links = _Links(edges, group_rows)
+    nodes = links.sources if vertices is None else vertices.select("id")
     ranks = nodes.withColumn("rank", F.lit(1.0))
     for done in range(1, rounds + 1):
-        ranks = _round(links, ranks, keep)
+        sent = links.carried(ranks, "rank")
+        if vertices is not None:
+            sent = sent.unionByName(ranks.select("id", F.lit(0.0).alias("part")))
+        ranks = sent.groupBy("id").agg((BASE + DAMPING * F.sum("part")).alias("rank"))
         if done % every == 0 and done < rounds:
-            ranks = checkpoint(ranks)
-    return ranks.select("id", "rank")
-
-
-def _round(links, ranks, keep):
-    """One round; with ``keep`` all ids stay and bring their old rank along."""
-    sent = links.join(ranks, links["src"] == ranks["id"]).select(
-        F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part"), F.lit(None).cast("double").alias("old"))
-    if keep:
-        sent = sent.unionByName(ranks.select("id", F.lit(0.0).alias("part"), F.col("rank").alias("old")))
-    return sent.groupBy("id").agg((BASE + DAMPING * F.sum("part")).alias("rank"), F.max("old").alias("old"))
+            ranks = written(ranks)
+    return links.close(ranks.select("id", "rank"))
 
 
-def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max_rounds: int = 200,
-                    every: int = 4) -> DataFrame:
-    """(id, rank) once no rank moves by more than ``tolerance`` in a round.
+def page_rank_until(edges: DataFrame, vertices: DataFrame, tolerance: float, max_rounds: int = 500, every: int = 4,
+                    group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(id, rank), with no change above ``tolerance`` left to pass on.
 
-    The movement is looked at after every block of rounds.
+    What is passed on is the change of a rank. While most ranks move, whole rounds
+    are made, ``every`` of them at a time. Then a vertex keeps the changes that
+    reach it and sends their sum when it is above the tolerance, so a round touches
+    the vertices whose rank still moves, and their neighbours. Ranks and kept
+    changes are parts to which every round adds what it has changed. Kept changes
+    are part of the result.
     """
-    links = _weighted(edges)
-    ranks = vertices.select("id").distinct().withColumn("rank", F.lit(1.0))
-    for _ in range(0, max_rounds, every):
+    links = _Links(edges, group_rows)
+    now = vertices.select("id").distinct().withColumn("rank", F.lit(1.0))
+    moves, done = F.abs("change") > tolerance, 0
+    while True:
         for _ in range(every):
-            ranks = _round(links, ranks, keep=True)
-        ranks = checkpoint(ranks)
-        moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
-        if moved is None or moved <= tolerance:
-            return ranks.select("id", "rank")
-    raise RuntimeError(f"ranks still move by {moved} after {max_rounds} rounds")
-
-
-def transitive_closure(edges: DataFrame) -> DataFrame:
-    """All (src, dst) joined by a path; each round extends and writes only the new paths.
-
-    The result is every reachable pair, so it is for trees and sparse graphs: on a
-    connected graph it has as many rows as the square of the vertices.
-    """
-    steps = checkpoint(edges.select("src", "dst").distinct())
-    onward = steps.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
-    paths = fresh = steps
-    while not fresh.isEmpty():
-        longer = fresh.join(onward, "dst").select("src", F.col("next").alias("dst")).distinct()
-        fresh = checkpoint(longer.join(paths, ["src", "dst"], "left_anti"))
-        # A union of written parts; none of them is written again.
-        paths = paths.unionByName(fresh)
-    return paths
+            sent = links.carried(now, "rank").select("id", "part", F.lit(None).cast("double").alias("old")).unionByName(
+                now.select("id", F.lit(0.0).alias("part"), F.col("rank").alias("old")))
+            now = sent.groupBy("id").agg((BASE + DAMPING * F.sum("part")).alias("rank"), F.max("old").alias("old")).where("old IS NOT NULL")
+        now, done = written(now.withColumn("change", F.col("rank") - F.col("old"))), done + every
+        seen = now.agg(F.count(F.lit(1)).alias("n"), F.count_if(moves).alias("senders")).first()
+        if not seen["senders"]:
+            return links.close(now.select("id", "rank"))
+        if seen["senders"] * 2 <= seen["n"]:
+            break
+        if done >= max_rounds:
+            raise RuntimeError(f"{seen['senders']} ranks still move after {done} rounds")
+
+    def summed(df):
+        return df.groupBy("id").agg(F.sum("change").alias("change"))
+
+    ranks = Parts(summed, now.select("id", F.col("old").alias("change")))
+    kept = Parts(lambda df: summed(df).where("change <> 0"), now.where(~moves).select("id", "change"))
+    active, senders = now.where(moves).select("id", "change"), seen["senders"]
+    for _ in range(done, max_rounds):
+        ranks.add(active)
+        got = written(links.carried(active, "change", senders <= FEW_ROWS).groupBy("id").agg(
+            (DAMPING * F.sum("part")).alias("change")))
+        # An edge may lead out of the given vertices; what it carries is lost, as in a whole round.
+        told, _ = sent_if_few(got.select("id"))
+        before = kept.union().unionByName(now.select("id", F.lit(0.0).alias("change"))).join(told, "id", "left_semi").select(
+            "id", F.col("change").alias("old"), F.lit(0.0).alias("change"), F.lit(1).alias("known"))
+        here = before.unionByName(got.select("id", F.lit(0.0).alias("old"), "change", F.lit(0).alias("known"))).groupBy("id").agg(
+            F.sum("old").alias("old"), F.sum("change").alias("new"), F.max("known").alias("known")).where("known = 1")
+        here = written(here.select("id", "old", (F.col("old") + F.col("new")).alias("change")))
+        active = here.where(moves).select("id", "change")
+        kept.add(here.select("id", F.when(moves, -F.col("old")).otherwise(F.col("change") - F.col("old")).alias("change")))
+        senders = active.count()
+        if not senders:
+            total = ranks.union().unionByName(kept.union()).groupBy("id").agg(F.sum("change").alias("rank"))
+            return links.close(total)
+    raise RuntimeError(f"{senders} ranks still move after {max_rounds} rounds")
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
@@ -156,22 +197,6 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     return nodes.join(counts, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles"))
 
 
-def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
-    """(id, distance) of all vertices reachable from ``source`` over (src, dst, weight >= 0)."""
-    links = checkpoint(edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")))
-    spark = edges.sparkSession
-    found = fresh = spark.range(1).select(F.lit(source).cast("long").alias("id"), F.lit(0.0).alias("distance"))
-    while not fresh.isEmpty():
-        offers = fresh.join(links, fresh["id"] == links["src"]).groupBy(F.col("dst").alias("id")).agg(
-            F.min(F.col("distance") + F.col("weight")).alias("offer"))
-        known = found.groupBy("id").agg(F.min("distance").alias("old"))
-        fresh = checkpoint(offers.join(known, "id", "left").where("old IS NULL OR offer < old").select(
-            "id", F.col("offer").alias("distance")))
-        # Improvements are added to the written parts; the least distance of an id counts.
-        found = found.unionByName(fresh)
-    return found.groupBy("id").agg(F.min("distance").alias("distance"))
-
-
 def aggregate_neighbours(edges: DataFrame, vertices: DataFrame, value: str) -> DataFrame:
     """(id, n, total, mean) of the value over the sources whose value exceeds the target's."""
     sources = vertices.select(F.col("id").alias("src"), F.col(value).alias("from_value"))

@@ -180,19 +180,23 @@ def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(c
     return {n: build[n]() if n in build else _fact(standings, n, people, races, bound) for n in names}
 
 
-def store(stats: DataFrame, standings: DataFrame, folder: str) -> dict[str, str]:
-    """Build and write all tables; children look their keys up in the written parents."""
+def store(stats: DataFrame, standings: DataFrame, folder: str, counts: dict[str, int] | None = None) -> dict[str, str]:
+    """Build and write all tables; children look their keys up in the written parents.
+
+    ``counts`` gets the rows of every table, counted while they are written.
+    """
+    counts = {} if counts is None else counts
     spark = stats.sparkSession
     paths = {n: f"{folder}/{n}.parquet" for n in contracts.LOAD_ORDER}
     parents = ["personal_info", "race_info"]
     # No table has more rows than both sources together.
     bound = stats.select("id").unionByName(standings.select("id"))
     for name, df in normalise(stats, standings, parents, bound=bound).items():
-        files.write_parquet(df, paths[name])
+        counts[name] = files.write_counted(df, paths[name])
     people, races = (spark.read.schema(contracts.schema_of(n)).parquet(paths[n]) for n in parents)
     children = [n for n in contracts.LOAD_ORDER if n not in parents]
     for name, df in normalise(stats, standings, children, people, races, bound).items():
-        files.write_parquet(df, paths[name])
+        counts[name] = files.write_counted(df, paths[name])
     return paths
 
 

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import (
     Bucketizer, MinMaxScaler, OneHotEncoder, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
-from paddock.ml import features, models
+from paddock.ml import features, iterative, models
 from paddock.operators import scan
 from paddock.operators.hot import small_rows
+from paddock.operators.rows import union_by_name
 from paddock.plans import league
 from paddock.queries import league as store
 from paddock.queries.registry import query
@@ -262,18 +261,12 @@ def _(t):
     return found.select(*[F.round(c, 6).alias(c) for c in found.columns])
 
 
-_SEARCHES = {}
-
-
 def _searched(t):
-    """(candidates, best, scores) of the search on a folder's training part, run once per session."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _SEARCHES:
-        train, _ = _parts(t)
-        candidates = models.draws()
-        best, scores, _ = models.random_search(train, candidates)
-        _SEARCHES[key] = candidates, best, scores
-    return _SEARCHES[key]
+    """(candidates, best, scores) of a search on the training part."""
+    train, _ = _parts(t)
+    candidates = models.draws()
+    best, scores, _ = models.random_search(train, candidates)
+    return candidates, best, scores
 
 
 @query("m14_random_search")
@@ -297,6 +290,28 @@ def _(t):
 _SCORED = "SELECT o_orderkey AS row_id, true AS known_class FROM orders"
 
 
+@query("m16_saved_models", """
+    SELECT name, n, true AS same FROM (VALUES ('encoder'), ('linear'), ('tree'), ('forest')) v(name), (SELECT count(*) AS n FROM orders)""")
+def _(t):
+    """Models of four classes saved and loaded again by the class their files name; every row is predicted as before."""
+    encoder, encoded = _encoded(t, "keep")
+    rows = checkpoint(encoded.select("row_id", "features", features.LABEL))
+    plain = features.feature_table(model_rows(t))
+
+    def compared(name, model, rows, column):
+        loaded = models.load_model(t.spark, models.save_model(model, workspace(t.spark, name)))
+        before = model.transform(rows).select("row_id", F.col(column).alias("before"))
+        after = loaded.transform(rows).select("row_id", F.col(column).alias("after"))
+        return before.join(after, "row_id").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("before").eqNullSafe(F.col("after"))).alias("same"))
+
+    found = [compared("encoder", encoder, plain, "features")]
+    for name, estimator in (("linear", models.linear_regression()), ("tree", models.tree_classifier(minInstancesPerNode=20)),
+                            ("forest", models.random_forest(numTrees=5))):
+        found.append(compared(name, estimator.fit(rows), rows, "prediction"))
+    return union_by_name(found)
+
+
 @query("m17_saved_model_scoring", _SCORED)
 def _(t):
     """Encoder and model are saved, loaded again and used on rows without label."""
@@ -391,6 +406,22 @@ def _(t):
     return t.spark.createDataFrame(rows, "name string, version int, loaded string")
 
 
+@query("m21_versions_on_events", """
+    SELECT event_type, v.version, CAST(CASE WHEN v.version = 1 THEN CASE WHEN value < 50 THEN 0 ELSE 1 END
+      ELSE CASE WHEN value < 25 THEN 0 WHEN value < 75 THEN 1 ELSE 2 END END AS DOUBLE) AS bucket, count(*) AS n
+    FROM events, (VALUES (1::BIGINT), (2::BIGINT)) v(version) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2, 3""")
+def _(t):
+    """Two registered versions of a model, each loaded from the registry and used on all events."""
+    registry = models.Registry(t.spark, workspace(t.spark, "registry"))
+    infinity = float("inf")
+    for splits in ([-infinity, 50.0, infinity], [-infinity, 25.0, 75.0, infinity]):
+        stage = Bucketizer(splits=splits, inputCol="value", outputCol="bucket")
+        registry.register("bands", models.save_model(Pipeline(stages=[stage]).fit(t.events), workspace(t.spark, "stage")))
+    known = t.events.where("value IS NOT NULL AND NOT isnan(value)").select("event_type", "value")
+    outputs = [registry.load("bands", v).transform(known).withColumn("version", F.lit(v).cast("long")) for v in (1, 2)]
+    return union_by_name(outputs).groupBy("event_type", "version", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("c08_train_and_score", """
     WITH n AS (SELECT count(*) AS n FROM orders)
     SELECT * FROM (VALUES ('Linear_Regression', 4, true), ('DecisionTree_Regressor', 4, true), ('DecisionTree_Classifier', 4, true),
@@ -435,26 +466,52 @@ def _(t):
     """One step of k-means: the mean of every label is a centre, each vector takes the nearest."""
     means = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(
         F.avg(F.col("x").cast("double")).alias("m"))
-    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("c")).orderBy("label")
-    # The centres are few (one per label) and travel with the plan.
-    listed = F.array(*[F.struct(F.lit(r["label"]).alias("label"), F.array(*[F.lit(e["m"]) for e in r["c"]]).alias("c"))
-                       for r in small_rows(centres, 1000)])
+    centres = means.groupBy(F.col("label").alias("name")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("centre"))
+    return iterative.with_nearest(t.embeddings.select("vec_id", "embedding"), centres).select("vec_id", "cluster")
+
 
-    def distance(centre):
-        parts = F.zip_with(F.col("embedding"), centre, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
-        return F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
+def _k_means_sql(k, rounds):
+    ctes = ["x AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL)",
+            f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, v AS c FROM x ORDER BY vec_id LIMIT {k})"]
+    near = "a{0} AS MATERIALIZED (SELECT vec_id, arg_min(cluster, (list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) ** 2)), cluster)) AS cluster FROM x, c{0} GROUP BY vec_id)"
+    for i in range(rounds):
+        ctes.append(near.format(i))
+        ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m.c, c{i}.c) AS c FROM c{i} LEFT JOIN (
+      SELECT cluster, list(m ORDER BY p) AS c FROM (SELECT cluster, p, avg(e) AS m FROM (
+        SELECT cluster, unnest(v) AS e, generate_subscripts(v, 1) AS p FROM x JOIN a{i} USING (vec_id)) GROUP BY 1, 2) GROUP BY 1) m USING (cluster))""")
+    return f"WITH {', '.join([*ctes, near.format(rounds)])} SELECT CAST(cluster AS INT) AS cluster, count(*) AS n FROM a{rounds} GROUP BY 1"
 
-    scored = F.transform(listed, lambda e: F.struct(distance(e["c"]).alias("d"), e["label"].alias("label")))
-    return t.embeddings.select("vec_id", F.array_min(scored)["label"].alias("cluster"))
+
+@query("e11_k_means_rounds", _k_means_sql(10, 3))
+def _(t):
+    """Three rounds from the ten vectors of the smallest ids, and the vectors of every cluster."""
+    centres, _ = iterative.k_means(t.embeddings, 10, "vec_id", rounds=3, seed=None)
+    known = t.embeddings.where("embedding IS NOT NULL").select("embedding")
+    return iterative.with_nearest(known, centres).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("e11_k_means")
 def _(t):
-    vectors = t.embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")).cache()
-    model = KMeans(k=10, seed=14, maxIter=ROUNDS, tol=1e-6).fit(vectors)
-    if model.summary.numIter >= ROUNDS:
-        raise RuntimeError(f"the centres still move after {ROUNDS} rounds")
-    return model.transform(vectors).groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    """Clusters from a seeded start until the centres stay where they are."""
+    centres, _ = iterative.k_means(t.embeddings, 10, "vec_id", max_rounds=ROUNDS)
+    known = t.embeddings.where("embedding IS NOT NULL").select("embedding")
+    return iterative.with_nearest(known, centres, name="prediction").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("e12_batch_gradient", """
+    SELECT CAST(r AS INT) AS round, count(*) AS n, true AS falls FROM documents JOIN labels USING (doc_id), range(1, 31) g(r)
+    WHERE text IS NOT NULL AND n_chars IS NOT NULL AND quality IS NOT NULL GROUP BY 1""")
+def _(t):
+    """Thirty rounds of batch gradients on the quality label: the mean loss falls in every one."""
+    words = F.split("text", " ")
+    short = F.size(F.filter(words, lambda w: F.length(w) < 4)) / F.size(words)
+    rows = t.documents.where("text IS NOT NULL").join(t.labels, "doc_id").select(
+        (F.log1p("n_chars") / 10).alias("size"), short.alias("short"), "quality")
+    _, losses = iterative.logistic_descent(rows, ["size", "short"], "quality", rounds=30)
+    n = rows.dropna().count()
+    found = [(i + 1, n, i == 0 or b < losses[i - 1]) for i, b in enumerate(losses)]
+    return t.spark.createDataFrame(found, "round int, n long, falls boolean")
 
 
 @query("e12_logistic_regression")
@@ -472,22 +529,29 @@ def _(t):
     return scored.select("doc_id", "label", "prediction")
 
 
+def _ratings(t):
+    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).agg(F.avg("l_quantity").alias("rating"))
+
+
 @query("e13_factorisation")
 def _(t):
-    """Customers and parts with the mean quantity as rating; predictions for the known pairs."""
-    ratings = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
-        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item")).agg(F.avg("l_quantity").alias("rating"))
-    ratings = checkpoint(ratings)
-    # The model wants ids below 2 ** 31, so both sides are numbered densely.
-    users = checkpoint(scan.dense_ids(ratings.select("user").distinct(), ["user"], "u", bound=ratings))
-    items = checkpoint(scan.dense_ids(ratings.select("item").distinct(), ["item"], "i", bound=ratings))
-    for side, name in ((users, "u"), (items, "i")):
-        if (side.agg(F.max(name)).first()[0] or 0) >= 2 ** 31:
-            raise ValueError("more ids than the model can number")
-    numbered = checkpoint(ratings.join(users, "user").join(items, "item").withColumns(
-        {"u": F.col("u").cast("int"), "i": F.col("i").cast("int")}))
-    model = ALS(rank=8, maxIter=5, regParam=0.1, seed=14, userCol="u", itemCol="i", ratingCol="rating").fit(numbered)
-    return model.transform(numbered).select("user", "item", F.round("prediction", 3).alias("prediction"))
+    """Customers and parts with the mean quantity as rating; predictions for the known pairs, once the error falls no more."""
+    ratings = checkpoint(_ratings(t))
+    users, items, _ = iterative.factorise(ratings)
+    return iterative.predicted(ratings, users, items).select("user", "item", F.round("prediction", 3).alias("prediction"))
+
+
+@query("e13_error", """
+    SELECT count(*) AS n, true AS falls, true AS better FROM (SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""")
+def _(t):
+    """The error falls from the first round to the last, and is below that of guessing the mean."""
+    ratings = checkpoint(_ratings(t))
+    users, items, errors = iterative.factorise(ratings)
+    off = F.sqrt(F.avg((F.col("prediction") - F.col("rating")) ** 2))
+    return iterative.predicted(ratings, users, items).agg(
+        F.count(F.lit(1)).alias("n"), F.lit(errors[-1] < errors[0] if errors else None).alias("falls"),
+        (off < F.stddev_pop("rating")).alias("better"))
 
 
 # Single feature transformers.

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paddock.operators import intervals, rows, scan
+from paddock.operators import intervals, rows, sampling, scan, sketches
 from paddock.operators.hot import hot_keys, null_safe_join
 from paddock.queries.registry import query
+from paddock.session import workspace
 
 def _join_sql(kind):
     return f"""
@@ -153,6 +154,25 @@ def _(t):
     return both.select("l_suppkey", (F.abs(F.col("about") - F.col("exact")) <= F.greatest(0.1 * F.col("exact"), F.lit(2))).alias("near"))
 
 
+@query("b07_merged_sketches", """
+    SELECT event_type, count(*) AS n, true AS near_users, true AS near_theta, true AS near_median FROM events GROUP BY 1""")
+def _(t):
+    """Sketches are stored per kind and day and merged per kind; the estimates lie within five standard errors."""
+    path = workspace(t.spark, "sketches")
+    day = F.to_date("ts").alias("day")
+    sketches.sketched(t.events, ["event_type", day], "user_id", "value").write.parquet(path)
+    found = sketches.merged(t.spark.read.parquet(path), ["event_type"]).select(
+        "event_type", "n", sketches.n_distinct().alias("users"), sketches.n_distinct_theta().alias("theta"), sketches.quantile(0.5).alias("median"))
+    exact = t.events.join(found.select("event_type", "median"), "event_type").groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("exact"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("rank"))
+
+    def near(about):
+        return F.abs(F.col(about) - F.col("exact")) <= F.greatest(0.08 * F.col("exact"), F.lit(1))
+
+    return found.join(exact, "event_type").select(
+        "event_type", "n", near("users").alias("near_users"), near("theta").alias("near_theta"), F.col("rank").between(0.46, 0.54).alias("near_median"))
+
+
 @query("b08_rollup", """
     SELECT c_mktsegment, o_orderstatus, CAST(grouping(c_mktsegment) AS INTEGER) AS g_segment, count(*) AS n,
       round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey
@@ -410,6 +430,25 @@ def _(t):
     return of.select("l_returnflag", (off <= 5 * F.sqrt(F.col("n") * share * (1 - share)) + 1).alias("near_share"))
 
 
+@query("b18_exact_sample", """
+    SELECT l_returnflag, l_linestatus, least(count(*), 100) AS n FROM lineitem GROUP BY 1, 2""")
+def _(t):
+    """A hundred lines of every flag and status, or all there are."""
+    taken = sampling.exact_sample(t.lineitem, ["l_returnflag", "l_linestatus"], 100, ["l_orderkey", "l_linenumber"])
+    return taken.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b18_weighted_sample", """
+    SELECT c_mktsegment, least(count(*) FILTER (c_acctbal > 0), 60) AS n, true AS leans FROM customer GROUP BY 1""")
+def _(t):
+    """Sixty customers of every segment in proportion to their balance; they are richer than the segment, where it is large enough to tell."""
+    taken = sampling.exact_sample(t.customer, ["c_mktsegment"], 60, ["c_custkey"], weight="c_acctbal")
+    whole = t.customer.where("c_acctbal > 0").groupBy("c_mktsegment").agg(F.avg("c_acctbal").alias("mean"), F.count(F.lit(1)).alias("of"))
+    found = taken.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.avg("c_acctbal").alias("drawn"))
+    return found.join(whole, "c_mktsegment").select(
+        "c_mktsegment", "n", ((F.col("drawn") > F.col("mean")) | (F.col("of") < 120)).alias("leans"))
+
+
 @query("b18_sample_by")
 def _(t):
     return t.lineitem.sampleBy("l_returnflag", {"R": 0.5, "A": 0.1, "N": 0.0}, seed=14).groupBy("l_returnflag").count()

@@ -97,3 +97,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table of the workspace and continue from there; for loops with joins.
+
+    A checkpointed frame keeps the estimate of its size, and estimates of joins
+    are products, so after some rounds Spark would reckon with numbers of millions
+    of digits. A table has the size it has, and small ones are broadcast for it.
+    """
+    path = workspace(df.sparkSession, "round")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,13 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> str:
     return path
 
 
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write a table and return its rows, counted by the write itself and not by another scan."""
+    told = Observation()
+    write_parquet(df.observe(told, F.count(F.lit(1)).alias("n_rows")), path)
+    return told.get["n_rows"]
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from paddock.operators import graph
+from paddock.operators import graph, parts, reach
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +56,7 @@ def test_transitive_closure(edges, pairs):
         if not more:
             break
         want |= more
-    rows = graph.transitive_closure(edges).collect()
+    rows = reach.transitive_closure(edges).collect()
     assert len(rows) == len(want) and {tuple(r) for r in rows} == want
 
 
@@ -94,7 +94,7 @@ def test_shortest_paths(spark, pairs):
         for s, d, w in weighted:
             if s in want and want[s] + w < want.get(d, float("inf")):
                 want[d] = want[s] + w
-    assert {r.id: r.distance for r in graph.shortest_paths(df, 0).collect()} == want
+    assert {r.id: r.distance for r in reach.shortest_paths(df, 0).collect()} == want
 
 
 def test_neighbours_and_subgraph(spark, edges, pairs):
@@ -125,3 +125,96 @@ def test_components_with_loops_hubs_and_lone_vertices(spark):
     labels = graph.connected_components(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(5,), (9,), (3,)], "id long"))
     got = {r["id"]: r["component"] for r in labels.collect()}
     assert got == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 5: 5, 9: 9, **{i: 100 for i in range(100, 400)}}
+
+
+@pytest.mark.parametrize("rows", [3, 1000])
+def test_hubs_get_no_bucket_of_their_own(spark, edges, pairs, rows):
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    got = {r.id: r["rank"] for r in graph.page_rank(edges, 4, ends, group_rows=rows).collect()}
+    want = simple_rank(pairs, 4, True)
+    assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in want)
+    assert not spark.sql("SHOW TABLES LIKE 'links_*'").count()
+
+
+def test_fewer_and_fewer_ranks_are_passed_on(spark, monkeypatch):
+    some = [(i, i // 2) for i in range(1, 400)] + [(0, 399), (5, 1000)]
+    passed = []
+    real = graph._Links.carried
+    monkeypatch.setattr(graph._Links, "carried", lambda self, ranks, value, *a: (
+        passed.append(ranks.count() if value == "change" else 400), real(self, ranks, value, *a))[1])
+    got = {r.id: r["rank"] for r in graph.page_rank_until(spark.createDataFrame(some, "src long, dst long"), spark.range(400), 0.02, every=2).collect()}
+    # Vertex 1000 is none of the given ones and passes nothing on.
+    want = simple_rank(some, 200, True)
+    assert len(got) == 400 and all(abs(got[v] - want[v]) < 0.2 for v in got)
+    few = [n for n in passed if n != 400]
+    assert few and max(few) <= 200 and few[-1] < 20
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    made = []
+    for module in (reach, parts):
+        real = module.written
+        monkeypatch.setattr(module, "written", lambda df, real=real: made.append(1) or real(df))
+    n = 1000
+    chain = spark.range(n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"), (F.col("id") % 3).cast("double").alias("weight"))
+    found = {r.id: r.distance for r in reach.shortest_paths(chain, 0).collect()}
+    assert found == {i: float(sum(k % 3 for k in range(i))) for i in range(n + 1)}
+    assert len(made) < 45
+
+
+def test_paths_around_rings_hubs_and_stretches(spark):
+    rng = random.Random(8)
+    links = [(i, (i + 1) % 50, rng.randrange(9) / 2) for i in range(50)] + [(0, 100 + i, 1.0) for i in range(30)]
+    links += [(100 + i, 200 + i, 0.0) for i in range(30)] + [(200 + i, 60, float(i)) for i in range(30)] + [(300, 301, 1.0), (301, 300, 1.0)]
+    links += [(60, 61, float("inf")), (60, 62, None), (61, 0, 1.0), (7, 7, 1.0)]
+    want, more = {0: 0.0}, True
+    while more:
+        more = False
+        for s, d, w in links:
+            if s in want and w is not None and w != float("inf") and want[s] + w < want.get(d, float("inf")):
+                want[d], more = want[s] + w, True
+    df = spark.createDataFrame(links, "src long, dst long, weight double")
+    for width in (None, 100.0):
+        assert {r.id: r.distance for r in reach.shortest_paths(df, 0, width).collect()} == want
+    assert {tuple(r) for r in reach.shortest_paths(df.limit(0), 4).collect()} == {(4, 0.0)}
+
+
+def _reached(links):
+    onward, out = {}, {}
+    for s, d in links:
+        onward.setdefault(s, set()).add(d)
+    for v in {x for p in links for x in p}:
+        seen, todo = set(), list(onward.get(v, ()))
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                todo += onward.get(x, ())
+        out[v] = seen
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_strong_components_and_closure(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(40), rng.randrange(40)) for _ in range(45)] + [(50, 51), (51, 52), (52, 50), (60, 60), (61, 62)]
+    links += [(70 + i, 71 + i) for i in range(9)] + [(79, 70), (75, 61), (52, 70)]
+    reached = _reached(links)
+    df = spark.createDataFrame(links, "src long, dst long")
+    want = {v: min([v] + [x for x in reached[v] if v in reached[x]]) for v in reached}
+    assert {r.id: r.component for r in reach.strong_components(df).collect()} == want
+    rows = reach.transitive_closure(df).collect()
+    assert {tuple(r) for r in rows} == {(v, x) for v in reached for x in reached[v]} and len(rows) == sum(map(len, reached.values()))
+
+
+def test_a_large_ring_is_one_component(spark):
+    n = 100_000
+    ring = spark.range(n).select(F.col("id").alias("src"), ((F.col("id") + 1) % n).alias("dst"))
+    members, pairs = reach.closure(ring)
+    assert members.count() == n and members.where("component <> 0").isEmpty()
+    assert [tuple(r) for r in pairs.collect()] == [(0, 0)]
+
+
+def test_closure_without_edges(spark):
+    none = spark.createDataFrame([], "src long, dst long")
+    assert reach.transitive_closure(none).count() == 0 and reach.strong_components(none).count() == 0

@@ -31,9 +31,10 @@ def inputs(spark):
 
 
 def test_store_has_whole_keys_and_round_trips(spark, inputs):
-    paths = league.store(*inputs, workspace(spark, "store"))
+    counts = {}
+    paths = league.store(*inputs, workspace(spark, "store"), counts)
     tables = league.load(spark, paths)
-    counts = {n: df.count() for n, df in tables.items()}
+    assert counts == {n: df.count() for n, df in tables.items()}
     assert counts == {"personal_info": 3, "race_info": 3, "social_media": 4, "seasonal_achievement": 4, "detailed_performance": 4,
                       "earnings": 4, "debut_info": 5, "status_info": 3}
     assert contracts.violations(tables).where("n_bad > 0").isEmpty()
