@@ -127,6 +127,16 @@ def save_model(model, path: str) -> str:
     return path
 
 
+def reloaded(spark: SparkSession, model, path: str):
+    """``model`` as its files have it, without the training summary.
+
+    The summary of a model of two classes holds the session, and tasks that score
+    with it fail once the session has got a part that cannot be sent, an
+    observation for one.
+    """
+    return load_model(spark, save_model(model, path))
+
+
 def load_model(spark: SparkSession, path: str):
     """The model saved at ``path``, as the class its own metadata names."""
     stored = spark.read.text(f"{path}/metadata").select(F.get_json_object("value", "$.class").alias("kind")).first()["kind"]

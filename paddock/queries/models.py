@@ -525,7 +525,7 @@ def _(t):
     fitted = Pipeline(stages=stages).fit(rows)
     if fitted.stages[-1].summary.totalIterations >= ROUNDS:
         raise RuntimeError(f"the weights still move after {ROUNDS} rounds")
-    scored = fitted.transform(rows)
+    scored = models.reloaded(t.spark, fitted, workspace(t.spark, "logistic")).transform(rows)
     return scored.select("doc_id", "label", "prediction")
 
 

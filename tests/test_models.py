@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from paddock.functions import udfs as U
@@ -110,3 +111,16 @@ def test_rms_in_pieces_and_custom_average(spark):
     pieces = {r.k: r["rms"] for r in U.rms_in_pieces(df, ["k"], "v", 100).collect()}
     custom = {r.k: r.average for r in U.custom_average(df, "k", "v").collect()}
     assert all(math.isclose(pieces[k], squares[k]) and math.isclose(custom[k], want[k]) for k in want)
+
+
+def test_two_classes_are_scored_after_an_observation(spark, tmp_path):
+    from paddock.queries import load, registry
+    load()
+    texts = [(i, ("a bc " if i % 3 else "longer words ") * (i + 1), (i + 1) * 5, i % 2) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, n_chars long, quality int")
+    docs.drop("quality").write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", "quality").write.parquet(f"{tmp_path}/labels.parquet")
+    # An observation stays with the session, which then cannot be sent to a task.
+    docs.observe(Observation("seen"), F.count(F.lit(1)).alias("n")).collect()
+    scored = registry.QUERIES["e12_logistic_regression"](spark, str(tmp_path)).collect()
+    assert len(scored) == 40 and {r.prediction for r in scored} <= {0.0, 1.0}
