@@ -124,3 +124,12 @@ def test_two_classes_are_scored_after_an_observation(spark, tmp_path):
     docs.observe(Observation("seen"), F.count(F.lit(1)).alias("n")).collect()
     scored = registry.QUERIES["e12_logistic_regression"](spark, str(tmp_path)).collect()
     assert len(scored) == 40 and {r.prediction for r in scored} <= {0.0, 1.0}
+
+
+def test_rows_of_a_fit_are_spread_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, cores + 3)
+    spread = models.spread(few)
+    assert spread.rdd.getNumPartitions() == cores and models.spread(many).rdd.getNumPartitions() == cores + 3
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+    assert min(spread.rdd.glom().map(len).collect()) > 0
