@@ -178,21 +178,28 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     """(id, triangles) for every vertex.
 
     Edges point from the lower to the higher degree, so no vertex has more than
-    sqrt(2 * edges) outgoing edges, hubs included. Two edges from one vertex are a
-    triangle if there is an edge between their ends.
+    sqrt(2 * edges) outgoing edges, hubs included. Along every edge go the later
+    neighbours of its source, as one list, and those its target points to as well
+    close a triangle. Two edges from one vertex never become a row of their own.
     """
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
-    links = checkpoint(edges.where("src <> dst").select(low.alias("a"), high.alias("b")).distinct())
+    links = written(edges.where("src <> dst").select(low.alias("a"), high.alias("b")).distinct())
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
-    degree = checkpoint(ends.groupBy("id").agg(F.count(F.lit(1)).alias("d")))
+    degree = written(ends.groupBy("id").agg(F.count(F.lit(1)).alias("d")))
     ranked = links.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a").join(
         degree.select(F.col("id").alias("b"), F.col("d").alias("db")), "b")
-    forward = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    out = checkpoint(ranked.select(F.when(forward, F.col("a")).otherwise(F.col("b")).alias("s"),
-                                   F.when(forward, F.col("b")).otherwise(F.col("a")).alias("t")))
-    wedges = out.withColumnRenamed("t", "a").join(out.withColumnRenamed("t", "b"), "s").where("a < b")
-    closed = wedges.join(links, ["a", "b"])
-    counts = closed.select(F.explode(F.array("s", "a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+    one, other = F.struct(F.col("da").alias("d"), F.col("a").alias("id")), F.struct(F.col("db").alias("d"), F.col("b").alias("id"))
+    directed = ranked.select(F.least(one, other).alias("s"), F.greatest(one, other).alias("t"))
+    nearest = F.transform(F.sort_array(F.collect_list("t")), lambda e: e["id"])
+    out = written(directed.groupBy(F.col("s.id").alias("s")).agg(nearest.alias("ends")))
+    along = out.where(F.size("ends") > 1).select("s", "ends", F.posexplode("ends").alias("at", "a"))
+    sent = along.where(F.col("at") + 1 < F.size("ends")).select("s", "a", F.expr("slice(ends, at + 2, size(ends) - at - 1)").alias("later"))
+    closed = sent.join(out.select(F.col("s").alias("a"), "ends"), "a").select("s", "a", F.array_intersect("later", "ends").alias("third"))
+    corner = F.struct(F.col("s").alias("id"), F.size("third").alias("n"))
+    second = F.struct(F.col("a").alias("id"), F.size("third").alias("n"))
+    thirds = F.transform("third", lambda b: F.struct(b.alias("id"), F.lit(1).alias("n")))
+    found = closed.where(F.size("third") > 0).select(F.explode(F.concat(F.array(corner, second), thirds)).alias("c"))
+    counts = found.groupBy(F.col("c.id").alias("id")).agg(F.sum("c.n").alias("triangles"))
     nodes = degree.select("id") if vertices is None else vertices.select("id")
     return nodes.join(counts, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles"))
 

@@ -218,3 +218,11 @@ def test_a_large_ring_is_one_component(spark):
 def test_closure_without_edges(spark):
     none = spark.createDataFrame([], "src long, dst long")
     assert reach.transitive_closure(none).count() == 0 and reach.strong_components(none).count() == 0
+
+
+def test_triangles_send_lists_and_no_pairs_of_edges(spark):
+    pairs = [(a, b) for a in range(20) for b in range(20)] + [(100, i) for i in range(200, 400)] + [(None, 3)]
+    counts = graph.triangle_counts(spark.createDataFrame(pairs, "src long, dst long"))
+    assert {r.id: r.triangles for r in counts.collect()} == {**dict.fromkeys(range(20), 19 * 18 // 2), **dict.fromkeys([100, *range(200, 400)], 0)}
+    # Two edges of one vertex would meet the edge between their ends in a join by both.
+    assert "array_intersect" in counts._jdf.queryExecution().optimizedPlan().toString()
