@@ -7,6 +7,7 @@ scanned run by run, and each run gets what the runs before it carry over.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -115,6 +116,19 @@ def _by_runs(df, keys, order, measures, rows, run_rows):
         *df.columns, *[m.combine(F.col(n), F.col(f"_c_{n}")).alias(n) for n, m in measures.items()])
 
 
+def in_order(df: DataFrame, order: list, run_rows: int = KEYLESS_ROWS) -> DataFrame:
+    """``df`` sorted as a whole, in range partitions of about ``run_rows`` rows each.
+
+    Rows with equal values are told apart by a random number, so a frequent value
+    spreads over as many partitions as it needs. The number of partitions follows
+    the counted rows and not their bytes, which are few for values that repeat.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    drawn = df.withColumn("_draw", F.rand(14))
+    runs = max(usual, ceil(df.count() / run_rows))
+    return drawn.repartitionByRange(runs, *order, "_draw").sortWithinPartitions(*order).drop("_draw")
+
+
 def dense_ids(df: DataFrame, order: list, name: str = "id", rows_limit: int = KEYLESS_ROWS,
               bound: DataFrame | None = None) -> DataFrame:
     """Ids 1..n in the order of a unique key, without one task sorting it all.

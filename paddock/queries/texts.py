@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paddock.functions import text as X
+from paddock.operators import scan
 from paddock.queries.registry import query
 
 # Alternation of a headline and a link; each match fills one of the two groups.
@@ -141,7 +142,7 @@ def _(t):
 
 @query("e02_sort_numbers", "SELECT l_quantity FROM lineitem ORDER BY 1")
 def _(t):
-    return t.lineitem.select("l_quantity").orderBy("l_quantity")
+    return scan.in_order(t.lineitem.select("l_quantity"), ["l_quantity"])
 
 
 @query("e14_access_log", r"""

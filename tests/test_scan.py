@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paddock.operators.hot import hot_keys
-from paddock.operators.scan import dense_ids, latest, ranked, running, running_count, running_sum
+from paddock.operators.scan import dense_ids, in_order, latest, ranked, running, running_count, running_sum
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +80,11 @@ def test_moving_mean_counts_rows_not_values(spark, group_rows):
     rows = [(1, 1, 1, 10.0), (1, 2, 2, None), (1, 3, 3, 30.0), (1, 4, 4, 40.0), (1, 5, 5, None), (2, 6, 1, None)]
     got = moving_mean(spark.createDataFrame(rows, "o_custkey long, o_orderkey long, o_orderdate long, o_totalprice double"), group_rows)
     assert {r["o_orderkey"]: r["moving_mean"] for r in got.collect()} == {1: 10.0, 2: 10.0, 3: 20.0, 4: 35.0, 5: 35.0, 6: None}
+
+
+def test_frequent_values_are_sorted_in_many_partitions(spark):
+    df = spark.range(300_000).select(F.when(F.col("id") % 10 == 0, F.lit(None)).when(F.col("id") % 7 == 0, F.col("id") % 5).otherwise(3).alias("v"))
+    parts = in_order(df, ["v"], run_rows=10_000).rdd.map(lambda r: r.v).glom().collect()
+    found = [v for p in parts for v in p]
+    assert found == sorted((r.v for r in df.collect()), key=lambda v: (v is not None, v or 0))
+    assert len(parts) == 30 and max(map(len, parts)) < 30_000
