@@ -13,8 +13,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import functions as F
 
+from paddock.operators.hot import null_safe_join
+from paddock.operators.parts import sent_if_few
 from paddock.queries.registry import query
-from paddock.session import checkpoint
+from paddock.session import checkpoint, written
 
 # Rounds after which a fit that still moves is an error.
 ROUNDS = 500
@@ -65,8 +67,15 @@ def _(t):
     The vocabulary stays a frame, so it may have any size.
     """
     split = _tokenizer("words").transform(t.documents)
-    terms = split.select("doc_id", F.explode("words").alias("word")).distinct()
+    # The terms of a document are told apart in its row; only ids that come more than once need a shuffle for it.
+    repeated = t.documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    repeated, again = sent_if_few(written(repeated))
+    terms = split.select("doc_id", F.explode(F.array_distinct("words")).alias("word"))
+    if again:
+        terms = null_safe_join(terms, repeated, ["doc_id"], "left_anti").unionByName(
+            null_safe_join(terms, repeated, ["doc_id"], "left_semi").distinct())
     frequent = terms.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 5").select("word")
+    frequent, _ = sent_if_few(written(frequent))
     counted = terms.join(frequent, "word").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"))
     return t.documents.select("doc_id").join(counted, "doc_id", "left").select(
         "doc_id", F.coalesce("n_terms", F.lit(0)).cast("long").alias("n_terms"))
