@@ -130,12 +130,22 @@ def in_order(df: DataFrame, order: list, run_rows: int = KEYLESS_ROWS) -> DataFr
 
 
 def dense_ids(df: DataFrame, order: list, name: str = "id", rows_limit: int = KEYLESS_ROWS,
-              bound: DataFrame | None = None) -> DataFrame:
+              bound: DataFrame | int | None = None) -> DataFrame:
     """Ids 1..n in the order of a unique key, without one task sorting it all.
 
-    ``bound`` is a frame that is cheaper to count and has at least as many rows.
+    ``bound`` is a number of rows that is not exceeded, or a frame that is cheaper
+    to count and has at least as many rows. A sorted run numbers its rows by
+    itself, so they are neither dealt nor sorted a second time.
     """
-    return running(df, [], order, {name: running_count()}, rows_limit, bound)
+    rows = bound if isinstance(bound, int) else (df if bound is None else bound).count()
+    if rows <= rows_limit:
+        return _plain(df, [], order, {name: running_count()})
+    runs = sorted_runs(df, order, rows, rows_limit)
+    # One row per run.
+    sizes = runs.groupBy(RUN).agg(F.count(F.lit(1)).alias(SIZE))
+    carry = sizes.select(RUN, F.sum(SIZE).over(W.orderBy(RUN).rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
+    place = F.col(ROW).bitwiseAND(F.lit((1 << 33) - 1)) + 1 + F.coalesce("_before", F.lit(0))
+    return null_safe_join(runs, carry, [RUN], small=True).select(*df.columns, place.alias(name))
 
 
 def ranked(df: DataFrame, keys: list[str], order: str, tie: str, tiles: int = 4,

@@ -11,10 +11,14 @@ from paddock.functions import text as X
 from paddock.operators import joins, rows
 from paddock.operators.scan import dense_ids
 from paddock.plans import values as V
-from paddock.session import checkpoint
+from paddock.session import checkpoint, kept
 from paddock.sources import files
 
 
+# What a season's fact belongs to.
+NATURAL = ["driver_id", "series", "season"]
+
+
 def build_stats(payloads: DataFrame) -> DataFrame:
     """One row per (id, series), from the newest season that has the driver."""
     kept = C.drop_listed(payloads, V.DROPPED_FIELDS)
@@ -102,8 +106,8 @@ def enrich(stats: DataFrame, debut_pages: DataFrame, driver_pages: DataFrame, fe
 
 def collect_and_store(stats_payloads: DataFrame, standings_payloads: DataFrame, folder: str, **sources) -> dict[str, str]:
     """From payloads and pages to the eight written tables; ``sources`` are those of ``enrich``."""
-    stats = checkpoint(enrich(build_stats(stats_payloads), **sources))
-    return store(stats, checkpoint(build_standings(standings_payloads)), folder)
+    stats = kept(enrich(build_stats(stats_payloads), **sources))
+    return store(stats, kept(build_standings(standings_payloads)), folder)
 
 
 def enrich_gender(stats: DataFrame, female_names: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def enrich_gender(stats: DataFrame, female_names: DataFrame) -> DataFrame:
     return joined.withColumn("gender", F.coalesce("gender", label)).select(*stats.columns)
 
 
-def personal_info(stats: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+def personal_info(stats: DataFrame, bound: DataFrame | int | None = None) -> DataFrame:
     """One row per driver, ids in the order of the natural key."""
     place = F.array_position(F.array(*[F.lit(x) for x in V.SERIES_ORDER]), F.col("series"))
     people = rows.first_per_key(stats, ["driver_id"], [place, "series"])
@@ -122,44 +126,66 @@ def personal_info(stats: DataFrame, bound: DataFrame | None = None) -> DataFrame
     return contracts.conform(dense_ids(people.select(*wanted), ["driver_id"], bound=bound), "personal_info")
 
 
-def race_info(standings: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+def race_info(standings: DataFrame, bound: DataFrame | int | None = None) -> DataFrame:
     races = standings.select("series", F.col("season").try_cast("int").alias("season")).distinct()
     return contracts.conform(dense_ids(races, ["season", "series"], bound=bound), "race_info")
 
 
+def _measures(table: str) -> list[str]:
+    return [f.name for f in contracts.schema_of(table) if f.name not in (contracts.PRIMARY_KEYS[table], "driver_id", "race_id")]
+
+
 def _fact(source: DataFrame, table: str, people: DataFrame, races: DataFrame | None,
-          bound: DataFrame | None) -> DataFrame:
+          bound: DataFrame | int | None) -> DataFrame:
     """Distinct fact rows with surrogate keys and ids in the order of the row."""
-    schema = contracts.schema_of(table)
-    key = contracts.PRIMARY_KEYS[table]
-    measures = [f.name for f in schema if f.name not in (key, "driver_id", "race_id")]
+    measures = _measures(table)
     if races is None:
         natural = ["driver_id"]
     else:
-        natural = ["driver_id", "series", "season"]
+        natural = NATURAL
         source = source.withColumn("season", F.col("season").try_cast("int"))
     facts = source.select(*natural, *measures).distinct()
-    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], key, bound=bound)
+    numbered = dense_ids(facts, natural + [m for m in measures if m not in natural], contracts.PRIMARY_KEYS[table], bound=bound)
+    return contracts.conform(_linked(numbered, people, races), table)
+
+
+def _linked(numbered: DataFrame, people: DataFrame, races: DataFrame | None) -> DataFrame:
+    """Natural keys replaced by those of the parents."""
     if races is not None:
         numbered = joins.surrogate(numbered, races, ["series", "season"], "id", "race_id")
     driver = people.select(F.col("driver_id").alias("_natural"), F.col("id").alias("_driver"))
     linked = numbered.withColumnRenamed("driver_id", "_natural")
-    linked = linked.join(driver, linked["_natural"].eqNullSafe(driver["_natural"]), "left").withColumnRenamed("_driver", "driver_id")
-    return contracts.conform(linked, table)
+    return linked.join(driver, linked["_natural"].eqNullSafe(driver["_natural"]), "left").drop("_natural").withColumnRenamed("_driver", "driver_id")
+
+
+def _season_facts(standings: DataFrame, names: list[str], people: DataFrame, races: DataFrame,
+                  bound: DataFrame | int | None) -> dict[str, DataFrame]:
+    """The named fact tables per driver and race.
+
+    Where no natural key repeats, which is looked at, their rows have the same
+    order, whatever the measures, so they are numbered and linked once for all.
+    """
+    rows = standings.withColumn("season", F.col("season").try_cast("int"))
+    if len(names) < 2 or not rows.groupBy(*NATURAL).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return {n: _fact(standings, n, people, races, bound) for n in names}
+    measures = list(dict.fromkeys(m for n in names for m in _measures(n)))
+    numbered = dense_ids(rows.select(*NATURAL, *measures), NATURAL, "_number", bound=bound)
+    linked = kept(_linked(numbered, people, races))
+    return {n: contracts.conform(linked.withColumnRenamed("_number", contracts.PRIMARY_KEYS[n]), n) for n in names}
 
 
-def social_media(stats: DataFrame, people: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+def social_media(stats: DataFrame, people: DataFrame, bound: DataFrame | int | None = None) -> DataFrame:
     handles = stats.select("driver_id", C.strip_pattern(F.col("twitter"), "@").alias("twitter")).distinct()
     return _fact(rows.unique_or_complete(handles, ["driver_id"]), "social_media", people, None, bound)
 
 
 def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(contracts.LOAD_ORDER),
               people: DataFrame | None = None, races: DataFrame | None = None,
-              bound: DataFrame | None = None) -> dict[str, DataFrame]:
+              bound: DataFrame | int | None = None) -> dict[str, DataFrame]:
     """The named tables; missing values are decoded first, keys become surrogates.
 
     ``people`` and ``races`` are the two parent tables if they are built already.
-    ``bound`` is a frame with at least as many rows that is cheap to count.
+    ``bound`` is a number of rows no table exceeds, or a frame with at least as many rows that is cheap to count.
     """
     stats = C.decode_missing(stats.withColumnRenamed("id", "driver_id"))
     standings = C.decode_missing(standings.withColumnRenamed("id", "driver_id"))
@@ -177,7 +203,8 @@ def normalise(stats: DataFrame, standings: DataFrame, names: list[str] = tuple(c
         "debut_info": lambda: _fact(stats, "debut_info", people, None, bound),
         "status_info": lambda: _fact(standings, "status_info", people, None, bound),
     }
-    return {n: build[n]() if n in build else _fact(standings, n, people, races, bound) for n in names}
+    seasons = _season_facts(standings, [n for n in names if n in facts], people, races, bound) if facts.intersection(names) else {}
+    return {n: build[n]() if n in build else seasons[n] for n in names}
 
 
 def store(stats: DataFrame, standings: DataFrame, folder: str, counts: dict[str, int] | None = None) -> dict[str, str]:
@@ -189,8 +216,8 @@ def store(stats: DataFrame, standings: DataFrame, folder: str, counts: dict[str,
     spark = stats.sparkSession
     paths = {n: f"{folder}/{n}.parquet" for n in contracts.LOAD_ORDER}
     parents = ["personal_info", "race_info"]
-    # No table has more rows than both sources together.
-    bound = stats.select("id").unionByName(standings.select("id"))
+    # No table has more rows than both sources together; they are counted once for all tables.
+    bound = stats.count() + standings.count()
     for name, df in normalise(stats, standings, parents, bound=bound).items():
         counts[name] = files.write_counted(df, paths[name])
     people, races = (spark.read.schema(contracts.schema_of(n)).parquet(paths[n]) for n in parents)

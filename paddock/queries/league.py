@@ -12,7 +12,7 @@ from paddock import contracts
 from paddock.operators.rows import union_by_name
 from paddock.plans import league
 from paddock.queries.registry import query
-from paddock.session import checkpoint, workspace
+from paddock.session import kept, workspace
 
 _SERIES_SQL = "CASE o_orderstatus WHEN 'F' THEN 'sc' WHEN 'O' THEN 'xf' ELSE 'cw' END"
 
@@ -155,7 +155,7 @@ def _(t):
 # The eight tables.
 
 def _sources(t):
-    return checkpoint(league.build_stats(stats_payload(t))), checkpoint(league.build_standings(standings_payload(t)))
+    return kept(league.build_stats(stats_payload(t))), kept(league.build_standings(standings_payload(t)))
 
 
 def _table(t, name):

@@ -88,3 +88,11 @@ def test_frequent_values_are_sorted_in_many_partitions(spark):
     found = [v for p in parts for v in p]
     assert found == sorted((r.v for r in df.collect()), key=lambda v: (v is not None, v or 0))
     assert len(parts) == 30 and max(map(len, parts)) < 30_000
+
+
+def test_sorted_runs_number_their_rows_themselves(skewed):
+    ids = dense_ids(skewed.select("id"), ["id"], "n", rows_limit=10, bound=skewed.count())
+    assert [r["n"] for r in ids.orderBy("id").collect()] == list(range(1, skewed.count() + 1))
+    # Only the few sums of the runs are scanned by a window.
+    plan = ids._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1

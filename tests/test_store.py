@@ -117,3 +117,24 @@ def test_workspace_is_cleared_as_a_whole(spark):
     assert clear_workspace(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+FACTS = ["seasonal_achievement", "detailed_performance", "earnings"]
+
+
+def _facts(tables):
+    return {n: sorted(map(tuple, tables[n].collect()), key=str) for n in FACTS}
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_season_facts_are_numbered_once_and_as_they_were_each(spark, inputs, monkeypatch, repeated):
+    stats, standings = inputs
+    if repeated:
+        # One more row of a key, with measures of its own for one table only.
+        standings = standings.unionByName(standings.withColumn("money", F.lit(-1).cast(standings.schema["money"].dataType)))
+    alone = {n: league.normalise(stats, standings, [n])[n] for n in FACTS}
+    calls, real = [], league.dense_ids
+    monkeypatch.setattr(league, "dense_ids", lambda *a, **k: calls.append(1) or real(*a, **k))
+    together = league.normalise(stats, standings, ["personal_info", "race_info", *FACTS])
+    assert _facts(together) == _facts(alone)
+    assert len(calls) == 2 + (3 if repeated else 1)
