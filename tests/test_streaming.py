@@ -1,7 +1,9 @@
 """Streams over several files: same result as the batch, also after a restart."""
 
 import datetime as dt
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +189,19 @@ def test_repeats_within_the_watermark_go_and_leave_the_state(spark):
     assert sorted(r.user_id for r in found.collect()) == [1, 2, 3, 4, 5]
     left = spark.read.format("statestore").load(state)
     assert {r.key.user_id for r in left.select("key").collect()} == {5}
+
+
+def test_words_are_counted_over_all_batches_of_a_task(monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"word": pa.array(w, pa.string())}) for w in (["a", "b", "a"], [], ["a", None], ["c", None, "a"])]
+
+    def counted():
+        return [(r["word"], r["n"]) for b in jobs._counted(iter(batches)) for r in b.to_pylist()]
+
+    assert sorted(counted(), key=str) == [("a", 4), ("b", 1), ("c", 1), (None, 2)]
+    assert list(jobs._counted(iter(()))) == []
+    # What is held is passed on when it is much, and nothing is lost by it.
+    monkeypatch.setattr(jobs, "HELD_WORDS", 2)
+    total = Counter()
+    for word, n in counted():
+        total[word] += n
+    assert total == {"a": 4, "b": 1, "c": 1, None: 2}
