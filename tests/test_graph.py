@@ -226,3 +226,10 @@ def test_triangles_send_lists_and_no_pairs_of_edges(spark):
     assert {r.id: r.triangles for r in counts.collect()} == {**dict.fromkeys(range(20), 19 * 18 // 2), **dict.fromkeys([100, *range(200, 400)], 0)}
     # Two edges of one vertex would meet the edge between their ends in a join by both.
     assert "array_intersect" in counts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_without_rings_are_not_dealt_again(spark):
+    chain = spark.createDataFrame([(1, 2), (2, 3), (4, 3)], "src long, dst long")
+    found = reach.transitive_closure(chain)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (1, 3), (2, 3), (4, 3)]
