@@ -24,10 +24,13 @@ import regex
 from tokenizers import Tokenizer
 
 # Entries of one generation, of some 200 bytes each.
-PIECES, PARTS = 350_000, 500_000
+PIECES, PARTS = 350_000, 200_000
 
 _BLANKS = " \t\n\r\x0b\x0c"
 _SIGNS = frozenset(",.;:!?")
+# White space that is more than single blanks and line breaks, or two breaks. Where there is none, a sign of it may tell the beginning.
+_START = "\r"
+_RUNS = ("  ", " \n", "\n ", "\n\n\n", "\t", "\r", "\x0b", "\x0c")
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 # White space beyond the blanks, which a pattern may run together with them.
 _ODD_SPACE = re.compile("[" + "".join(map(chr, (
@@ -87,7 +90,9 @@ class Encoder:
         # How special tokens begin; a text with such a place is left to the library.
         self.special = {t["content"][:2] for t in spec["added_tokens"]}
         self.model, self.letters = self.whole.model, _byte_letters()
-        self.parts, self.pieces = _Remembered(self.part, parts), _Remembered(self.word if self.drops_blanks else self.spaced, pieces)
+        # Where blanks are kept, parts are pieces too, and most need no entry of their own.
+        self.parts = _Remembered(self.part if self.drops_blanks else self.spaced, parts)
+        self.pieces = _Remembered(self.word if self.drops_blanks else self.after, pieces)
 
     def _encoded(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -95,10 +100,12 @@ class Encoder:
     def part(self, part: str) -> bytes:
         """Ids of one part, by the model of the library."""
         if part.isascii() and part.isprintable():
-            spelled = part.replace(" ", self.letters[0x20])
-        else:
-            spelled = part.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            return self.spelled(part.replace(" ", self.letters[0x20]))
+        return self.spelled(part.encode().decode("latin-1").translate(self.letters))
+
+    def spelled(self, letters: str) -> bytes:
+        """Ids of one part whose bytes are spelled as letters."""
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def word(self, piece: bytes) -> bytes:
         """Ids of a piece without blanks, for tokenizers that drop them and lower-case."""
@@ -120,16 +127,44 @@ class Encoder:
             return self._encoded(text)
         if len(text) - len(body) <= text.startswith(" "):
             if body.isalpha():
-                return self.parts[text]
+                return self.part(text)
             if body[-1:] in _SIGNS and body[:-1].isalpha():
-                return self.parts[text[:-1]] + self.parts[body[-1]]
-        return b"".join(map(self.parts.__getitem__, self.pattern.findall(text)))
+                return (self.parts[text[:-1]] if text == body else self.pieces[body[:-1]]) + self.parts[body[-1]]
+        found = self.pattern.findall(text)
+        return self.part(text) if len(found) == 1 else b"".join(map(self.parts.__getitem__, found))
+
+    def after(self, piece: str) -> bytes:
+        """Ids of a piece as ``_laid`` cuts it: with one blank before it, or a line break, or at the beginning of a text."""
+        if piece.isascii():
+            # Most pieces are words, or words and one sign.
+            if piece.isalpha():
+                return self.spelled(self.letters[0x20] + piece)
+            if piece[-1:] in _SIGNS and piece[:-1].isalpha():
+                return self.pieces[piece[:-1]] + self.parts[piece[-1]]
+        if piece[:1] == _START:
+            return self.spaced(piece[1:])
+        return self.spaced(piece if piece[:1] == "\n" else " " + piece)
 
     def ids(self, text: str) -> bytes:
         if not self.fast or any(s in text for s in self.special) or (not self.drops_blanks and _ODD_SPACE.search(text)):
             return self._encoded(text)
-        pieces = text.encode().split() if self.drops_blanks else _UNIT.findall(text)
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        if self.drops_blanks:
+            return b"".join(map(self.pieces.__getitem__, text.encode().split()))
+        laid = _laid(text)
+        if laid is None:
+            return b"".join(map(self.parts.__getitem__, _UNIT.findall(text)))
+        return b"".join(map(self.pieces.__getitem__, laid.split(" ")))
+
+
+def _laid(text: str) -> str | None:
+    """A text whose pieces are what lies between blanks, for ``Encoder.after``; none where white space comes in runs.
+
+    Alone, a blank goes with what follows, and up to two line breaks stand for themselves.
+    """
+    if not text or text.endswith("\n\n") or any(run in text for run in _RUNS):
+        return None
+    laid = text.replace("\n", " \n")
+    return laid[1:] if laid[0] == " " else _START + laid
 
 
 @lru_cache(maxsize=2)

@@ -24,6 +24,18 @@ def test_remembered_pieces_give_the_library_s_ids(name):
         assert array("I", own.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_of_a_text_are_remembered_once():
+    own, whole = Encoder(PATH), Tokenizer.from_file(PATH)
+    words = ["".join(chr(97 + (n >> k) % 26) for k in (0, 3, 6, 9)) for n in range(300)]
+    text = " ".join(words) + "\n" + ", ".join(words) + "."
+    assert array("I", own.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids
+    # A word after a blank, a word with a sign, and what stands at the beginnings of lines; a word is not kept as a part as well.
+    assert len(own.parts) < 10 and len(own.pieces) <= 2 * len(set(words)) + 10
+    for text in ("a\n\nb", "a\n\n\nb", "\n\na b", " a", "a ", "a \nb", "a\n b", "a  b", "a\n", "a\n\n", "\n", " ", "\ra", "a\tb c", "x, y.", "é, è", "'s 's", "don't I'll"):
+        assert array("I", own.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+
 @pytest.mark.parametrize("planes", bitplanes.KINDS)
 def test_blocks_round_trip(planes):
     rng = np.random.default_rng(2)
