@@ -19,6 +19,7 @@ import json
 import re
 from array import array
 from functools import lru_cache
+from string import punctuation
 
 import regex
 from tokenizers import Tokenizer
@@ -30,6 +31,7 @@ _BLANKS = " \t\n\r\x0b\x0c"
 _SIGNS = frozenset(",.;:!?")
 # White space that is more than single blanks and line breaks, or two breaks. Where there is none, a sign of it may tell the beginning.
 _START = "\r"
+_LEADS = (_START, "\n")
 _RUNS = ("  ", " \n", "\n ", "\n\n\n", "\t", "\r", "\x0b", "\x0c")
 _UNIT = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
 # White space beyond the blanks, which a pattern may run together with them.
@@ -135,15 +137,22 @@ class Encoder:
 
     def after(self, piece: str) -> bytes:
         """Ids of a piece as ``_laid`` cuts it: with one blank before it, or a line break, or at the beginning of a text."""
-        if piece.isascii():
-            # Most pieces are words, or words and one sign.
-            if piece.isalpha():
-                return self.spelled(self.letters[0x20] + piece)
-            if piece[-1:] in _SIGNS and piece[:-1].isalpha():
-                return self.pieces[piece[:-1]] + self.parts[piece[-1]]
-        if piece[:1] == _START:
-            return self.spaced(piece[1:])
-        return self.spaced(piece if piece[:1] == "\n" else " " + piece)
+        if piece.isascii() and piece.isalpha():
+            return self.spelled(self.letters[0x20] + piece)
+        lead = piece[:1] if piece[:1] in _LEADS else ""
+        body = piece[len(lead):]
+        # Most other pieces are words with a line break before them or signs after them, which are parts of the pattern.
+        word = body.rstrip(punctuation)
+        if not (word.isalpha() and (plain := word.isascii() or _SETTLED.fullmatch(word))):
+            return self.spaced(body if lead == _START else piece if lead else " " + piece)
+        # A word that is known without its signs is not encoded again, but gets no entry of its own.
+        ids = None if lead or word == body else self.pieces.get(word) or self.pieces.older.get(word)
+        if ids is None:
+            letters = word if plain is True else word.encode().decode("latin-1").translate(self.letters)
+            ids = self.spelled(letters if lead else self.letters[0x20] + letters)
+        if word != body:
+            ids += self.parts[body[len(word):]]
+        return self.parts[lead] + ids if lead == "\n" else ids
 
     def ids(self, text: str) -> bytes:
         if not self.fast or any(s in text for s in self.special) or (not self.drops_blanks and _ODD_SPACE.search(text)):

@@ -35,6 +35,15 @@ def test_words_of_a_text_are_remembered_once():
         assert array("I", own.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_word_with_signs_takes_one_entry():
+    own, whole = Encoder(PATH), Tokenizer.from_file(PATH)
+    words = ["".join(chr(97 + (n >> k) % 26) for k in (0, 3, 6, 9)) + "é" * (n % 3) for n in range(300)]
+    signs = [",", ".", "%%%", ",###", "'", "_)", "'\""]
+    text = " ".join(w + signs[n % len(signs)] for n, w in enumerate(words)) + "\n" + " \n".join(words)
+    text = text.replace(" \n", "\n")
+    assert array("I", own.ids(text)).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(own.pieces) <= 2 * len(set(words)) + 10 and len(own.parts) <= len(signs) + 10
+
 
 @pytest.mark.parametrize("planes", bitplanes.KINDS)
 def test_blocks_round_trip(planes):
