@@ -133,3 +133,26 @@ def test_rows_of_a_fit_are_spread_over_the_cores(spark):
     assert spread.rdd.getNumPartitions() == cores and models.spread(many).rdd.getNumPartitions() == cores + 3
     assert sorted(r.id for r in spread.collect()) == list(range(1000))
     assert min(spread.rdd.glom().map(len).collect()) > 0
+
+
+def test_forests_keep_node_numbers_within_bounds_and_grow_the_same_trees(spark, table, monkeypatch):
+    rows = features.encoder().fit(table).transform(table).cache()
+    plain = models.random_forest(numTrees=6)
+    kept = models.numbered(plain, rows)
+    assert kept.getCacheNodeIds() and not plain.getCacheNodeIds()
+    grown = [f.fit(rows).toDebugString.partition("\n")[2] for f in (plain, kept)]
+    assert grown[0] == grown[1]
+    assert models.numbered(models.tree_classifier(), rows).getCacheNodeIds() is False
+    monkeypatch.setattr(models, "NODE_ID_BYTES", 4 * rows.count() * 6)
+    assert models.numbered(plain, rows).getCacheNodeIds() and not models.numbered(plain, rows, 7).getCacheNodeIds()
+
+
+def test_rows_to_score_are_dealt_over_the_tasks(spark, table):
+    encoder = features.encoder().fit(table)
+    model = models.tree_classifier(minInstancesPerNode=1).fit(encoder.transform(table))
+    paths = models.save_model(model, workspace(spark, "model")), models.save_model(encoder, workspace(spark, "encoder"))
+    fresh = table.drop(features.LABEL).coalesce(1)
+    scored = models.score(paths[0], fresh, paths[1])
+    assert scored.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plain = model.transform(encoder.transform(fresh))
+    assert sorted(scored.select("id", "prediction").collect()) == sorted(plain.select("id", "prediction").collect())
