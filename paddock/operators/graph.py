@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock.operators.hot import GROUP_ROWS
 from paddock.operators.parts import FEW_ROWS, Parts, sent_if_few
@@ -16,6 +17,9 @@ from paddock.session import checkpoint, workspace, written
 # Share of a rank passed along an edge, and the rest.
 DAMPING = 0.85
 BASE = 0.15
+# Vertices that all tasks may know of, and the numbers that four bytes hold.
+LAST_ROWS = 1_000_000
+SHORT = 1 << 31
 
 
 class _Links:
@@ -181,9 +185,13 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     sqrt(2 * edges) outgoing edges, hubs included. Along every edge go the later
     neighbours of its source, as one list, and those its target points to as well
     close a triangle. Two edges from one vertex never become a row of their own.
+    Nothing is sent to targets that point to none, if those are few enough to be
+    known to all tasks, and ids that fit into four bytes are sent as such.
     """
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
     links = written(edges.where("src <> dst").select(low.alias("a"), high.alias("b")).distinct())
+    kind = links.schema["a"].dataType
+    links = _short(links)
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     degree = written(ends.groupBy("id").agg(F.count(F.lit(1)).alias("d")))
     ranked = links.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a").join(
@@ -193,17 +201,31 @@ def triangle_counts(edges: DataFrame, vertices: DataFrame | None = None) -> Data
     nearest = F.transform(F.sort_array(F.collect_list("t")), lambda e: e["id"])
     out = written(directed.groupBy(F.col("s.id").alias("s")).agg(nearest.alias("ends")))
     along = out.where(F.size("ends") > 1).select("s", "ends", F.posexplode("ends").alias("at", "a"))
+    last = degree.join(out.select(F.col("s").alias("id")), "id", "left_anti").select(F.col("id").alias("a"))
+    last, number = sent_if_few(written(last), LAST_ROWS)
+    if number <= LAST_ROWS:
+        along = along.join(last, "a", "left_anti")
     sent = along.where(F.col("at") + 1 < F.size("ends")).select("s", "a", F.expr("slice(ends, at + 2, size(ends) - at - 1)").alias("later"))
     closed = sent.join(out.select(F.col("s").alias("a"), "ends"), "a").select("s", "a", F.array_intersect("later", "ends").alias("third"))
     corner = F.struct(F.col("s").alias("id"), F.size("third").alias("n"))
     second = F.struct(F.col("a").alias("id"), F.size("third").alias("n"))
     thirds = F.transform("third", lambda b: F.struct(b.alias("id"), F.lit(1).alias("n")))
     found = closed.where(F.size("third") > 0).select(F.explode(F.concat(F.array(corner, second), thirds)).alias("c"))
-    counts = found.groupBy(F.col("c.id").alias("id")).agg(F.sum("c.n").alias("triangles"))
-    nodes = degree.select("id") if vertices is None else vertices.select("id")
+    counts = found.groupBy(F.col("c.id").alias("id")).agg(F.sum("c.n").alias("triangles")).withColumn("id", F.col("id").cast(kind))
+    nodes = degree.select(F.col("id").cast(kind)) if vertices is None else vertices.select("id")
     return nodes.join(counts, "id", "left").select("id", F.coalesce("triangles", F.lit(0)).cast("long").alias("triangles"))
 
 
+def _short(links: DataFrame) -> DataFrame:
+    """Links from ``a`` to a larger ``b``, with ids of four bytes if all of them fit."""
+    if links.schema["a"].dataType != T.LongType() or links.schema["b"].dataType != T.LongType():
+        return links
+    row = links.agg(F.min("a").alias("low"), F.max("b").alias("high")).first()
+    if row["low"] is None or row["low"] < -SHORT or row["high"] >= SHORT:
+        return links
+    return links.select(F.col("a").cast("int"), F.col("b").cast("int"))
+
+
 def aggregate_neighbours(edges: DataFrame, vertices: DataFrame, value: str) -> DataFrame:
     """(id, n, total, mean) of the value over the sources whose value exceeds the target's."""
     sources = vertices.select(F.col("id").alias("src"), F.col(value).alias("from_value"))

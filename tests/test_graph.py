@@ -228,6 +228,25 @@ def test_triangles_send_lists_and_no_pairs_of_edges(spark):
     assert "array_intersect" in counts._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_triangles_send_nothing_to_last_vertices_and_short_ids(spark, monkeypatch):
+    pairs = [(a, b) for a in range(6) for b in range(6)] + [(100, i) for i in range(6)] + [(200, 100), (None, 3)]
+    want = {**dict.fromkeys(range(6), 15), 100: 15, 200: 0}
+
+    def counted(shift):
+        found = graph.triangle_counts(spark.createDataFrame(pairs, "src long, dst long").selectExpr(f"src + {shift} AS src", f"dst + {shift} AS dst"))
+        assert found.schema["id"].dataType.simpleString() == "bigint"
+        assert {r.id - shift: r.triangles for r in found.collect()} == want
+        return found._jdf.queryExecution().optimizedPlan().toString()
+
+    plan = counted(0)
+    assert "LeftAnti" in plan and "cast(id" in plan
+    # Ids at both ends of four bytes, and just beyond them.
+    assert "cast(id" in counted(2 ** 31 - 201) and "cast(id" in counted(-2 ** 31)
+    assert "cast(id" not in counted(2 ** 31 - 200) and "cast(id" not in counted(-2 ** 31 - 1)
+    monkeypatch.setattr(graph, "LAST_ROWS", 0)
+    assert "LeftAnti" not in counted(0)
+
+
 def test_pairs_without_rings_are_not_dealt_again(spark):
     chain = spark.createDataFrame([(1, 2), (2, 3), (4, 3)], "src long, dst long")
     found = reach.transitive_closure(chain)
